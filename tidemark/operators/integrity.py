@@ -124,9 +124,10 @@ def orphan_values(
         & (F.col(VERSION) >= F.col("_first")),
         "left_anti",
     )
-    return late_or_missing.groupBy("ForeignKeyId", "scope", "Value").agg(
+    totals = late_or_missing.groupBy("ForeignKeyId", "scope", "Value").agg(
         F.sum("_n").alias("Count")
     )
+    return totals.withColumn("Value", F.collate("Value", "UTF8_BINARY")) if collation else totals
 
 
 def orphan_totals(values: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from tidemark.operators.report import report_lines
 from tidemark.operators.results import fk_results, select_runs
 from tidemark.registry import Registry
 from tidemark.sources import history as store
-from tidemark.sources.shared import new_folder
 
 
 class ValidationError(Exception):
@@ -98,7 +97,8 @@ def validate_practices(
         practices = practices.where(F.col("PracticeDBName") == practice)
         if practices.isEmpty():
             raise ValidationError(f"practice {practice} is not configured")
-    planned, skipped = plan_runs(practices, extract, (past[0] or 0) + 1, group, now or datetime.now())
+    first_run = (past[0] or 0) + 1
+    planned, skipped = plan_runs(practices, extract, first_run, group, now or datetime.now())
     # The tenant list with its run ids, fixed before it is used several times.
     runs = spark.createDataFrame(planned.collect(), planned.schema)
     if practice and runs.isEmpty():
@@ -110,11 +110,12 @@ def validate_practices(
             name: df.where(F.col("practice") == practice) if "practice" in df.columns else df
             for name, df in histories.items()
         }
-    values_path = new_folder(spark, "orphan-values")
-    orphan_values(histories, registry, bound=bound, collation=collation).withColumn(
-        "Value", F.col("Value").cast("string")
-    ).write.parquet(values_path)
-    values = spark.read.parquet(values_path)
+    # All orphan values of the batch: counted, sampled and kept for looking closer.
+    values_path = f"{store.control_path(root, 'OrphanValues')}/Batch={first_run}"
+    orphan_values(histories, registry, bound=bound, collation=collation).write.mode(
+        "overwrite"
+    ).parquet(values_path)
+    values = spark.read.schema(store.CONTROL["OrphanValues"]).parquet(values_path)
 
     errors = per_run(runs, orphan_totals(values))
     samples = per_run(
@@ -123,10 +124,11 @@ def validate_practices(
     about = runs.withColumn("ExtractDate", F.lit(found.ExtractDate).cast("timestamp_ntz"))
     lines = report_lines(about, errors, samples, registry.foreign_key_frame(spark))
 
-    # The runs come last: a run whose errors or lines are missing is never listed.
-    store.append_control(errors, root, "ForeignKeyErrors")
-    store.append_control(lines, root, "RunText")
-    store.append_control(runs, root, "Run")
+    # The runs come last: a run whose errors or lines are missing is never listed, and the next
+    # attempt has the same first run id and replaces them.
+    store.write_batch(errors, root, "ForeignKeyErrors", first_run)
+    store.write_batch(lines, root, "RunText", first_run)
+    store.write_batch(runs, root, "Run", first_run)
     return Validation(runs, errors, samples, lines, skipped, group)
 
 

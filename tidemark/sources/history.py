@@ -28,6 +28,7 @@ CONTROL = {
     "TableLayout": "TableName string, Position int, ColumnName string",
     "Run": "RunId int, PracticeDBName string, ExtractId int, RunDate timestamp_ntz, RunGroupId int",
     "RunText": "RunId int, LineId int, Line string",
+    "OrphanValues": "ForeignKeyId int, scope string, Value string, Count long",
     "ForeignKeyErrors": "RunId int, ForeignKeyId int, Count long, DistinctCount long",
 }
 _SNAPSHOT = [("AsOfExtract", T.IntegerType()), ("Revision", T.IntegerType())]
@@ -52,13 +53,19 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_control(spark: SparkSession, root: str, name: str) -> DataFrame:
     schema = T.StructType.fromDDL(CONTROL[name])
-    return _read(spark, control_path(root, name), schema)
+    return _read(spark, control_path(root, name), schema).select(*schema.names)
 
 
 def append_control(df: DataFrame, root: str, name: str) -> None:
     _conformed(df, name).write.mode("append").parquet(control_path(root, name))
 
 
+def write_batch(df: DataFrame, root: str, name: str, batch: int) -> None:
+    """Add a batch of rows, replacing what an earlier attempt at the same batch left."""
+    path = f"{control_path(root, name)}/Batch={batch}"
+    _conformed(df, name).write.mode("overwrite").parquet(path)
+
+
 def replace_control(df: DataFrame, root: str, name: str) -> None:
     """Replace a control table by rows that do not come from it."""
     _conformed(df, name).write.mode("overwrite").parquet(control_path(root, name))

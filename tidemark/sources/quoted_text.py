@@ -52,7 +52,7 @@ def read_shape(spark: SparkSession, path: str) -> Shape:
     line = first[0].value
     line_end = "\r\n" if line.endswith("\r") else "\n"
     line = line.removesuffix("\r")
-    text = line.removeprefix("﻿")
+    text = line.removeprefix("\ufeff")
     if len(text) < 2 or not (text.startswith('"') and text.endswith('"')):
         raise ValueError(f"{path}: the header is not quoted")
     return Shape(tuple(text[1:-1].split(BETWEEN)), line_end, line[:-1])
