@@ -5,10 +5,22 @@ from __future__ import annotations
 import os
 
 from tidemark.care_records import CARE_RECORDS
+from tidemark.registry import Registry
 
 GUID = "0F8FAD5B-D9CB-469F-A165-70867728950E"
 ORG = {n: f"0000000{n}-AAAA-4BBB-8CCC-00000000000{n}" for n in range(1, 6)}
 
+# The tables most tests of a single rule need.
+FEW = Registry(
+    tuple(
+        CARE_RECORDS.table(name)
+        for name in (
+            "Admin_Location", "Admin_Organisation", "Agreements_SharingOrganisation", "Admin_Patient",
+        )
+    ),
+    tuple(fk for fk in CARE_RECORDS.foreign_keys if fk.id in (1, 2, 3, 4, 8, 11)),
+)
+
 # Columns the tables need for their keys, flags and foreign keys, and a few more.
 EXTRA = {
     "Admin_Organisation": ["CDB", "OrganisationName", "ODSCode"],

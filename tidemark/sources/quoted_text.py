@@ -91,11 +91,15 @@ def read_extract_table(
     shape = shape or read_shape(spark, path)
     records = read_records(spark, path, shape)
     width = len(table.columns)
-    last = F.get(F.col("_fields"), F.lit(width - 1))
-    values = [F.get(F.col("_fields"), F.lit(i)) for i in range(width - 1)]
-    values.append(without_trailing_quote(last))
+    last = F.expr(f"get(_fields, {width - 1})")
+    values = [
+        F.expr(f"nullif(get(_fields, {i}), '') as {_quoted_name(c)}")
+        for i, c in enumerate(table.columns[:-1])
+    ]
+    repaired = F.nullif(without_trailing_quote(last), F.lit("")).alias(table.last_column)
     rows = records.select(
-        *[F.nullif(v, F.lit("")).alias(c) for v, c in zip(values, table.columns)],
+        *values,
+        repaired,
         has_trailing_quote(last).alias(QUOTED),
         REPEATED,
         (F.size("_fields") != width).alias(RAGGED),
@@ -104,11 +108,14 @@ def read_extract_table(
     return rows.withColumn(WIDE, exceeds_width(table))
 
 
+def _quoted_name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def exceeds_width(table: Table) -> Column:
     """True if any value of the row is longer than its column allows."""
-    too_long = [F.length(F.col(c)) > table.width(c) for c in table.columns]
-    return F.coalesce(F.greatest(*[F.coalesce(t, F.lit(False)) for t in too_long], F.lit(False)),
-                      F.lit(False))
+    too_long = [f"length({_quoted_name(c)}) > {table.width(c)}" for c in table.columns]
+    return F.expr(f"coalesce({' or '.join(too_long)}, false)")
 
 
 def rejected_records(spark: SparkSession, path: str, table: Table) -> DataFrame:
@@ -137,22 +144,20 @@ def quote_counts(rows: DataFrame) -> DataFrame:
 
 def check_widths(df: DataFrame, table: Table) -> DataFrame:
     """``ColumnName, DeclaredWidth, LongestValue, TooLong`` for every column, in one pass."""
-    measures = [F.max(F.length(c)).alias(f"m{i}") for i, c in enumerate(table.columns)]
-    measures += [
-        F.count_if(F.length(c) > table.width(c)).alias(f"n{i}")
-        for i, c in enumerate(table.columns)
-    ]
-    rows = F.array(
-        *[
+    measures, entries = [], []
+    for i, c in enumerate(table.columns):
+        length = f"length({_quoted_name(c)})"
+        measures.append(F.expr(f"max({length}) as m{i}"))
+        measures.append(F.expr(f"count_if({length} > {table.width(c)}) as n{i}"))
+        entries.append(
             F.struct(
                 F.lit(c).alias("ColumnName"),
                 F.lit(table.width(c)).alias("DeclaredWidth"),
                 F.col(f"m{i}").alias("LongestValue"),
                 F.col(f"n{i}").alias("TooLong"),
             )
-            for i, c in enumerate(table.columns)
-        ]
-    )
+        )
+    rows = F.array(*entries)
     return df.agg(*measures).select(F.inline(rows))
 
 
