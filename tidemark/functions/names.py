@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.keys import col, guid_text, whole_number
 from tidemark.functions.text import parts
@@ -12,9 +12,9 @@ FILE_TYPE = "<<FILE_TYPE>>"
 
 
 def parse_extract_name(name: str | Column) -> Column:
-    """A struct of the parts of a file name; ``parse_error`` names the first rule it breaks.
+    """A struct of the parts of a file name and the first rule it breaks.
 
-    Good names have a null ``parse_error``; for bad ones every other field is null.
+    ``name`` holds the parts and is null for bad names; ``parse_error`` is null for good ones.
     """
     name = col(name)
     stem = F.substring(name, F.lit(1), F.length(name) - len(SUFFIX))
@@ -49,11 +49,17 @@ def parse_extract_name(name: str | Column) -> Column:
         "SharingAgreementGuid": guid,
     }
     return F.struct(
-        *[F.when(error.isNull(), value).alias(field) for field, value in fields.items()],
+        F.when(error.isNull(), F.struct(*[v.alias(f) for f, v in fields.items()])).alias("name"),
         error.alias("parse_error"),
     )
 
 
+def with_parsed_name(df: DataFrame, column: str) -> DataFrame:
+    """The frame with the parts of a file name and its ``parse_error`` as further columns."""
+    parsed = df.select("*", parse_extract_name(column).alias("_parsed"))
+    return parsed.select(*df.columns, "_parsed.name.*", "_parsed.parse_error")
+
+
 def name_template(start: Column, end: Column, stamp: Column, guid: Column) -> Column:
     """The file name shared by all tables of an extract, with a placeholder for the table."""
     return F.concat(

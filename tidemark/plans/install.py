@@ -10,10 +10,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark import care_records
-from tidemark.functions.names import name_template, parse_extract_name
+from tidemark.functions.names import name_template, with_parsed_name
 from tidemark.operators import routing, tenants
 from tidemark.operators.constraints import CONTROL_RULES, check_constraints, repeated_keys
-from tidemark.registry import PRACTICE, TENANT, VERSION, Registry, Table
+from tidemark.operators.versioned import current
+from tidemark.registry import TENANT, VERSION, Registry, Table
 from tidemark.sources import history as store
 from tidemark.sources.discover import discover_extracts, extract_files, list_files
 from tidemark.sources.quoted_text import (
@@ -70,15 +71,15 @@ def stage_extract(
     """
     if not store.read_control(spark, root, "StagedExtract").isEmpty():
         raise ExtractError("an extract is already staged; install it or clean staging first")
+    one = spark.createDataFrame([(marker,)], "FileName string")
     name = (
-        spark.range(1)
-        .select(parse_extract_name(F.lit(marker)).alias("n"))
-        .select(
-            "n.*",
+        with_parsed_name(one, "FileName")
+        .withColumn(
+            "FilenameTemplate",
             name_template(
-                F.col("n.ProcessingIdStart"), F.col("n.ProcessingIdEnd"),
-                F.col("n.ExtractDateString"), F.col("n.SharingAgreementGuid"),
-            ).alias("FilenameTemplate"),
+                F.col("ProcessingIdStart"), F.col("ProcessingIdEnd"),
+                F.col("ExtractDateString"), F.col("SharingAgreementGuid"),
+            ),
         )
         .first()
     )
@@ -88,7 +89,7 @@ def stage_extract(
         raise ExtractError(
             f"{marker}: not the {special.marker_schema}_{special.marker_table} file"
         )
-    files = _table_files(spark, directory, marker, registry)
+    files = _table_files(spark, directory, name, registry)
     missing = sorted({t.name for t in registry.tables} - set(files))
     if missing:
         raise ExtractError(f"no file for table(s) {', '.join(missing)}")
@@ -170,10 +171,7 @@ def install_extract(
         raise ExtractError(problem)
     extract = (previous or 0) + 1
 
-    marker = staged.FilenameTemplate.replace(
-        "<<FILE_TYPE>>", f"{special.marker_schema}_{special.marker_table}"
-    )
-    files = _table_files(spark, staged.FileDirectory, marker, registry)
+    files = _table_files(spark, staged.FileDirectory, staged, registry)
     shapes = {name: read_shape(spark, path) for name, path in files.items()}
     registry = _agreed_layout(store.read_layout(spark, root, registry), shapes)
 
@@ -187,10 +185,11 @@ def install_extract(
 
     practices = _practices_for(spark, root, registry, special, extract, previous)
     organisations = _organisations(spark, root, registry, special, extract, practices)
-    repeated = repeated_keys(organisations, ["OrganisationGuid"])
-    if not repeated.isEmpty():
+    if not repeated_keys(organisations, ["OrganisationGuid"]).isEmpty():
         raise ExtractError("an organisation is described or shared more than once")
-    installed = routing.installed_practices(organisations)
+    # The tenant list, one row per sharing organisation: fixed once for all tables.
+    tenant_list = routing.installed_practices(organisations)
+    installed = spark.createDataFrame(tenant_list.collect(), tenant_list.schema)
 
     routed: dict[str, DataFrame] = {}
     in_order = sorted(registry.select(common=False), key=lambda t: t.via is not None)
@@ -246,9 +245,16 @@ def install_all(
 
 
 def _table_files(
-    spark: SparkSession, directory: str, marker: str, registry: Registry
+    spark: SparkSession, directory: str, name: Row, registry: Registry
 ) -> dict[str, str]:
-    found = extract_files(list_files(spark, directory), F.lit(marker), registry).collect()
+    found = extract_files(
+        list_files(spark, directory),
+        name.ProcessingIdStart,
+        name.ProcessingIdEnd,
+        name.ExtractDate,
+        name.SharingAgreementGuid,
+        registry,
+    ).collect()
     files = {r.TableName: r.path for r in found}
     if len(files) < len(found):
         raise ExtractError(f"{directory}: more than one file for a table")
@@ -302,8 +308,6 @@ def _organisations(
     extract: int,
     practices: DataFrame,
 ) -> DataFrame:
-    from tidemark.operators.versioned import current
-
     organisation = registry.table(special.organisation)
     staged = store.read_extract(spark, root, organisation, extract, _KEPT)
     common = current(store.read_history(spark, root, organisation, extract - 1), organisation)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from datetime import datetime
 
-from tidemark.functions.names import parse_extract_name
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.functions.names import with_parsed_name
 from tidemark.registry import Registry
 
 
@@ -33,33 +35,26 @@ def marker_files(listing: DataFrame, schema: str, table: str) -> DataFrame:
 def discover_extracts(spark: SparkSession, root: str, schema: str, table: str) -> DataFrame:
     """Folder, marker file and parsed name of every extract under a root, in folder order."""
     found = marker_files(list_files(spark, root), schema, table)
-    return found.select(
-        "Directory", "FileName", parse_extract_name("FileName").alias("_name")
-    ).select("Directory", "FileName", "_name.*")
+    return with_parsed_name(found.select("Directory", "FileName"), "FileName")
 
 
-def extract_files(listing: DataFrame, marker: Column, registry: Registry) -> DataFrame:
-    """``TableName, path`` of the files that belong to the extract of a marker file name.
+def extract_files(
+    listing: DataFrame, start: int, end: int, date: datetime, agreement: str, registry: Registry
+) -> DataFrame:
+    """``TableName, path`` of the files of one extract.
 
     Files are matched on ids, date and agreement, whatever the case of the letters.
     """
-    same = ["ProcessingIdStart", "ProcessingIdEnd", "ExtractDateString", "SharingAgreementGuid"]
     known = F.create_map(
         *[x for t in registry.tables for x in (F.lit(t.name.lower()), F.lit(t.name))]
     )
-    wanted = parse_extract_name(marker)
-    parsed = listing.select("path", parse_extract_name("FileName").alias("_name"))
-    match = F.col("_name.parse_error").isNull()
-    for field in same:
-        match &= F.col(f"_name.{field}") == wanted[field]
-    return (
-        parsed.where(match)
-        .select(
-            F.try_element_at(
-                known,
-                F.lower(F.concat("_name.SchemaName", F.lit("_"), F.col("_name.TableName"))),
-            ).alias("TableName"),
-            "path",
-        )
-        .where(F.col("TableName").isNotNull())
+    named = with_parsed_name(listing.select("path", "FileName"), "FileName").where(
+        (F.col("ProcessingIdStart") == start)
+        & (F.col("ProcessingIdEnd") == end)
+        & (F.col("ExtractDate") == F.lit(date).cast("timestamp_ntz"))
+        & (F.col("SharingAgreementGuid") == agreement)
+    )
+    table = F.lower(F.concat("SchemaName", F.lit("_"), F.col("TableName")))
+    return named.select(F.try_element_at(known, table).alias("TableName"), "path").where(
+        F.col("TableName").isNotNull()
     )
