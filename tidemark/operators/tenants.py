@@ -96,31 +96,26 @@ def activate_practices(
     )
 
 
-def install_problem(
-    staged_start: int, staged_date, last_end: int | None, last_date
-) -> str | None:
-    """Why a staged extract may not follow the last installed one; null if it may."""
-    if staged_start != 1 and last_end is None:
-        return "the first installed extract must be a bulk extract, starting at processing id 1"
-    if last_date is not None and staged_date <= last_date:
-        return "the staged extract is not later than the last installed one"
-    return None
+# Why an extract may not follow the last installed one.
+NOT_BULK = "the first installed extract must be a bulk extract, starting at processing id 1"
+NOT_LATER = "the staged extract is not later than the last installed one"
 
 
 def install_gate(staged: DataFrame, installed: DataFrame) -> DataFrame:
-    """Staged extracts with the id they would get and the rule they break, if any."""
-    last = installed.agg(
-        F.max("ExtractId").alias("_last"),
-        F.max_by("ProcessingIdEnd", "ExtractId").alias("_end"),
-        F.max_by("ExtractDate", "ExtractId").alias("_date"),
-    )
-    # One row on the right: the newest entry of the log.
-    rows = staged.withColumn("_one", F.lit(1)).join(last.withColumn("_one", F.lit(1)), "_one")
+    """Staged extracts with the id before theirs, their own, and the rule they break, if any.
+
+    Only the newest entry of the log counts. Processing ids may start again, so a gap is no error.
+    """
+    newest = installed.agg(
+        F.max_by(F.struct("ExtractId", "ProcessingIdEnd", "ExtractDate"), "ExtractId")
+    ).scalar()
+    last = newest["ExtractId"]
     problem = F.when(
-        (F.col("ProcessingIdStart") != 1) & F.col("_end").isNull(), "not a bulk extract"
-    ).when(F.col("ExtractDate") <= F.col("_date"), "not later than the last installed extract")
-    return rows.select(
+        (F.col("ProcessingIdStart") != 1) & newest["ProcessingIdEnd"].isNull(), NOT_BULK
+    ).when(F.col("ExtractDate") <= newest["ExtractDate"], NOT_LATER)
+    return staged.select(
         *staged.columns,
-        F.coalesce(F.col("_last") + 1, F.lit(1)).alias("NextExtractId"),
+        last.alias("PreviousExtractId"),
+        F.coalesce(last + 1, F.lit(1)).alias("NextExtractId"),
         problem.alias("Problem"),
     )

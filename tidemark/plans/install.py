@@ -152,24 +152,16 @@ def install_extract(
     written is then checked from a few narrow columns. Only if every check passes is the extract
     added to the log, which makes it visible.
     """
-    staged = store.read_control(spark, root, "StagedExtract").first()
+    gate = tenants.install_gate(
+        store.read_control(spark, root, "StagedExtract"),
+        store.read_control(spark, root, "InstalledExtracts"),
+    )
+    staged = gate.first()
     if staged is None:
         raise ExtractError("no extract is staged")
-    last = (
-        store.read_control(spark, root, "InstalledExtracts")
-        .agg(F.max_by(F.struct("ExtractId", "ProcessingIdEnd", "ExtractDate"), "ExtractId"))
-        .first()[0]
-    )
-    previous = last.ExtractId if last else None
-    problem = tenants.install_problem(
-        staged.ProcessingIdStart,
-        staged.ExtractDate,
-        last.ProcessingIdEnd if last else None,
-        last.ExtractDate if last else None,
-    )
-    if problem:
-        raise ExtractError(problem)
-    extract = (previous or 0) + 1
+    if staged.Problem:
+        raise ExtractError(staged.Problem)
+    previous, extract = staged.PreviousExtractId, staged.NextExtractId
 
     files = _table_files(spark, staged.FileDirectory, staged, registry)
     shapes = {name: read_shape(spark, path) for name, path in files.items()}
@@ -215,8 +207,10 @@ def install_extract(
     store.write_snapshot(practices, root, "ConfiguredPractices", extract)
     if previous is None:
         store.write_snapshot(store.layout_rows(spark, registry), root, "TableLayout", extract)
-    entry = spark.createDataFrame(
-        [(extract, *staged, now or datetime.now())], store.CONTROL["InstalledExtracts"]
+    entry = gate.select(
+        F.lit(extract).alias(VERSION),
+        *T.StructType.fromDDL(store.CONTROL["StagedExtract"]).names,
+        F.lit(now or datetime.now()).alias("InstalledDated"),
     )
     store.append_control(entry, root, "InstalledExtracts")
     clean_staging(spark, root)
