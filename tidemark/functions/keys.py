@@ -33,8 +33,7 @@ def guid_text(value: str | Column) -> Column:
 
 def tenant_key(value: str | Column) -> Column:
     """Organisation identifiers differ in case and braces between files; compare this instead."""
-    text = col(value).cast("string")
-    return F.coalesce(guid_text(text), F.upper(F.rtrim(text)))
+    return F.upper(F.btrim(F.rtrim(col(value).cast("string")), F.lit("{}")))
 
 
 def whole_number(value: str | Column) -> Column:

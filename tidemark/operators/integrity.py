@@ -116,13 +116,17 @@ def orphan_values(
         per_key([targets.index((fk.to_table, fk.to_column)) for fk in keys]).alias("_target"),
         F.when(in_practice, F.col("scope")).otherwise(EVERYWHERE).alias("_sought_in"),
     )
-    late_or_missing = children.join(
+    # A left join and a filter rather than an anti join: that one would be pushed below the union
+    # of the children and so repeated, with all parents, for every table.
+    sought = children.join(
         parents,
         (F.col("_target") == F.col("_to"))
         & (F.col("_sought_in") == F.col("_seen_in"))
-        & (F.col("Value") == F.col("_key"))
-        & (F.col(VERSION) >= F.col("_first")),
-        "left_anti",
+        & (F.col("Value") == F.col("_key")),
+        "left",
+    )
+    late_or_missing = sought.where(
+        F.col("_first").isNull() | (F.col(VERSION) < F.col("_first"))
     )
     totals = late_or_missing.groupBy("ForeignKeyId", "scope", "Value").agg(
         F.sum("_n").alias("Count")

@@ -20,6 +20,25 @@ def up_to(history: DataFrame, extract: int | None, version: str = VERSION) -> Da
     return history if extract is None else history.where(F.col(version) <= extract)
 
 
+def newest_versions(
+    history: DataFrame, keys: Sequence[str], *, version: str = VERSION
+) -> DataFrame:
+    """The keys with their newest version: a partial aggregate over the key columns alone."""
+    return history.groupBy(*keys).agg(F.max(version).alias(version))
+
+
+def rows_of_versions(
+    history: DataFrame, versions: DataFrame, keys: Sequence[str], *, version: str = VERSION
+) -> DataFrame:
+    """The rows of the given (key, version) pairs, columns in their order.
+
+    The join is on key *and* version, so that both inputs are plain shuffles: a key holding a large
+    share of the rows is then split at run time by the adaptive skew join, where a window would sort
+    it inside one task. If the pairs turn out few, the rows are not shuffled at all.
+    """
+    return history.join(versions, [*keys, version], "left_semi").select(*history.columns)
+
+
 def latest_rows(
     history: DataFrame,
     keys: Sequence[str],
@@ -28,17 +47,11 @@ def latest_rows(
     version: str = VERSION,
     collation: str | None = None,
 ) -> DataFrame:
-    """All rows of the newest version of each key.
-
-    The newest version is found by a partial aggregate over the key columns alone, and the rows are
-    kept by a semi join on key *and* version. Both join inputs are plain shuffles, so a key holding
-    a large share of the rows is split at run time by the adaptive skew join, where a window would
-    sort it inside one task.
-    """
+    """All rows of the newest version of each key; null key parts match nothing."""
     rows = up_to(history, extract, version)
     if collation is None:
-        newest = rows.groupBy(*keys).agg(F.max(version).alias(version))
-        return rows.join(newest, [*keys, version], "left_semi")
+        newest = newest_versions(rows, keys, version=version)
+        return rows_of_versions(rows, newest, keys, version=version)
     newest = rows.groupBy(
         *[comparable(k, collation).alias(f"_key{i}") for i, k in enumerate(keys)]
     ).agg(F.max(version).alias("_newest"))
@@ -110,21 +123,25 @@ def extract_diff(
 ) -> DataFrame:
     """Keys added, removed or changed between two extracts (``before`` < ``after``).
 
-    A key can only differ if a row of it arrived after the first extract, so the old state is read
-    for those keys alone and the new state from the later partitions alone. The two states of a key
+    A key can only differ if a row of it arrived after the first extract, so the new state is read
+    from the later partitions and the old state for the keys found there. The two states of a key
     are compared as bags of rows: identical rows are counted first, then the counts compared. That
     is exact, needs no sorted lists and pre-aggregates copies.
     """
     if before >= after:
         raise ValueError("the first extract must be earlier than the second")
+    keys = list(keys)
     payload = [
         c for c in history.columns if c not in keys and c not in ignore and c != version
     ]
+    earlier = up_to(history, before, version)
     later = history.where((F.col(version) > before) & (F.col(version) <= after))
-    arrived = later.select(*keys).dropna().distinct()
-    earlier = up_to(history, before, version).join(arrived, list(keys), "left_semi")
-    old = not_deleted(latest_rows(earlier, keys, version=version), deleted)
-    new = not_deleted(latest_rows(later, keys, version=version), deleted)
+    arrived = newest_versions(later, keys, version=version)
+    replaced = newest_versions(earlier, keys, version=version).join(
+        arrived.select(*keys), keys, "left_semi"
+    )
+    old = not_deleted(rows_of_versions(earlier, replaced, keys, version=version), deleted)
+    new = not_deleted(rows_of_versions(later, arrived, keys, version=version), deleted)
 
     def bag(df: DataFrame, old_side: int, new_side: int) -> DataFrame:
         return df.select(
@@ -151,8 +168,3 @@ def extract_diff(
 
 def _diff_status(before: Column, after: Column) -> Column:
     return F.when(before == 0, "added").when(after == 0, "removed").otherwise("changed")
-
-
-def with_tenant(df: DataFrame, value: str | Column) -> DataFrame:
-    """Attach the tenant column to a frame that is one practice's own."""
-    return df.withColumn(TENANT, F.lit(value) if isinstance(value, str) else value)
