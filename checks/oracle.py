@@ -9,7 +9,8 @@ STAMP = "'%Y-%m-%d %H:%M:%S'"
 TABLES = f"""
 lines as (
     select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
-           l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, {STAMP}) as shipped,
+           l_tax, l_returnflag, l_linestatus, cast(epoch(l_shipdate) as bigint) as shipped,
+           strftime(l_shipdate, {STAMP}) as shipped_text,
            case when l_returnflag = 'R' then 'true' else 'false' end as "Deleted",
            cast(year(l_shipdate) - 1994 as int) as "ExtractId"
     from lineitem),
@@ -217,7 +218,7 @@ INSTALLED = """installed as (
     select distinct 'Nation' || s_nationkey as practice, s_nationkey as nation
     from supplier where s_acctbal < 3000)"""
 
-CODES = """count(*) as "CodeCount", max(shipped) as "MostRecentDate\""""
+CODES = """count(*) as "CodeCount", max(shipped_text) as "MostRecentDate\""""
 
 NAME = """o_orderkey || '-' || case when o_orderpriority = '1-URGENT' then '' else cast(o_custkey as varchar) end
     || '_Sales_' || case when o_orderpriority = '2-HIGH' then 'Order_Item' else 'Order' end || '_'
@@ -382,7 +383,7 @@ ORACLE = {
         where "Deleted" = 'false' and practice in (from newer) group by practice, l_partkey""",
     "per_tenant_sql": f"""with {TABLES}
         select practice, count(*) as n_rows, count(distinct l_partkey) as n_parts,
-               max(shipped) as last_shipped from supplier_lines group by practice""",
+               max(shipped_text) as last_shipped from supplier_lines group by practice""",
     "for_each_tenant": """select 'Nation' || c_nationkey as practice, c_mktsegment, count(*) as n
         from customer group by all""",
     "listed_names": """select n_regionkey, string_agg(n_name, ', ' order by n_name) as names

@@ -237,7 +237,9 @@ def _code_counts(rows):
 
 @query
 def code_counts(spark, folder):
-    rows = versioned.current(s.lineitem_of_supplier(spark, folder), s.LINEITEM)
+    rows = versioned.current(
+        s.lineitem_of_supplier(spark, folder, text_dates=True), s.LINEITEM
+    )
     codes = s.given(spark, folder, "part").select(
         "p_partkey", F.col("p_name").alias("Term"), F.col("p_brand").alias("ReadTermId")
     )
@@ -250,7 +252,7 @@ def code_counts(spark, folder):
 
 @query
 def code_counts_incremental(spark, folder):
-    rows = s.lineitem_of_supplier(spark, folder)
+    rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
     state = analytics.total_code_counts(_code_counts(rows.where(F.col(VERSION) <= 4)))
     batch = analytics.total_code_counts(_code_counts(rows.where(F.col(VERSION) > 4)))
     folded = analytics.fold_code_counts(state, batch)
@@ -260,7 +262,7 @@ def code_counts_incremental(spark, folder):
 @query
 def code_counts_refreshed(spark, folder):
     """Practices with a newer extract are counted again, the others keep what they had."""
-    rows = s.lineitem_of_supplier(spark, folder)
+    rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
     state = _code_counts(versioned.as_of(rows, s.LINEITEM, 4))
     starters = s.practices(spark, folder).where("StartExtractId = 2").select(
         F.col("PracticeDBName").alias(TENANT)
@@ -278,7 +280,7 @@ def per_tenant_sql(spark, folder):
         spark,
         "select practice, count(*) as n_rows, count(distinct l_partkey) as n_parts, "
         "max(shipped) as last_shipped from {lines} group by practice",
-        lines=s.lineitem_of_supplier(spark, folder),
+        lines=s.lineitem_of_supplier(spark, folder, text_dates=True),
     )
 
 

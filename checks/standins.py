@@ -61,10 +61,12 @@ def late(condition: Column, extract: int) -> Column:
     return F.when(condition, extract).otherwise(1).alias(VERSION)
 
 
-def lineitem(spark: SparkSession, folder: str) -> DataFrame:
+def lineitem(spark: SparkSession, folder: str, text_dates: bool = False) -> DataFrame:
+    """Line items as history; the date as seconds, or as text the way extracts carry it."""
+    shipped = stamp("l_shipdate") if text_dates else F.unix_timestamp("l_shipdate")
     return given(spark, folder, "lineitem").select(
         *LINE_COLUMNS,
-        stamp("l_shipdate").alias("shipped"),
+        shipped.alias("shipped"),
         F.when(F.col("l_returnflag") == "R", "true").otherwise("false").alias("Deleted"),
         year_version("l_shipdate"),
     )
@@ -79,11 +81,13 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def lineitem_of_supplier(spark: SparkSession, folder: str) -> DataFrame:
+def lineitem_of_supplier(
+    spark: SparkSession, folder: str, text_dates: bool = False
+) -> DataFrame:
     homes = given(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("_supplier"), store_name("s_nationkey")
     )
-    return lineitem(spark, folder).join(homes, F.col("l_suppkey") == F.col("_supplier")).drop(
+    return lineitem(spark, folder, text_dates).join(homes, F.col("l_suppkey") == F.col("_supplier")).drop(
         "_supplier"
     )
 

@@ -11,53 +11,79 @@ SUFFIX = ".csv"
 FILE_TYPE = "<<FILE_TYPE>>"
 
 
-def parse_extract_name(name: str | Column) -> Column:
-    """A struct of the parts of a file name and the first rule it breaks.
+PARTS = (
+    "ProcessingIdStart",
+    "ProcessingIdEnd",
+    "SchemaName",
+    "TableName",
+    "ExtractDateString",
+    "ExtractDate",
+    "SharingAgreementGuid",
+)
 
-    ``name`` holds the parts and is null for bad names; ``parse_error`` is null for good ones.
+
+def with_parsed_name(df: DataFrame, column: str) -> DataFrame:
+    """The frame with the parts of a file name and ``parse_error``, the first rule it breaks.
+
+    Good names have a null ``parse_error``; for bad ones every part is null. The steps are separate
+    projections, so that each is evaluated once per row.
     """
-    name = col(name)
+    name = F.col(column)
     stem = F.substring(name, F.lit(1), F.length(name) - len(SUFFIX))
-    pieces = parts(stem, "_")
-    ids = parts(pieces[0], "-")
-    guid = guid_text(F.get(pieces, F.lit(4)))
-    stamp = F.get(pieces, F.lit(3))
-    date = F.try_to_timestamp(stamp, F.lit("yyyyMMddHHmmss")).cast("timestamp_ntz")
-    start, end = whole_number(F.get(ids, F.lit(0))), whole_number(F.get(ids, F.lit(1)))
-    schema, table = F.get(pieces, F.lit(1)), F.get(pieces, F.lit(2))
-    error = (
+    cut = df.withColumn("_pieces", parts(stem, "_"))
+
+    def piece(i: int) -> Column:
+        return F.get("_pieces", F.lit(i))
+
+    ids = cut.withColumns({"_ids": parts(piece(0), "-"), "ExtractDateString": piece(3)})
+    typed = ids.withColumns(
+        {
+            "ProcessingIdStart": whole_number(F.get("_ids", F.lit(0))),
+            "ProcessingIdEnd": whole_number(F.get("_ids", F.lit(1))),
+            "SchemaName": piece(1),
+            "TableName": piece(2),
+            "ExtractDate": compact_date("ExtractDateString"),
+            "SharingAgreementGuid": guid_text(piece(4)),
+        }
+    )
+    checked = typed.withColumn(
+        "parse_error",
         F.when(name.isNull(), "file name is null")
         .when(~F.lower(name).endswith(SUFFIX), "file name does not end in .csv")
-        .when(F.size(pieces) != 5, "file name does not have five parts")
-        .when(guid.isNull(), "sharing agreement is not an identifier")
-        .when(F.size(ids) != 2, "processing ids are not a pair")
-        .when(start.isNull() | end.isNull(), "processing id is not a number")
+        .when(F.size("_pieces") != 5, "file name does not have five parts")
+        .when(F.col("SharingAgreementGuid").isNull(), "sharing agreement is not an identifier")
+        .when(F.size("_ids") != 2, "processing ids are not a pair")
+        .when(
+            F.col("ProcessingIdStart").isNull() | F.col("ProcessingIdEnd").isNull(),
+            "processing id is not a number",
+        )
         .when(
-            (F.length(F.rtrim(schema)) == 0) | (F.length(F.rtrim(table)) == 0),
+            (F.rtrim("SchemaName") == "") | (F.rtrim("TableName") == ""),
             "schema or table name is empty",
         )
-        .when(F.length(F.rtrim(stamp)) != 14, "extract date is not 14 digits")
-        .when(~stamp.rlike("^[0-9]{14}$") | date.isNull(), "extract date is not a date")
+        .when(
+            F.length(F.rtrim("ExtractDateString")) != 14, "extract date is not 14 digits"
+        )
+        .when(F.col("ExtractDate").isNull(), "extract date is not a date"),
     )
-    fields = {
-        "ProcessingIdStart": start,
-        "ProcessingIdEnd": end,
-        "SchemaName": schema,
-        "TableName": table,
-        "ExtractDateString": stamp,
-        "ExtractDate": date,
-        "SharingAgreementGuid": guid,
-    }
-    return F.struct(
-        F.when(error.isNull(), F.struct(*[v.alias(f) for f, v in fields.items()])).alias("name"),
-        error.alias("parse_error"),
+    good = F.col("parse_error").isNull()
+    return checked.select(
+        *df.columns, *[F.when(good, F.col(p)).alias(p) for p in PARTS], "parse_error"
     )
 
 
-def with_parsed_name(df: DataFrame, column: str) -> DataFrame:
-    """The frame with the parts of a file name and its ``parse_error`` as further columns."""
-    parsed = df.select("*", parse_extract_name(column).alias("_parsed"))
-    return parsed.select(*df.columns, "_parsed.name.*", "_parsed.parse_error")
+def compact_date(value: str | Column) -> Column:
+    """``yyyyMMddHHmmss`` as a timestamp without zone; null if it is not one."""
+    text = col(value)
+
+    def digits(start: int, length: int) -> Column:
+        return F.substring(text, start, length)
+
+    day = F.concat_ws("-", digits(1, 4), digits(5, 2), digits(7, 2))
+    time = F.concat_ws(":", digits(9, 2), digits(11, 2), digits(13, 2))
+    return F.when(
+        text.rlike("^[0-9]{14}$"), F.concat_ws(" ", day, time).try_cast("timestamp_ntz")
+    )
 
 
 def name_template(start: Column, end: Column, stamp: Column, guid: Column) -> Column:
