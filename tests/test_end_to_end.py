@@ -243,16 +243,18 @@ def test_refusals_leave_the_store_alone(spark, tmp_path):
         refused(spark, root, str(tmp_path / name), ids, stamp, tables or x.bulk(), match, **options)
 
     bad("start", "must be a bulk extract", ids="2-9")
+    damaged = x.bulk()
+    damaged["Admin_Organisation"][0]["ProcessingId"] = 'the "end"'
+    damaged["Admin_Location"][0]["LocationGuid"] = "x" * 51
+    sharing = x.text(x.LAYOUT["Agreements_SharingOrganisation"], x.sharing(1, 2))
+    problems = (
+        "Admin_Location: 1 row.s. with a value longer than declared; "
+        "Admin_Organisation: more than one row contains a trailing quote; "
+        "Agreements_SharingOrganisation: a header appears among the rows"
+    )
+    bad("damaged", problems, damaged, replace={"Agreements_SharingOrganisation": sharing * 2})
     cut = x.text(x.LAYOUT["Admin_Patient"], x.bulk()["Admin_Patient"])[:-5]
     bad("cut", "Admin_Patient: no row contains a trailing quote", replace={"Admin_Patient": cut})
-    quoting = x.bulk()
-    quoting["Admin_Patient"][0]["ProcessingId"] = 'the "end"'
-    bad("quoting", "Admin_Patient: more than one row contains a trailing quote", quoting)
-    whole = x.text(x.LAYOUT["Admin_Patient"], x.bulk()["Admin_Patient"])
-    bad("joined", "Admin_Patient: a header appears among", replace={"Admin_Patient": whole * 2})
-    wide = x.bulk()
-    wide["Admin_Patient"][0]["Surname"] = "x" * 51
-    bad("wide", "longer than declared", wide)
     assert store.last_installed(spark, root) is None
     assert store.read_snapshot(spark, root, "ConfiguredPractices").isEmpty()
 

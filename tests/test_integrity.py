@@ -1,0 +1,169 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import integrity
+from tidemark.registry import COMMON, PRACTICE, ForeignKey, Registry, Table
+
+REGISTRY = Registry(
+    (
+        Table("parent", PRACTICE, ("k",)),
+        Table("child", PRACTICE, ("k",)),
+        Table("code", COMMON, ("k",), tenant=None),
+    ),
+    (
+        ForeignKey(10, "child", "p", "parent", "k"),
+        ForeignKey(20, "child", "c", "code", "k"),
+        ForeignKey(30, "parent", "c", "code", "k"),
+        ForeignKey(40, "code", "up", "code", "k"),
+    ),
+)
+VALUES = ["v1", "v2", "v3", "v4", "v5", "V1", "", "  ", None]
+
+
+def data(seed):
+    pick = random.Random(seed)
+    some = lambda: pick.choice(VALUES)
+    practice = lambda: f"P{pick.randrange(8)}"
+    when = lambda: pick.randrange(1, 6)
+    return (
+        [(some(), some(), practice(), when()) for _ in range(60)],
+        [(some(), some(), practice(), when()) for _ in range(300)],
+        [(some(), some(), when()) for _ in range(6)],
+    )
+
+
+def frames(spark, parent, child, code):
+    return {
+        "parent": spark.createDataFrame(parent, "k string, c string, practice string, ExtractId int"),
+        "child": spark.createDataFrame(child, "p string, c string, practice string, ExtractId int"),
+        "code": spark.createDataFrame(code, "k string, up string, ExtractId int"),
+    }
+
+
+def brute(parent, child, code, bound=None, same=lambda v: v):
+    def seen(e):
+        return bound is None or e <= bound
+
+    in_practice, anywhere = defaultdict(list), defaultdict(list)
+    for k, _, p, e in parent:
+        if k is not None and seen(e):
+            in_practice[p, same(k)].append(e)
+    for k, _, e in code:
+        if k is not None and seen(e):
+            anywhere[same(k)].append(e)
+    found = Counter()
+
+    def check(fk, scope, value, e, arrivals):
+        if seen(e) and value and value.strip() and not any(a <= e for a in arrivals):
+            found[fk, scope, same(value)] += 1
+
+    for p, c, practice, e in child:
+        check(10, practice, p, e, in_practice[practice, same(p or "")])
+        check(20, practice, c, e, anywhere[same(c or "")])
+    for _, c, practice, e in parent:
+        check(30, practice, c, e, anywhere[same(c or "")])
+    for _, up, e in code:
+        check(40, "*", up, e, anywhere[same(up or "")])
+    return found
+
+
+@pytest.mark.parametrize("seed,bound", [(1, None), (2, 3)])
+def test_all_keys_against_brute_force(spark, seed, bound):
+    tables = data(seed)
+    values = integrity.orphan_values(frames(spark, *tables), REGISTRY, bound=bound).cache()
+    expected = brute(*tables, bound=bound)
+    assert {
+        (r.ForeignKeyId, r.scope, r.Value): r.Count for r in values.collect()
+    } == expected
+    totals = {
+        (r.ForeignKeyId, r.scope): (r.Count, r.DistinctCount)
+        for r in integrity.orphan_totals(values).collect()
+    }
+    for group in {(fk, scope) for fk, scope, _ in expected}:
+        counts = [n for (fk, scope, _), n in expected.items() if (fk, scope) == group]
+        assert totals[group] == (sum(counts), len(counts))
+    assert len(totals) == len({(fk, scope) for fk, scope, _ in expected})
+    values.unpersist()
+
+
+def test_all_keys_without_case(spark):
+    tables = data(3)
+    fold = lambda v: v.lower().rstrip(" ")
+    values = integrity.orphan_values(
+        frames(spark, *tables), REGISTRY, collation="UTF8_LCASE_RTRIM"
+    )
+    assert values.schema["Value"].dataType.simpleString() == "string"
+    found = Counter({
+        (r.ForeignKeyId, r.scope, fold(r.Value)): r.Count for r in values.collect()
+    })
+    assert found == brute(*tables, same=fold)
+
+
+def test_one_key(spark, rows):
+    tables = frames(spark, *data(4))
+    expected = Counter()
+    for (fk, _, value), n in brute(*data(4)).items():
+        if fk == 10:
+            expected[value] += n
+    found = integrity.orphans(tables["child"], "p", tables["parent"], "k", by=["practice"])
+    assert found.columns == tables["child"].columns
+    assert Counter(r.p for r in found.collect()) == expected
+    assert rows(integrity.orphan_counts(found, "p")) == [(sum(expected.values()), len(expected))]
+
+
+def test_the_order_of_arrival_counts(spark, rows):
+    child = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "p string, ExtractId int")
+    parent = spark.createDataFrame([("a", 2), ("a", 3)], "k string, ExtractId int")
+    assert rows(integrity.orphans(child, "p", parent, "k")) == [("a", 1), ("b", 1)]
+    assert rows(integrity.orphans(child, "p", parent, "k", version=None)) == [("b", 1)]
+
+
+def test_deletions(spark, rows):
+    """They count only in the as-of reading."""
+    registry = Registry(
+        (Table("parent", PRACTICE, ("k",), deleted="Deleted"), Table("child", PRACTICE, ("k",))),
+        (ForeignKey(1, "child", "p", "parent", "k"),),
+    )
+    tables = {
+        "parent": spark.createDataFrame(
+            [("a", "false", "P", 1), ("a", "true", "P", 2)],
+            "k string, Deleted string, practice string, ExtractId int",
+        ),
+        "child": spark.createDataFrame(
+            [("c", "a", "P", 1)], "k string, p string, practice string, ExtractId int"
+        ),
+    }
+    key = registry.foreign_keys[0]
+    assert integrity.orphan_values(tables, registry).isEmpty()
+    assert integrity.orphans_as_of(tables, registry, key, 1).isEmpty()
+    assert integrity.orphans_as_of(tables, registry, key, 2).count() == 1
+
+
+def test_samples(spark, rows):
+    values = spark.createDataFrame(
+        [(1, f"v{i:02d}") for i in range(25)] * 2 + [(2, "x")], "g int, Value string"
+    )
+    found = integrity.orphan_samples(values, "Value", by=["g"])
+    assert rows(found) == [(1, f"v{i:02d}", i + 1) for i in range(10)] + [(2, "x", 1)]
+    assert integrity.orphan_samples(values, "Value").count() == 10
+    # The limit is applied before the shuffle of the window.
+    plan = integrity.orphan_samples(values, "Value", by=["g"])._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("WindowGroupLimit") == 2
+
+
+def test_hot_values_shrink_before_the_shuffle(spark):
+    """Half a table pointing at one value is one row per task when it is shuffled."""
+    child = spark.range(0, 40000, 1, 4).select(
+        F.lit("k").alias("k"), F.lit("P").alias("practice"), F.lit(1).alias("ExtractId"),
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("c"),
+        F.lit(None).cast("string").alias("p"),
+    )
+    empty = frames(spark, [], [], [])
+    values = integrity.orphan_values({**empty, "child": child}, REGISTRY)
+    hot = values.where("Value = 'hot'").first()
+    assert hot.Count == 20000
+    assert integrity.orphan_totals(values).first().DistinctCount == 20001
+    assert "CartesianProduct" not in values._jdf.queryExecution().executedPlan().toString()

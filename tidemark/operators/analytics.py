@@ -103,9 +103,9 @@ def for_each_practice(
 ) -> DataFrame:
     """Run a query that knows nothing of practices against each practice's own rows.
 
-    The results come back as one frame with the practice added. Each branch reads only its
-    practice's partitions, but the plan grows with the list: for many practices write the query
-    for :func:`across_practices`.
+    The results come back as one frame with the practice added. Each branch filters its practice,
+    which file statistics make cheap, but the plan grows with the list: for many practices write
+    the query for :func:`across_practices`.
     """
     if not practices:
         raise ValueError("no practices given")

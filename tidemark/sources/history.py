@@ -1,7 +1,8 @@
 """The store: histories of the extract tables and the small control tables.
 
-``<root>/history/<table>/ExtractId=n[/practice=p]`` holds the rows that came with extract n. An
-install writes its folder whole and only then adds its line to ``InstalledExtracts``. Readers look
+``<root>/history/<table>/ExtractId=n`` holds the rows that came with extract n. The practice is a
+column, by which the files of an extract are clustered: a folder per practice and extract would make
+millions of small files, while file statistics skip other practices as well. An install writes its folder whole and only then adds its line to ``InstalledExtracts``. Readers look
 at committed extracts alone, so a broken install is invisible and rerunning it replaces its folder.
 The registry of practices and the column layout are kept as snapshots under the same rule.
 """
@@ -131,14 +132,12 @@ def layout_rows(spark: SparkSession, registry: Registry) -> DataFrame:
 def write_extract(df: DataFrame, root: str, table: Table, extract: int) -> None:
     """Write the rows of one extract, replacing what an earlier attempt left.
 
-    Practice tables are rebalanced by practice first: small practices share a task, a large one is
-    split over several, and no task writes a file for every practice.
+    Practice tables are rebalanced by practice first: small practices share a file, a large one is
+    split over several, and all files have a sensible size whatever the number of practices.
     """
-    path = f"{history_path(root, table.name)}/{VERSION}={extract}"
     if table.kind == PRACTICE:
-        df.hint("rebalance", TENANT).write.mode("overwrite").partitionBy(TENANT).parquet(path)
-    else:
-        df.write.mode("overwrite").parquet(path)
+        df = df.hint("rebalance", TENANT).sortWithinPartitions(TENANT)
+    df.write.mode("overwrite").parquet(f"{history_path(root, table.name)}/{VERSION}={extract}")
 
 
 def read_extract(
@@ -159,7 +158,7 @@ def read_history(
     rows = _read(spark, history_path(root, table.name), table.history_schema)
     rows = rows.where(F.col(VERSION) <= (installed or 0))
     if table.kind == PRACTICE:
-        # Rows of join-routed tables that found no practice stay in the null partition.
+        # Rows of join-routed tables that found no practice are kept apart, never read.
         rows = rows.where(F.col(TENANT).isNotNull())
     return rows.select(*table.history_schema.names)
 

@@ -164,7 +164,7 @@ def check_widths(df: DataFrame, table: Table) -> DataFrame:
 def read_strict_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """For files that follow the CSV standard strictly: doubled quotes are read as one.
 
-    One task per file, since a quoted line end cannot be told from a record end in mid-file.
+    Line ends inside fields come out as a single line feed. One task per file, since a quoted line end cannot be told from a record end in mid-file.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
     return (
