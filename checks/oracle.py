@@ -304,6 +304,11 @@ ORACLE = {
         select {LINE_COLUMNS.replace(', "ExtractId"', '')} from lines where "Deleted" = 'false'""",
     "as_of_bucketed": f"""with {TABLES} select {LINE_COLUMNS} from {latest('lines', LINE_KEYS, 4)}
         where "Deleted" = 'false'""",
+    "as_of_function": f"""with {TABLES} select {LINE_COLUMNS} from {latest('lines', LINE_KEYS, 4)}
+        where "Deleted" = 'false'""",
+    "current_view_in_sql": f"""with {TABLES} select l_returnflag, l_linestatus, count(*) as n,
+        max(shipped) as last_shipped from {latest('lines', LINE_KEYS, None)}
+        where "Deleted" = 'false' group by all""",
     "extract_diff": _diff(),
     "fk_orphan_rows": f"""with {TABLES} select l_orderkey, l_linenumber, shipped, "ExtractId"
         from lines f where not exists (select 1 from orders

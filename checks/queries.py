@@ -13,10 +13,11 @@ from tidemark.operators import analytics, integrity, results, routing, tenants,
 from tidemark.operators.constraints import Check, NotNull, Reference, Unique, check_constraints
 from tidemark.operators.report import report_lines
 from tidemark.plans.validate import per_run, plan_runs
-from tidemark.registry import PRACTICE, TENANT, VERSION, Table, Via
+from tidemark.registry import PRACTICE, TENANT, VERSION, Table
 from tidemark.sources import quoted_text
 from tidemark.sources.history import save_bucketed
 from tidemark.sources.shared import new_folder
+from tidemark.sources.views import register_views
 
 NOW = datetime(2002, 1, 31, 12, 0)
 
@@ -78,6 +79,22 @@ def as_of_bucketed(spark, folder):
     return versioned.as_of(spark.table(name), s.LINEITEM, 4, in_place=True)
 
 
+@query
+def as_of_function(spark, folder):
+    """The same state through SQL."""
+    register_views(spark, {"lineitem": s.lineitem(spark, folder)}, s.REGISTRY)
+    return spark.sql("select * from fn_lineitem(4)")
+
+
+@query
+def current_view_in_sql(spark, folder):
+    register_views(spark, {"lineitem": s.lineitem(spark, folder)}, s.REGISTRY)
+    return spark.sql(
+        "select l_returnflag, l_linestatus, count(*) as n, max(shipped) as last_shipped "
+        "from vw_lineitem group by all"
+    )
+
+
 @query
 def extract_diff(spark, folder):
     return versioned.extract_diff(

@@ -24,6 +24,7 @@ from tidemark.plans.install import (
     install_all,
     install_extract,
     stage_extract,
+    staged_tables,
 )
 from tidemark.plans.validate import ValidationError, compare_runs, validate_practices
 from tidemark.sources import history as store
@@ -260,6 +261,9 @@ def test_refusals_leave_the_store_alone(spark, tmp_path):
 
     directory, marker = x.write_extract(str(tmp_path / "good"), "1-9", "20170201000000", x.bulk())
     stage_extract(spark, root, directory, marker, x.FEW)
+    staged = staged_tables(spark, root, x.FEW)
+    assert staged["Admin_Patient"].columns == x.LAYOUT["Admin_Patient"]
+    assert staged["Admin_Patient"].count() == 6
     with pytest.raises(ExtractError, match="already staged"):
         stage_extract(spark, root, directory, marker, x.FEW)
     assert install_extract(spark, root, x.FEW).extract == 1

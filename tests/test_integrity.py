@@ -154,6 +154,13 @@ def test_samples(spark, rows):
     assert plan.executedPlan().toString().count("WindowGroupLimit") == 2
 
 
+def test_a_hot_orphan_is_split(spark, small_skew, hot_rows, final_plan):
+    parent = spark.createDataFrame([(5, 1)], "k long, ExtractId int")
+    found = integrity.orphans(hot_rows, "k", parent, "k")
+    assert "skew=true" in final_plan(found)
+    assert found.count() == 30000
+
+
 def test_hot_values_shrink_before_the_shuffle(spark):
     """Half a table pointing at one value is one row per task when it is shuffled."""
     child = spark.range(0, 40000, 1, 4).select(

@@ -2,12 +2,12 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import versioned
-from tidemark.registry import PRACTICE, Table
+from tidemark.registry import PRACTICE, Registry, Table
 from tidemark.sources.history import save_bucketed
 from tidemark.sources.shared import new_folder
+from tidemark.sources.views import register_views
 
 TABLE = Table("t", PRACTICE, ("a", "b"), deleted="Deleted")
 SCHEMA = "v string, a string, b string, Deleted string, practice string, ExtractId int"
@@ -49,6 +49,11 @@ def test_as_of_against_brute_force(spark, n):
     by_join = versioned.as_of(df, TABLE, n)
     assert by_join.columns == df.columns
     assert Counter(map(tuple, by_join.collect())) == expected
+    register_views(spark, {"t": df}, Registry((TABLE,)))
+    by_function = spark.sql(f"select * from fn_t({n or 'null'})")
+    assert Counter(map(tuple, by_function.collect())) == expected
+    if n is None:
+        assert Counter(map(tuple, spark.table("vw_t").collect())) == expected
     by_window = versioned.as_of(df, TABLE, n, in_place=True)
     assert Counter(map(tuple, by_window.collect())) == expected
 
@@ -97,37 +102,11 @@ def test_keys_compared_without_case(spark, rows):
     assert rows(found, "v") == [("y",)]
 
 
-def final_plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_a_hot_key_is_split(spark):
+def test_a_hot_key_is_split(small_skew, hot_rows, final_plan):
     """A third of all rows on one key and version: the join splits them over tasks."""
-    wide = F.concat_ws("", *[F.sha2((F.col("id") * 7 + i).cast("string"), 256) for i in range(8)])
-    df = spark.range(0, 30000, 1, 8).select(
-        F.when(F.col("id") < 10000, -1).otherwise(F.col("id")).alias("k"),
-        F.when(F.col("id") < 10000, 2).otherwise(1 + F.col("id") % 2).alias("ExtractId"),
-        wide.alias("v"),
-    )
-    settings = {
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        found = versioned.latest_rows(df, ["k"])
-        assert "skew=true" in final_plan(found)
-        assert found.count() == 30000
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    found = versioned.latest_rows(hot_rows, ["k"])
+    assert "skew=true" in final_plan(found)
+    assert found.count() == 30000
 
 
 def test_a_bucketed_history_is_read_without_shuffle(spark):

@@ -32,21 +32,33 @@ def orphans(
 ) -> DataFrame:
     """The child rows whose value has no parent row, or none that arrived in time.
 
-    The parent is first reduced to the earliest version per key, so each child row meets at most one
-    parent row however often a parent was sent. ``by`` names scope columns both sides share;
-    ``version=None`` ignores the order of arrival.
+    ``by`` names scope columns both sides share; ``version=None`` ignores the order of arrival. The
+    distinct (scope, value, version) combinations of the child are checked against the earliest
+    version of each parent key, so neither a value that many rows carry nor a parent sent many times
+    weighs on the join. The rows are then picked by their combination: without a shuffle if orphans
+    are few, split at run time by the adaptive skew join if one value has very many.
     """
-    scope = [F.col(c).alias(f"_by_{c}") for c in by]
-    values = parent.where(F.col(key).isNotNull()).groupBy(
-        *scope, comparable(key, collation).alias("_key")
+    filled = child.where(is_filled(column))
+    arrival = version or (VERSION if VERSION in child.columns else None)
+    mine = {f"_by{i}": F.col(c) for i, c in enumerate(by)}
+    mine["_value"] = comparable(F.col(column), collation)
+    if arrival:
+        mine["_arrival"] = F.col(arrival)
+    theirs = [F.col(c).alias(f"_in{i}") for i, c in enumerate(by)]
+    first = (
+        parent.where(F.col(key).isNotNull())
+        .groupBy(*theirs, comparable(key, collation).alias("_key"))
+        .agg(F.min(version or F.lit(0)).alias("_first"))
     )
-    first = values.agg(F.min(version or F.lit(0)).alias("_first"))
-    matches = comparable(F.col(column), collation) == F.col("_key")
-    for c in by:
-        matches &= F.col(c) == F.col(f"_by_{c}")
+    found = F.col("_value") == F.col("_key")
+    for i in range(len(by)):
+        found &= F.col(f"_by{i}") == F.col(f"_in{i}")
     if version:
-        matches &= F.col(version) >= F.col("_first")
-    return child.where(is_filled(column)).join(first, matches, "left_anti")
+        found &= F.col("_arrival") >= F.col("_first")
+    combinations = filled.select(*[v.alias(n) for n, v in mine.items()]).distinct()
+    unmet = combinations.join(first, found, "left_anti")
+    same = reduce(Column.__and__, [value.eqNullSafe(F.col(n)) for n, value in mine.items()])
+    return filled.join(unmet, same, "left_semi")
 
 
 def orphan_counts(rows: DataFrame, column: str, *, by: Sequence[str] = ()) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
@@ -109,6 +111,17 @@ def stage_extract(
     return staged
 
 
+def staged_tables(
+    spark: SparkSession, root: str, registry: Registry = care_records.CARE_RECORDS
+) -> dict[str, DataFrame]:
+    """The tables of the staged extract as they would be installed, for a look before."""
+    staged = store.read_control(spark, root, "StagedExtract").first()
+    if staged is None:
+        raise ExtractError("no extract is staged")
+    _, tables = _staged_rows(spark, root, staged, registry)
+    return {name: rows.drop(FILE, *FLAGS) for name, rows in tables.items()}
+
+
 def clean_staging(spark: SparkSession, root: str) -> None:
     nothing = spark.createDataFrame([], store.CONTROL["StagedExtract"])
     store.replace_control(nothing, root, "StagedExtract")
@@ -163,25 +176,21 @@ def install_extract(
         raise ExtractError(staged.Problem)
     previous, extract = staged.PreviousExtractId, staged.NextExtractId
 
-    files = _table_files(spark, staged.FileDirectory, staged, registry)
-    shapes = {name: read_shape(spark, path) for name, path in files.items()}
-    registry = _agreed_layout(store.read_layout(spark, root, registry), shapes)
-
-    def rows_of(name: str) -> DataFrame:
-        return read_extract_table(spark, files[name], registry.table(name), shapes[name]).drop(FILE)
+    registry, rows = _staged_rows(spark, root, staged, registry)
 
     # Common tables go first: the sharing organisations are then read back from what was written.
     for table in registry.select(practice=False):
-        store.write_extract(rows_of(table.name), root, table, extract)
+        _write(rows[table.name], root, table, extract)
     _check_written(spark, root, registry.select(practice=False), extract)
 
+    # Both tenant lists are written as part of this extract and read back: small tables, fixed.
     practices = _practices_for(spark, root, registry, special, extract, previous)
     organisations = _organisations(spark, root, registry, special, extract, practices)
+    store.write_snapshot(organisations, root, "SharingOrganisations", extract)
+    organisations = store.snapshot_of(spark, root, "SharingOrganisations", extract)
     if not repeated_keys(organisations, ["OrganisationGuid"]).isEmpty():
         raise ExtractError("an organisation is described or shared more than once")
-    # The tenant list, one row per sharing organisation: fixed once for all tables.
-    tenant_list = routing.installed_practices(organisations)
-    installed = spark.createDataFrame(tenant_list.collect(), tenant_list.schema)
+    installed = routing.installed_practices(organisations)
 
     routed: dict[str, DataFrame] = {}
     in_order = sorted(registry.select(common=False), key=lambda t: t.via is not None)
@@ -190,12 +199,13 @@ def install_extract(
         if table.via:
             # Parents are read back from their written rows, practice already attached.
             parent = store.read_extract(spark, root, registry.table(table.via.parent), extract, _KEPT)
-        rows = routing.route_rows(rows_of(table.name), table, installed, parent)
-        store.write_extract(rows, root, table, extract)
+        _write(
+            routing.route_rows(rows[table.name], table, installed, parent), root, table, extract
+        )
         routed[table.name] = store.read_extract(spark, root, table, extract, _KEPT)
     _check_written(spark, root, in_order, extract)
 
-    counts = _counts(spark, routed)
+    counts = _counts(routed)
     left = {
         r.TableName: r.Rows for r in counts.where(F.col(TENANT).isNull()).collect()
     }
@@ -204,7 +214,6 @@ def install_extract(
     if stuck:
         raise ExtractError("rows of no configured, sharing practice: " + "; ".join(stuck))
 
-    store.write_snapshot(practices, root, "ConfiguredPractices", extract)
     if previous is None:
         store.write_snapshot(store.layout_rows(spark, registry), root, "TableLayout", extract)
     entry = gate.select(
@@ -274,12 +283,12 @@ def _check_written(
         store.read_extract(spark, root, t, extract, _KEPT).select(F.lit(t.name).alias("t"), *FLAGS)
         for t in tables
     ]
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    counts = union.groupBy("t").agg(*[F.count_if(f).alias(f) for f in FLAGS])
+    counts = reduce(DataFrame.unionByName, frames).groupBy("t").agg(
+        F.count("*").alias("n"), *[F.count_if(f).alias(f) for f in FLAGS]
+    )
     problems = []
     for row in counts.orderBy("t").collect():
+        log.info("%s: %d row(s)", row.t, row.n)
         if row[REPEATED]:
             problems.append(f"{row.t}: a header appears among the rows")
         if row[RAGGED]:
@@ -325,9 +334,8 @@ def _practices_for(
         special.store_prefix,
     )
     practices = tenants.activate_practices(known.unionByName(found), extract, previous)
-    # A registry of practices, one row each: fixed now so that what is checked is what is written.
-    rows = practices.collect()
-    practices = spark.createDataFrame(rows, store.CONTROL["ConfiguredPractices"])
+    store.write_snapshot(practices, root, "ConfiguredPractices", extract)
+    practices = store.snapshot_of(spark, root, "ConfiguredPractices", extract)
     extracts = store.read_control(spark, root, "InstalledExtracts").select(VERSION)
     tables = {
         "ConfiguredPractices": practices,
@@ -344,12 +352,28 @@ def _practices_for(
     return practices
 
 
-def _counts(spark: SparkSession, routed: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per practice and table, counted once and kept as a small frame."""
-    union = None
-    for name, rows in routed.items():
-        counts = routing.counts_by_practice(rows, name)
-        union = counts if union is None else union.unionByName(counts)
-    return spark.createDataFrame(
-        union.collect(), f"TableName string, {TENANT} string, Rows long"
+def _counts(routed: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows per table and practice of what was written."""
+    return reduce(
+        DataFrame.unionByName,
+        [routing.counts_by_practice(rows, name) for name, rows in routed.items()],
     )
+
+
+def _staged_rows(
+    spark: SparkSession, root: str, staged: Row, registry: Registry
+) -> tuple[Registry, dict[str, DataFrame]]:
+    """The registry with its layout, and the repaired, flagged rows of every staged file."""
+    files = _table_files(spark, staged.FileDirectory, staged, registry)
+    shapes = {name: read_shape(spark, path) for name, path in files.items()}
+    registry = _agreed_layout(store.read_layout(spark, root, registry), shapes)
+    return registry, {
+        name: read_extract_table(spark, path, registry.table(name), shapes[name])
+        for name, path in files.items()
+    }
+
+
+def _write(rows: DataFrame, root: str, table: Table, extract: int) -> None:
+    start = time.monotonic()
+    store.write_extract(rows.drop(FILE), root, table, extract)
+    log.info("%s: written in %.1fs", table.name, time.monotonic() - start)

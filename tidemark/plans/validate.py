@@ -98,9 +98,7 @@ def validate_practices(
         if practices.isEmpty():
             raise ValidationError(f"practice {practice} is not configured")
     first_run = (past[0] or 0) + 1
-    planned, skipped = plan_runs(practices, extract, first_run, group, now or datetime.now())
-    # The tenant list with its run ids, fixed before it is used several times.
-    runs = spark.createDataFrame(planned.collect(), planned.schema)
+    runs, skipped = plan_runs(practices, extract, first_run, group, now or datetime.now())
     if practice and runs.isEmpty():
         raise ValidationError(f"practice {practice} {skipped.first().Reason}")
 

@@ -26,6 +26,10 @@ CONTROL = {
     "StagedExtract": _STAGED,
     "InstalledExtracts": f"ExtractId int, {_STAGED}, InstalledDated timestamp_ntz",
     "ConfiguredPractices": PRACTICE_SCHEMA,
+    "SharingOrganisations": (
+        "OrganisationGuid string, HaveDetails boolean, IsInstalled boolean, CDB string, "
+        "OrganisationName string, ODSCode string, PracticeDBName string"
+    ),
     "TableLayout": "TableName string, Position int, ColumnName string",
     "Run": "RunId int, PracticeDBName string, ExtractId int, RunDate timestamp_ntz, RunGroupId int",
     "RunText": "RunId int, LineId int, Line string",
@@ -101,9 +105,15 @@ def snapshot_version(
 
 
 def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
-    rows = _snapshots(spark, root, name)
     version = snapshot_version(spark, root, name, last_installed(spark, root))
-    extract, revision = version or (-1, -1)
+    return snapshot_of(spark, root, name, *(version or (-1, -1)))
+
+
+def snapshot_of(
+    spark: SparkSession, root: str, name: str, extract: int, revision: int = 0
+) -> DataFrame:
+    """One snapshot, committed or not."""
+    rows = _snapshots(spark, root, name)
     return rows.where((F.col("AsOfExtract") == extract) & (F.col("Revision") == revision)).drop(
         "AsOfExtract", "Revision"
     )

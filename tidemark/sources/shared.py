@@ -17,9 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{SETTING} is not set: no folder that all executors share is known")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
