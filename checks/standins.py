@@ -9,6 +9,7 @@ item with return flag R counts as deleted.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table, Via
 from tidemark.sources.shared import new_folder
@@ -41,8 +42,15 @@ LINE_COLUMNS = [
 ]
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def given(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table; its schema is read from the file once, not for every use."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def stamp(column: str | Column) -> Column:

@@ -109,11 +109,11 @@ def orphan_values(
             bound, collation,
         )
         for name in sorted({fk.from_table for fk in keys})
-    )
+    ).groupBy("_fk", "scope", "Value", VERSION).agg(F.count("*").alias("_n"))
     parents = _union(
         _first_seen(tables[table], column, n, bound, collation)
         for n, (table, column) in enumerate(targets)
-    )
+    ).groupBy("_to", "_seen_in", "_key").agg(F.min(VERSION).alias("_first"))
 
     def per_key(values) -> Column:
         return F.array(*[F.lit(v) for v in values])[F.col("_fk")]
@@ -200,8 +200,6 @@ def _child_values(
             VERSION,
             comparable("Value", collation).alias("Value"),
         )
-        .groupBy("_fk", "scope", "Value", VERSION)
-        .agg(F.count("*").alias("_n"))
     )
 
 
@@ -217,8 +215,6 @@ def _first_seen(
             comparable(F.col(column).cast("string"), collation).alias("_key"),
             F.col(VERSION).cast("int").alias(VERSION),
         )
-        .groupBy("_to", "_seen_in", "_key")
-        .agg(F.min(VERSION).alias("_first"))
     )
 
 
