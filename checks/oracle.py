@@ -401,8 +401,9 @@ ORACLE = {
                  when o_orderpriority = '3-MEDIUM' then 'extract date is not 14 digits'
             end as parse_error from orders)
         select o_orderkey, "FileName",
-            case when parse_error is null then cast(o_orderkey as int) end as "ProcessingIdStart",
-            case when parse_error is null then cast(o_custkey as int) end as "ProcessingIdEnd",
+            case when parse_error is null then cast(o_orderkey as varchar) end
+                as "ProcessingIdStart",
+            case when parse_error is null then cast(o_custkey as varchar) end as "ProcessingIdEnd",
             case when parse_error is null then 'Sales' end as "SchemaName",
             case when parse_error is null then 'Order' end as "TableName",
             case when parse_error is null then strftime(o_orderdate, '%Y%m%d') || '000000' end
@@ -439,11 +440,11 @@ ORACLE = {
     "staging_organisations": f"with {ORGANISATIONS} select * from organisations",
     "activated_practices": f"""with {ORGANISATIONS}
         select "OrganisationGuid", "PracticeName", "ODSCode", "CDB", "PracticeDBName",
-               "StartExtractId", 0 as "NewlyConfigured", cast(null as int) as "ConfiguredAfter"
+               "StartExtractId", 0 as "NewlyConfigured"
         from known
         union all
         select upper("OrganisationGuid"), "OrganisationName", "ODSCode", cast("CDB" as int),
-               'Nation' || "CDB", 8, 0, null
+               'Nation' || "CDB", 8, 0
         from organisations where "HaveDetails" = 1 and "IsInstalled" = 0""",
     "install_gate": f"""
         with last as (select o_orderkey, o_orderdate from orders where o_orderstatus = 'F'

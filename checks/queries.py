@@ -344,7 +344,14 @@ def parse_names(spark, folder):
         F.when(F.col("o_orderstatus") == "P", ".txt").otherwise(".csv"),
     )
     named = orders.select("o_orderkey", name.alias("FileName"))
-    return with_parsed_name(named, "FileName").withColumn("ExtractDate", s.stamp("ExtractDate"))
+    parsed = with_parsed_name(named, "FileName")
+    return parsed.withColumns(
+        {
+            "ProcessingIdStart": F.col("ProcessingIdStart").cast("string"),
+            "ProcessingIdEnd": F.col("ProcessingIdEnd").cast("string"),
+            "ExtractDate": s.stamp("ExtractDate"),
+        }
+    )
 
 
 @query
@@ -506,7 +513,9 @@ def activated_practices(spark, folder):
     known, organisations = _organisations(spark, folder)
     new = tenants.new_practices(organisations, 7, "Nation")
     result = tenants.activate_practices(known.unionByName(new), 8, 7)
-    return result.withColumn("NewlyConfigured", F.col("NewlyConfigured").cast("int"))
+    return result.withColumn("NewlyConfigured", F.col("NewlyConfigured").cast("int")).drop(
+        "ConfiguredAfter"
+    )
 
 
 @query

@@ -159,6 +159,12 @@ def delta_with_new_practice():
         "Admin_Organisation": [organisation(3)],
         "Agreements_SharingOrganisation": sharing(1, 2, 3),
         "Admin_Patient": [patient(7, 2), patient(8, 3)],
+        # A session sent twice doubles its users, the last row of their file included.
+        "Appointment_Session": [
+            {"AppointmentSessionGuid": "S3", "LocationGuid": "L3", "OrganisationGuid": ORG[3]},
+            {"AppointmentSessionGuid": "S3", "LocationGuid": "L3", "OrganisationGuid": ORG[3]},
+        ],
+        "Appointment_SessionUser": [{"SessionGuid": "S3", "UserInRoleGuid": "U1"}],
         "Appointment_Slot": [
             {"SlotGuid": "T1", "PatientGuid": "P1", "OrganisationGuid": ORG[3]},
             {"SlotGuid": "T2", "PatientGuid": "P8", "OrganisationGuid": ORG[3]},

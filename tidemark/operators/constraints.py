@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -29,8 +29,9 @@ class NotNull:
     def name(self) -> str:
         return f"not null ({self.column})"
 
-    def violations(self, df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-        return df.where(F.col(self.column).isNull())
+    @property
+    def broken(self) -> Column:
+        return F.col(self.column).isNull()
 
 
 @dataclass(frozen=True)
@@ -52,14 +53,17 @@ class Reference:
 
 @dataclass(frozen=True)
 class Check:
+    """A condition every row must meet; as in SQL, one that comes out null is met."""
+
     condition: str
 
     @property
     def name(self) -> str:
         return self.condition
 
-    def violations(self, df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
-        return df.where(f"not ({self.condition})")
+    @property
+    def broken(self) -> Column:
+        return ~F.expr(self.condition)
 
 
 Constraint = Unique | NotNull | Reference | Check
@@ -73,15 +77,33 @@ def repeated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def check_constraints(
     tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Constraint]]
 ) -> DataFrame:
-    """``TableName, Rule, Violations`` for every rule, kept or broken."""
-    counts = [
-        rule.violations(tables[table], tables).agg(F.count("*").alias("Violations")).select(
-            F.lit(table).alias("TableName"), F.lit(rule.name).alias("Rule"), "Violations"
-        )
-        for table, table_rules in rules.items()
-        for rule in table_rules
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """``TableName, Rule, Violations`` for every rule, kept or broken.
+
+    All rules about single rows of a table are counted in one pass over it.
+    """
+    parts = []
+    for table, table_rules in rules.items():
+        by_row = [r for r in table_rules if isinstance(r, NotNull | Check)]
+        if by_row:
+            counts = [F.count_if(r.broken).alias(f"r{i}") for i, r in enumerate(by_row)]
+            entries = [
+                F.struct(F.lit(r.name).alias("Rule"), F.col(f"r{i}").alias("Violations"))
+                for i, r in enumerate(by_row)
+            ]
+            one = tables[table].agg(*counts).select(F.inline(F.array(*entries)))
+            parts.append(one.select(F.lit(table).alias("TableName"), "Rule", "Violations"))
+        for rule in table_rules:
+            if rule not in by_row:
+                count = rule.violations(tables[table], tables).agg(
+                    F.count("*").alias("Violations")
+                )
+                parts.append(
+                    count.select(
+                        F.lit(table).alias("TableName"), F.lit(rule.name).alias("Rule"),
+                        "Violations",
+                    )
+                )
+    return reduce(DataFrame.unionByName, parts)
 
 
 # The rules of the control tables.

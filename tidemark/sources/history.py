@@ -153,10 +153,18 @@ def write_extract(df: DataFrame, root: str, table: Table, extract: int) -> None:
 def read_extract(
     spark: SparkSession, root: str, table: Table, extract: int, extra: T.StructType
 ) -> DataFrame:
-    """What an install wrote for one table, committed or not, with the extra columns it kept."""
+    """What an install wrote for one table, committed or not, with the extra columns it kept.
+
+    Only the folder of that extract is listed.
+    """
     schema = T.StructType(extra.fields + table.history_schema.fields)
-    rows = _read(spark, history_path(root, table.name), schema)
-    return rows.where(F.col(VERSION) == extract)
+    base = history_path(root, table.name)
+    return (
+        spark.read.schema(schema)
+        .option("basePath", base)
+        .parquet(f"{base}/{VERSION}={extract}")
+        .withColumn(VERSION, F.lit(extract))
+    )
 
 
 def read_history(
