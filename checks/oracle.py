@@ -71,17 +71,28 @@ KEYS = {
 }
 
 
-def orphan_rows(bound: int | None = None) -> str:
+def state(source: str, n: int) -> str:
+    """Only line items have several versions or deletions."""
+    if source == "supplier_lines":
+        return f"""(select * from {latest(source, PRACTICE_LINE_KEYS, n)}
+            where "Deleted" = 'false')"""
+    return f'(select * from {source} where "ExtractId" <= {n})'
+
+
+def orphan_rows(bound: int | None = None, as_of: int | None = None) -> str:
     """One row per orphan child row: ForeignKeyId, scope, Value."""
     parts = []
     for number, (child, column, scoped, parent, key, inside) in KEYS.items():
+        in_time = 'and f."ExtractId" >= t."ExtractId"'
+        if as_of:
+            child, parent, in_time = state(child, as_of), state(parent, as_of), ""
         parts.append(f"""
             select {number} as "ForeignKeyId", {'f.practice' if scoped else "'*'"} as scope,
                    cast(f.{column} as varchar) as "Value"
             from {child} f
             where {f'f."ExtractId" <= {bound} and' if bound else ''} not exists (
                 select 1 from {parent} t
-                where t.{key} = f.{column} and f."ExtractId" >= t."ExtractId"
+                where t.{key} = f.{column} {in_time}
                 {'and t.practice = f.practice' if inside else ''})""")
     return " union all ".join(parts)
 
@@ -330,13 +341,8 @@ ORACLE = {
     "fk_caseless": """select doc_id, upper(source) || ' ' as source from documents d
         where not exists (select 1 from documents p join labels l on p.doc_id = l.doc_id
             where toxic = 1 and lower(p.source) = lower(d.source))""",
-    "fk_as_of_mode": f"""with {TABLES},
-        child as (select * from {latest('supplier_lines', PRACTICE_LINE_KEYS, 4)}
-            where "Deleted" = 'false'),
-        parent as (select * from {latest('order_rows', ['practice', 'o_orderkey'], 4)})
-        select practice, count(*) as "Count", count(distinct l_orderkey) as "DistinctCount"
-        from child f where not exists (select 1 from parent t
-            where t.o_orderkey = f.l_orderkey and t.practice = f.practice) group by practice""",
+    "fk_as_of_mode": f"""with {TABLES}, o as ({orphan_rows(as_of=4)}) select "ForeignKeyId", scope,
+        count(*) as "Count", count(distinct "Value") as "DistinctCount" from o group by all""",
     "planned_runs": f"""with {TABLES}
         select "PracticeDBName", cast(row_number() over
             (order by "StartExtractId", "PracticeName", "PracticeDBName") as varchar) as "Outcome"

@@ -164,11 +164,8 @@ def fk_caseless(spark, folder):
 
 @query
 def fk_as_of_mode(spark, folder):
-    tables = {
-        "lineitem": s.lineitem_of_supplier(spark, folder), "orders": s.orders(spark, folder)
-    }
-    rows = integrity.orphans_as_of(tables, s.REGISTRY, s.REGISTRY.foreign_keys[2], 4)
-    return integrity.orphan_counts(rows, "l_orderkey", by=[TENANT])
+    values = integrity.orphan_values_as_of(s.histories(spark, folder), s.REGISTRY, 4)
+    return integrity.orphan_totals(values)
 
 
 def _runs(spark, folder, extract, first_run, group):

@@ -213,6 +213,9 @@ def test_single_practice_run(spark, installed, validated, rows):
     run = validate_practices(spark, root, practice="Practice102")
     assert run.group is None
     assert 43 in [r.ForeignKeyId for r in run.errors.collect()]
+    # As of the last extract the patient is there.
+    later = validate_practices(spark, root, practice="Practice102", mode="as_of")
+    assert 43 not in [r.ForeignKeyId for r in later.errors.collect()]
     with pytest.raises(ValidationError, match="starts with extract 3"):
         validate_practices(spark, root, practice="Practice103", extract=1)
     with pytest.raises(ValidationError, match="not configured"):

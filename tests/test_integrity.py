@@ -136,10 +136,9 @@ def test_deletions(spark, rows):
             [("c", "a", "P", 1)], "k string, p string, practice string, ExtractId int"
         ),
     }
-    key = registry.foreign_keys[0]
     assert integrity.orphan_values(tables, registry).isEmpty()
-    assert integrity.orphans_as_of(tables, registry, key, 1).isEmpty()
-    assert integrity.orphans_as_of(tables, registry, key, 2).count() == 1
+    assert integrity.orphan_values_as_of(tables, registry, 1).isEmpty()
+    assert rows(integrity.orphan_values_as_of(tables, registry, 2)) == [(1, "P", "a", 1)]
 
 
 def test_samples(spark, rows):

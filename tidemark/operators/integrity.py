@@ -92,6 +92,7 @@ def orphan_values(
     registry: Registry,
     *,
     bound: int | None = None,
+    in_order: bool = True,
     collation: str | None = None,
 ) -> DataFrame:
     """Every declared foreign key at once: ``ForeignKeyId, scope, Value, Count``.
@@ -137,9 +138,10 @@ def orphan_values(
         & (F.col("Value") == F.col("_key")),
         "left",
     )
-    late_or_missing = sought.where(
-        F.col("_first").isNull() | (F.col(VERSION) < F.col("_first"))
-    )
+    unmet = F.col("_first").isNull()
+    if in_order:
+        unmet |= F.col(VERSION) < F.col("_first")
+    late_or_missing = sought.where(unmet)
     totals = late_or_missing.groupBy("ForeignKeyId", "scope", "Value").agg(
         F.sum("_n").alias("Count")
     )
@@ -153,27 +155,19 @@ def orphan_totals(values: DataFrame) -> DataFrame:
     )
 
 
-def orphans_as_of(
+def orphan_values_as_of(
     tables: Mapping[str, DataFrame],
     registry: Registry,
-    foreign_key: ForeignKey,
     extract: int | None = None,
+    *,
+    collation: str | None = None,
 ) -> DataFrame:
-    """The other reading of a check: both sides as of an extract, deletions applied."""
-    child_table, parent_table = (
-        registry.table(foreign_key.from_table),
-        registry.table(foreign_key.to_table),
-    )
-    child = as_of(tables[child_table.name], child_table, extract)
-    parent = as_of(tables[parent_table.name], parent_table, extract)
-    return orphans(
-        child,
-        foreign_key.from_column,
-        parent,
-        foreign_key.to_column,
-        by=[TENANT] if parent_table.kind == PRACTICE else [],
-        version=None,
-    )
+    """The other reading of the check: both sides as of an extract, deletions applied."""
+    states = {
+        name: as_of(df, registry.table(name), extract, collation=collation)
+        for name, df in tables.items()
+    }
+    return orphan_values(states, registry, in_order=False, collation=collation)
 
 
 def _scope(df: DataFrame) -> Column:

@@ -8,8 +8,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.integrity import SAMPLE_SIZE
 
+# The wording and the formats of the report.
+TITLE = "Data Integrity Report"
+PRACTICE = "Practice: %s/ %s"
+EXTRACT = "Extract Id: %d"
+EXTRACT_DATE = "Extract date: %s"
+VALIDATION_DATE = "Validation date: %s"
 RULE = "-" * 52
-# The timestamp format of the report.
+TABLE = ">>Table %s"
+COLUMN = "  >Column %s"
+MESSAGE = "     [ERROR]  %d (%d distinct) %s value(s) not present in %s (column %s)"
+SOME_VALUES = "     First ten distinct value(s) are:"
+ALL_VALUES = "     Distinct value(s) are:"
+VALUE = "         %s"
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -27,14 +38,13 @@ def report_lines(
     holds RunId, ForeignKeyId, Position and Value. Tables and columns come in name order; a run has
     at most a header, and a title, a message and ten values per foreign key.
     """
-    stamp = lambda name: F.date_format(name, STAMP)
     heading = _lines(
         runs,
-        "Data Integrity Report",
-        F.concat(F.lit("Practice: "), "ODSCode", F.lit("/ "), "PracticeName"),
-        F.concat(F.lit("Extract Id: "), F.col("ExtractId").cast("string")),
-        F.concat(F.lit("Extract date: "), stamp("ExtractDate")),
-        F.concat(F.lit("Validation date: "), stamp("RunDate")),
+        TITLE,
+        F.format_string(PRACTICE, "ODSCode", "PracticeName"),
+        F.format_string(EXTRACT, "ExtractId"),
+        F.format_string(EXTRACT_DATE, F.date_format("ExtractDate", STAMP)),
+        F.format_string(VALIDATION_DATE, F.date_format("RunDate", STAMP)),
         "",
     )
     failed = errors.select("RunId", "ForeignKeyId", "Count", "DistinctCount").join(
@@ -42,26 +52,23 @@ def report_lines(
     )
     tables = _lines(
         failed.select("RunId", "FromTable").distinct(),
-        RULE, F.concat(F.lit(">>Table "), "FromTable"), RULE, "",
+        RULE, F.format_string(TABLE, "FromTable"), RULE, "",
     )
     columns = _lines(
         failed,
-        F.concat(F.lit("  >Column "), "FromColumn"),
+        F.format_string(COLUMN, "FromColumn"),
         "",
         F.format_string(
-            "     [ERROR]  %d (%d distinct) %s value(s) not present in %s (column %s)",
-            F.col("Count"), F.col("DistinctCount"), "FromColumn", "ToTable", "ToColumn",
+            MESSAGE, "Count", "DistinctCount", "FromColumn", "ToTable", "ToColumn"
         ),
         "",
-        F.when(
-            F.col("DistinctCount") > SAMPLE_SIZE, "     First ten distinct value(s) are:"
-        ).otherwise("     Distinct value(s) are:"),
+        F.when(F.col("DistinctCount") > SAMPLE_SIZE, SOME_VALUES).otherwise(ALL_VALUES),
     )
     values = samples.join(
         foreign_keys.select("ForeignKeyId", "FromTable", "FromColumn"), "ForeignKeyId"
     ).select(
         "RunId", "FromTable", "FromColumn", F.col("Position").alias("_line"),
-        F.concat(F.lit("         "), F.col("Value")).alias("Line"),
+        F.format_string(VALUE, "Value").alias("Line"),
     )
     ends = _lines(failed, "")
 

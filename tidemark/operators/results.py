@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 FK_COLUMNS = ["TableType", "FromTable", "FromColumn", "ToTable", "ToColumn"]
+# How a change is shown and how much of a practice name heads a column.
+CHANGE = "  (%+d)"
 NAME_LENGTH = 10
 
 
@@ -22,7 +24,7 @@ def with_change(now: Column, before: Column | None) -> Column:
         return text
     change = now - F.coalesce(before, F.lit(0))
     return F.when(change == 0, text).otherwise(
-        F.concat(text, F.format_string("  (%+d)", change.cast("long")))
+        F.concat(text, F.format_string(CHANGE, change.cast("long")))
     )
 
 

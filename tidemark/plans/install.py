@@ -87,7 +87,8 @@ def stage_extract(
     )
     if name.parse_error:
         raise ExtractError(f"{marker}: {name.parse_error}")
-    if (name.SchemaName, name.TableName) != (special.marker_schema, special.marker_table):
+    found = f"{name.SchemaName}_{name.TableName}".lower()
+    if found != f"{special.marker_schema}_{special.marker_table}".lower():
         raise ExtractError(
             f"{marker}: not the {special.marker_schema}_{special.marker_table} file"
         )

@@ -13,6 +13,7 @@ from tidemark.operators.integrity import (
     orphan_samples,
     orphan_totals,
     orphan_values,
+    orphan_values_as_of,
 )
 from tidemark.operators.report import report_lines
 from tidemark.operators.results import fk_results, select_runs
@@ -74,15 +75,19 @@ def validate_practices(
     practice: str | None = None,
     extract: int | None = None,
     bound: int | None = None,
+    mode: str = "history",
     collation: str | None = None,
     now: datetime | None = None,
 ) -> Validation:
     """Validate one practice, or all of them as a new run group.
 
     ``extract`` labels the run and decides which practices take part; the check itself looks at the
-    whole history unless ``bound`` limits it. All practices and keys are checked by one plan, whose
+    whole history unless ``bound`` limits it. With ``mode='as_of'`` it looks at the state as of the
+    extract instead, on both sides. All practices and keys are checked by one plan, whose
     orphan values are written once and then counted and sampled.
     """
+    if mode not in ("history", "as_of"):
+        raise ValueError("mode is 'history' or 'as_of'")
     installed = store.read_control(spark, root, "InstalledExtracts")
     if extract is None:
         extract = store.last_installed(spark, root)
@@ -110,9 +115,11 @@ def validate_practices(
         }
     # All orphan values of the batch: counted, sampled and kept for looking closer.
     values_path = f"{store.control_path(root, 'OrphanValues')}/Batch={first_run}"
-    orphan_values(histories, registry, bound=bound, collation=collation).write.mode(
-        "overwrite"
-    ).parquet(values_path)
+    if mode == "as_of":
+        found_values = orphan_values_as_of(histories, registry, extract, collation=collation)
+    else:
+        found_values = orphan_values(histories, registry, bound=bound, collation=collation)
+    found_values.write.mode("overwrite").parquet(values_path)
     values = spark.read.schema(store.CONTROL["OrphanValues"]).parquet(values_path)
 
     errors = per_run(runs, orphan_totals(values))
