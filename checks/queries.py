@@ -324,11 +324,11 @@ def listed_names(spark, folder):
 def parse_names(spark, folder):
     """File names made of order fields; priorities and statuses make some of them wrong."""
     orders = s.given(spark, folder, "orders")
-    number = F.col("o_orderkey").cast("string")
-    tail = F.lpad(F.col("o_custkey").cast("string"), 12, "0")
+    number, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    tail = F.lpad(customer, 12, "0")
     name = F.concat(
         number, F.lit("-"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(F.col("o_custkey").cast("string")),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "").otherwise(customer),
         F.lit("_Sales_"),
         F.when(F.col("o_orderpriority") == "2-HIGH", F.lit("Order_Item")).otherwise(F.lit("Order")),
         F.lit("_"),
@@ -471,9 +471,10 @@ def residual_rows(spark, folder):
 def _organisations(spark, folder):
     """Nations as sharing organisations.
 
-    Nations with a supplier of less than 3,000 are configured, the extract describes those with a customer
-    of more than 9,900, the history those with a supplier of more than 5,000.
+    Nations with a supplier of less than 3,000 are configured, the extract describes those with a
+    customer of more than 9,900, the history those with a supplier of more than 5,000.
     """
+
     def described(table, prefix, condition):
         rows = s.given(spark, folder, table).where(condition)
         number = F.col(f"{prefix}_nationkey").cast("string")

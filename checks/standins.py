@@ -95,9 +95,8 @@ def lineitem_of_supplier(
     homes = given(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("_supplier"), store_name("s_nationkey")
     )
-    return lineitem(spark, folder, text_dates).join(homes, F.col("l_suppkey") == F.col("_supplier")).drop(
-        "_supplier"
-    )
+    lines = lineitem(spark, folder, text_dates)
+    return lines.join(homes, F.col("l_suppkey") == F.col("_supplier")).drop("_supplier")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:

@@ -73,7 +73,12 @@ TABLES = (
     Table(
         "Coding_ClinicalCode", COMMON, ("CodeId",),
         tenant=None,
-        widths={"Term": 500, "NationalCodeCategory": 500, "NationalDescription": 500, "*CodeCategoryDescription": 500},
+        widths={
+            "Term": 500,
+            "NationalCodeCategory": 500,
+            "NationalDescription": 500,
+            "*CodeCategoryDescription": 500,
+        },
     ),
     Table("Coding_DrugCode", COMMON, ("CodeId",), tenant=None, widths={"Term": 500}),
     Table(

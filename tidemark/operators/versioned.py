@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.keys import comparable
-from tidemark.registry import TENANT, VERSION, Table
+from tidemark.registry import VERSION, Table
 
 
 def up_to(history: DataFrame, extract: int | None, version: str = VERSION) -> DataFrame:

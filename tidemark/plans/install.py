@@ -141,7 +141,10 @@ def configure_practice(
     installed = store.last_installed(spark, root)
     practices = store.read_snapshot(spark, root, "ConfiguredPractices")
     row = spark.createDataFrame(
-        [(organisation, name, ods_code, cdb, f"{special.store_prefix}{cdb}", None, True, installed)],
+        [
+            (organisation, name, ods_code, cdb, f"{special.store_prefix}{cdb}", None, True,
+             installed)
+        ],
         store.CONTROL["ConfiguredPractices"],
     )
     if not tenants.already_configured(practices, row).isEmpty():
@@ -204,7 +207,9 @@ def install_extract(
         parent = None
         if table.via:
             # Parents are read back from their written rows, practice already attached.
-            parent = store.read_extract(spark, root, registry.table(table.via.parent), extract, _KEPT)
+            parent = store.read_extract(
+                spark, root, registry.table(table.via.parent), extract, _KEPT
+            )
         _write(
             routing.route_rows(rows[table.name], table, installed, parent), root, table, extract
         )

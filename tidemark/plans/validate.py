@@ -63,7 +63,8 @@ def plan_runs(
 
 def per_run(runs: DataFrame, by_scope: DataFrame) -> DataFrame:
     """Outcomes by scope as outcomes by run: each run sees its practice and the common tables."""
-    scopes = runs.select("RunId", F.explode(F.array("PracticeDBName", F.lit(EVERYWHERE))).alias("scope"))
+    both = F.array("PracticeDBName", F.lit(EVERYWHERE))
+    scopes = runs.select("RunId", F.explode(both).alias("scope"))
     return scopes.join(by_scope, "scope").drop("scope")
 
 

@@ -2,9 +2,11 @@
 
 ``<root>/history/<table>/ExtractId=n`` holds the rows that came with extract n. The practice is a
 column, by which the files of an extract are clustered: a folder per practice and extract would make
-millions of small files, while file statistics skip other practices as well. An install writes its folder whole and only then adds its line to ``InstalledExtracts``. Readers look
-at committed extracts alone, so a broken install is invisible and rerunning it replaces its folder.
-The registry of practices and the column layout are kept as snapshots under the same rule.
+millions of small files, while file statistics skip other practices as well.
+
+An install writes its folders whole and only then adds its line to ``InstalledExtracts``. Readers
+look at committed extracts alone, so a broken install is invisible and rerunning it replaces its
+folders. The lists of practices and the column layout are snapshots under the same rule.
 """
 
 from __future__ import annotations

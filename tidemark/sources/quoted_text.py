@@ -1,7 +1,7 @@
 """Quoted text tables.
 
-Every field is quoted, ``","`` stands between fields, a line end between records, the first record is
-the header. Fields may hold line ends and quotes. A record's outer quotes belong to the separators:
+Every field is quoted, ``","`` stands between fields, a line end between records, the first record
+is the header. Fields may hold line ends and quotes. A record's outer quotes belong to the separators:
 the file is cut at ``"<line end>"``, which keeps it splittable over tasks; what is left of the last
 record is its closing quote. Doubled quotes stay doubled, as in the history they are compared with.
 """
@@ -164,7 +164,8 @@ def check_widths(df: DataFrame, table: Table) -> DataFrame:
 def read_strict_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """For files that follow the CSV standard strictly: doubled quotes are read as one.
 
-    Line ends inside fields come out as a single line feed. One task per file, since a quoted line end cannot be told from a record end in mid-file.
+    Line ends inside fields come out as a single line feed. One task reads one file, since a quoted
+    line end cannot be told from a record end in mid-file.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
     return (
