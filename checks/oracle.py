@@ -271,7 +271,7 @@ def _widths() -> str:
     widths = {"doc_id": 50, "text": 20000, "lang": 50, "source": 50, "n_chars": 50}
     return " union all ".join(
         f"""select '{c}' as "ColumnName", {w} as "DeclaredWidth",
-            max(length(cast({c} as varchar))) as "LongestValue",
+            cast(max(length(cast({c} as varchar))) as int) as "LongestValue",
             count(*) filter (where length(cast({c} as varchar)) > {w}) as "TooLong"
             from documents"""
         for c, w in widths.items()
@@ -424,7 +424,7 @@ ORACLE = {
              lateral (select unnest(range(1, len(parts) + 1)) as i)""",
     "quoted_text_rows": """select doc_id, replace(text, '"', '""') as text, lang, source, n_chars,
         0 as ragged from documents""",
-    "quoted_text_files": "select count(*) as n_rows, 0 as n_problems from documents",
+    "quoted_text_files": "select count(*) as n_rows, cast(0 as bigint) as n_problems from documents",
     "check_widths": _widths(),
     "trailing_quotes": """
         select doc_id, cast(q as int) as quoted,
