@@ -1,0 +1,114 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tidemark.llm.line_dedup import CUT, PLACE, STRONG, TELLING, Units, without_repeats
+from tidemark.llm.common import mixed, word_hashes
+
+
+def brute(rows, least=20):
+    """Cleaned texts by lists and dictionaries: doc order, then place."""
+    cut_rows, first = [], {}
+
+    def units(text):
+        out, at = [], 0
+        for line in text.split("\n"):
+            words = []
+            for w in line.split(" "):
+                if w:
+                    words.append((w, at, at + len(w)))
+                at += len(w) + 1
+            now = []
+            for i, w in enumerate(words):
+                now.append(w)
+                with np.errstate(over="ignore"):
+                    pair = word_hashes([w[0].lower().encode(), words[i + 1][0].lower().encode()]) if i + 1 < len(words) else None
+                    if pair is None or mixed(pair[:1] * PLACE + pair[1:])[0] % CUT == 0:
+                        out.append((" ".join(x[0].lower() for x in now), now[0][1], now[-1][2], len(now), len(now) == len(words), now[0] == words[0], i + 1 < len(words)))
+                        now = []
+        return out
+
+    for id_, text in rows:
+        for u in units(text or ""):
+            if u[3] >= TELLING:
+                first[u[0]] = min(first.get(u[0], id_), id_)
+    for id_, text in rows:
+        if text is None:
+            cut_rows.append((id_, None))
+            continue
+        found, seen, marks = units(text), set(), []
+        for u in found:
+            known = u[3] >= TELLING or u[4]
+            repeat = known and (u[0] in seen or (u[3] >= TELLING and first[u[0]] < id_))
+            seen.add(u[0])
+            marks.append("R" if repeat else "K" if known else "?")
+        gone, i = [], 0
+        while i < len(found):
+            if marks[i] == "R":
+                j = end = i
+                while j < len(found) and marks[j] != "K":
+                    end = j if marks[j] == "R" else end
+                    j += 1
+                run = found[i : end + 1]
+                if sum(u[3] for u in run) >= least and (max(u[3] for u in run) >= STRONG or all(u[4] for u in run)):
+                    last = end + 1 == len(found)
+                    stop = len(text) if last else found[end + 1][1] if found[end][6] or found[i][5] else found[end][2]
+                    gone.append((found[i][1], stop))
+                i = j
+            else:
+                i += 1
+        for a, b in reversed(gone):
+            text = text[:a] + text[b:]
+        cut_rows.append((id_, text))
+    return cut_rows
+
+
+def test_same_as_brute_force_and_passages_go(table, prose):
+    rng = random.Random(2)
+    passages = [prose(51 + 7 * i, 70 + i) for i in range(6)]
+    rows = []
+    for i in range(60):
+        words = prose(rng.randint(0, 300), i)
+        for w in range(0, len(words), 17):
+            words[w] += "\n"
+        if i % 2:
+            at = rng.randint(0, len(words))
+            words[at:at] = rng.choice(passages)
+        if i % 10 == 4:
+            words += ["\n"] + "a common line of nine words stands here\n".split(" ") + ["tail"]
+        rows.append((i, " ".join(words).replace("\n ", "\n")))
+    rows += [(100, rows[1][1]), (101, rows[1][1].upper()), (102, "x y.\n" * 30), (103, None), (104, "")]
+    found = sorted((r.doc_id, r.text, r.removed_spans) for r in without_repeats(table(rows)).collect())
+    assert [(d, t) for d, t, _ in found] == brute(rows)
+    texts = dict(rows)
+    for d, t, spans in found:
+        if texts[d] is not None:
+            keep = "".join(c for i, c in enumerate(texts[d]) if not any(s.start <= i < s.end for s in spans))
+            assert keep == t
+    joined = {d: " ".join((t or "").split()) for d, t, _ in found}
+    for p in passages:
+        assert sum(" ".join(p) in t for t in joined.values()) <= 1
+    assert len(joined[100].split()) <= 2 and len(joined[101].split()) <= 2, "at most an untelling unit at the end stays"
+    assert joined[102] == "x y."
+    for i in range(0, 60, 2):
+        assert joined[i] == " ".join(texts[i].split()), "documents without passages stay whole"
+
+
+def test_edges_and_clashing_columns(table, edge_rows):
+    docs = table(edge_rows).withColumns({c: F.lit(1) for c in ("unit", "id", "first", "removed_spans")})
+    out = without_repeats(docs)
+    assert out.columns == [c for c in docs.columns if c != "removed_spans"] + ["removed_spans"]
+    found = sorted(((str(r.doc_id), r.text, r.n_chars) for r in out.collect()), key=str)
+    texts = {(d, t) for d, t, _ in found}
+    assert ("1", None) in texts and ("2", "") in texts
+    assert ("4", edge_rows[4][1]) in texts
+    assert [t for d, t, _ in found if d == "6"].count("tie") == 2
+    assert [(len(t.split()) <= 2, n == len(t)) for d, t, n in found if d == "5"] == [(True, True)]
+    assert without_repeats(table([])).count() == 0
+
+
+def test_offsets_are_code_points():
+    text = "é😀 a\n" + "wort " * 3
+    found = Units(text)
+    assert found.n >= 2 and found.starts[0] == 0

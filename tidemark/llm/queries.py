@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import documents
+from tidemark.llm.line_dedup import without_repeats
 from tidemark.llm.ngram_join import linked_documents
 
 
@@ -14,6 +15,13 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(documents(spark, sf_dir)).select("doc_id", "text", "n_chars", "removed_spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_ngram_jaccard_join,)
+    f.__name__: f for f in (
+        op2_ngram_jaccard_join,
+        op9_substring_dedup,
+    )
 }
