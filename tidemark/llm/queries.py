@@ -8,13 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import documents
 from tidemark.llm.line_dedup import without_repeats
+from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.ngram_join import linked_documents
+from tidemark.llm.quality_rules import judged
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(documents(spark, sf_dir))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = judged(documents(spark, sf_dir))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return q.select("doc_id", *[q["__quality"][c].alias(c) for c in counts])
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_documents(documents(spark, sf_dir))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).select("doc_id", "text", "n_chars", "removed_spans")
 
@@ -22,6 +34,8 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_ngram_jaccard_join,
+        op7_quality_rules,
+        op8_source_mixing,
         op9_substring_dedup,
     )
 }
