@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import documents
+from tidemark.llm.fingerprints import as_text, containment, edited_fingerprints
 from tidemark.llm.line_dedup import without_repeats
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.ngram_join import linked_documents
@@ -31,11 +32,26 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(documents(spark, sf_dir)).select("doc_id", "text", "n_chars", "removed_spans")
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_fingerprints(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        as_text(found["sketch"]).alias("fingerprint"),
+        as_text(found["edited_sketch"]).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        containment(found["sketch"], found["edited_sketch"]).alias("contained_in_edited"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_ngram_jaccard_join,
         op7_quality_rules,
         op8_source_mixing,
         op9_substring_dedup,
+        op10_document_fingerprints,
     )
 }
