@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.bpe import digests, encoded
 from tidemark.llm.common import documents
 from tidemark.llm.fingerprints import as_text, containment, edited_fingerprints
 from tidemark.llm.line_dedup import without_repeats
@@ -18,6 +20,10 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(documents(spark, sf_dir))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encoded(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = judged(documents(spark, sf_dir))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -49,6 +55,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_ngram_jaccard_join,
+        op5_bpe,
         op7_quality_rules,
         op8_source_mixing,
         op9_substring_dedup,
