@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe import digests, encoded
 from tidemark.llm.common import documents
 from tidemark.llm.fingerprints import as_text, containment, edited_fingerprints
+from tidemark.llm.language import language_predictions
 from tidemark.llm.license_rules import license_scan, license_summary
 from tidemark.llm.line_dedup import without_repeats
 from tidemark.llm.mixing import mixed_documents
@@ -25,6 +26,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_summary(license_scan(documents(spark, sf_dir)))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_predictions(documents(spark, sf_dir))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encoded(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_ngram_jaccard_join,
         op3_license_scan,
+        op4_language_id,
         op5_bpe,
         op7_quality_rules,
         op8_source_mixing,
