@@ -11,6 +11,7 @@ from tidemark.llm.bpe import digests, encoded
 from tidemark.llm.chat import formatted, read_back
 from tidemark.llm.common import documents
 from tidemark.llm.fingerprints import as_text, containment, edited_fingerprints
+from tidemark.llm.importance import resampled
 from tidemark.llm.language import language_predictions
 from tidemark.llm.license_rules import license_scan, license_summary
 from tidemark.llm.line_dedup import without_repeats
@@ -19,6 +20,10 @@ from tidemark.llm.ngram_join import linked_documents
 from tidemark.llm.quality_rules import judged
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(documents(spark, sf_dir))
 
@@ -72,6 +77,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_importance_resampling,
         op2_ngram_jaccard_join,
         op3_license_scan,
         op4_language_id,
