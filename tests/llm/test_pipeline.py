@@ -1,0 +1,81 @@
+import hashlib
+import random
+
+import duckdb
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from tests.llm.test_line_dedup import brute as brute_cut
+from tests.llm.test_ngram_join import brute as brute_linked
+from tidemark.llm.oracle import ORACLE
+
+
+def sql(name, rows):
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar, lang varchar, source varchar, n_chars bigint)")
+    con.executemany("insert into documents values (?, ?, ?, ?, ?)", [list(r) for r in rows])
+    found = con.execute(ORACLE[name])
+    names = [d[0] for d in found.description]
+    return [dict(zip(names, r)) for r in found.fetchall()]
+
+
+def brute(rows):
+    """Stage by stage with SQL, loops over pairs and units, and the tokenizers library; ids distinct."""
+    kept = {r["doc_id"] for r in sql("op7_quality_rules", rows) if r["kept"]}
+    rows = [r for r in rows if r[0] in kept]
+    first = {d for d, _, c in brute_linked([r[:2] for r in rows]) if d == c}
+    rows = sorted((r for r in rows if str(r[0]) in first), key=lambda r: r[0])
+    rows = [(r[0], t, *r[2:]) for r, (_, t) in zip(rows, brute_cut([r[:2] for r in rows]))]
+    times = {r["doc_id"]: int(r["taken"] / r["size"] + 0.5) if r["size"] else 0 for r in sql("op8_source_mixing", rows)}
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    out = []
+    for d, t, *_ in rows:
+        ids = library.encode(t, add_special_tokens=False).ids
+        out += [(d, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())] * times[d]
+    return sorted(out)
+
+
+def corpus(prose):
+    rng, rows = random.Random(4), []
+    passage = prose(70, 999)
+    for i in range(240):
+        words = prose(rng.randint(30, 160), i)
+        if i % 12 == 3:
+            words[10:10] = passage
+        if i % 20 == 7:
+            words = rows[-1][1].split(" ")
+            words[rng.randrange(len(words))] = "changed"
+        if i % 15 == 9:
+            words = [w + " *** $$$" for w in words]
+        text = " ".join(words)
+        rows.append((i, text, ("en", "de")[i % 2], f"src{i % 5}" if i % 50 else None, len(text)))
+    rows += [(900, None, "en", "src0", None), (901, "", None, "src1", 0)]
+    return rows
+
+
+def test_same_rows_as_brute_force(spark, prose, tmp_path):
+    rows = corpus(prose)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = brute(rows)
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in found) == want
+    assert len({d for d, *_ in want}) < len(rows) - 20 and len(want) > 100
+
+
+def test_every_stage_decides_and_keeps_the_columns(spark, prose, tmp_path):
+    docs = spark.createDataFrame(corpus(prose), "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == before.columns and docs.dtypes == before.dtypes, name
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert before.exceptAll(docs).count() > 0, name
+    assert docs.where(F.length("text") != F.col("n_chars")).count() == 0
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
