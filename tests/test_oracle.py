@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -34,17 +36,18 @@ def bag(columns, records):
     return sorted((tuple(plain(r[i]) for i in order) for r in records), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    df = queries()[name](spark, FOLDER)
-    expected = database.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    expected = database.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(expected.columns)
     records = [tuple(r) for r in df.collect()]
     assert bag(df.columns, records) == bag(expected.columns, expected.fetchall())
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
