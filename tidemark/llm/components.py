@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.common import dropped, saved
 
 
+#: Edges that one file of a stored table holds at least, so that small tables do not become many small files.
+FILE = 250_000
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(vertex, root) of every vertex of edges (a, b): longs, root the smallest vertex it reaches.
 
@@ -16,20 +20,15 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     with a third of all edges is pre-aggregated and then split by the adaptive skew join.
     An empty table gives an empty table; loops and repeated edges do no harm.
     """
-    now = saved(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(),
-        "edges",
-    )
+    now = saved(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
     state = _state(now)
     for _ in range(rounds):
-        after = _towards_smallest(now)
+        after = _towards_smallest(now, 1 + state[0] // FILE)
         then = _state(after)
         dropped(now)
         now = after
         if then == state:
-            return now.select(F.col("a").alias("vertex"), F.col("b").alias("root")).union(
-                now.select("b", "b").distinct()
-            )
+            return now.select(F.col("a").alias("vertex"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
         state = then
     raise RuntimeError(f"components: not settled after {rounds} rounds")
 
@@ -40,20 +39,15 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(mark % 1000003), F.bit_xor(mark)).first())
 
 
-def _towards_smallest(edges: DataFrame) -> DataFrame:
+def _towards_smallest(edges: DataFrame, files: int) -> DataFrame:
     """Links the larger neighbours of each vertex, then the smaller ones, to its smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = saved(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "smallest")
-    larger = saved(
-        edges.select(F.col("b").alias("a"), F.col("a").alias("v"))
-        .join(smallest, "a")
-        .select(F.col("v").alias("a"), F.col("m").alias("b"))
-        .distinct(),
-        "larger",
-    )
+    smallest = saved(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).coalesce(files), "smallest")
+    larger = edges.select(F.col("b").alias("a"), F.col("a").alias("v")).join(smallest, "a")
+    larger = saved(larger.select(F.col("v").alias("a"), F.col("m").alias("b")).coalesce(files), "larger")
     smaller = larger.join(larger.groupBy("a").agg(F.min("b").alias("m")), "a")
     moved = smaller.select(F.col("b").alias("a"), F.col("m").alias("b")).union(smaller.select("a", F.col("m").alias("b")))
-    out = saved(moved.where("a > b").distinct(), "edges")
+    out = saved(moved.where("a > b").distinct().coalesce(files), "edges")
     for used in (smallest, larger):
         dropped(used)
     return out

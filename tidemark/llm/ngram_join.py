@@ -214,7 +214,7 @@ def _stars(docs: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame
 
 
 def _links(docs: DataFrame, found: DataFrame, parts: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
-    """(a, b): verified links that connect all sets of each part that links connect."""
+    """(a, b): sets of a part with the smallest one that verified links connect them with."""
     reps = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("v1").alias("v1"), F.first("v2").alias("v2"))
     placed = reps.select("doc_id", "node", "n", F.explode(F.array("v1", "v2")).alias("vertex")).where("vertex is not null")
     placed = saved(placed.join(parts, "vertex").select("doc_id", "node", "n", F.col("root").alias("part")), "placed")
@@ -222,7 +222,8 @@ def _links(docs: DataFrame, found: DataFrame, parts: DataFrame, words: int, thre
     wanted = placed.join(blocks, "part").groupBy("node", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id")).agg(
         F.collect_list("part").alias("parts"), F.collect_list("blocks").alias("blocks")
     )
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted, "id")
+    # By merge at every size: what is wanted grows with the copies in the input, so it is not a side to broadcast.
+    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted.hint("merge"), "id")
     sides = texts.select("text", "node", "parts", "blocks").mapInArrow(
         _blocks(words), "unit long, part long, own int, other int, node long, shingles binary"
     )
@@ -284,7 +285,7 @@ def _verify(threshold: tuple[int, int]):
 
 
 def connecting_links(held: dict[int, np.ndarray], threshold: tuple[int, int]) -> list[tuple[int, int]]:
-    """Linked pairs of the given sets, enough of them to connect all that links connect."""
+    """(smallest, other) for every other one of the given sets that links connect."""
     num, den = threshold
     names = sorted(held, key=lambda x: (len(held[x]), x))
     sets = [held[x] for x in names]
@@ -300,7 +301,6 @@ def connecting_links(held: dict[int, np.ndarray], threshold: tuple[int, int]) ->
             top[i] = i = top[top[i]]
         return i
 
-    out = []
     step = max(1, (1 << 22) // sketches[0].nbytes)
     for i in range(len(sets) - 1):
         end = int(np.searchsorted(sizes, sizes[i] * den // num, "right"))
@@ -315,5 +315,7 @@ def connecting_links(held: dict[int, np.ndarray], threshold: tuple[int, int]) ->
                 both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
                 if den * both >= num * (len(a) + len(b) - both):
                     top[find(j)] = find(i)
-                    out.append((names[i], names[j]))
-    return out
+    roots: dict[int, int] = {}
+    for i in range(len(names)):
+        roots[find(i)] = min(roots.get(find(i), names[i]), names[i])
+    return [(roots[find(i)], n) for i, n in enumerate(names) if n != roots[find(i)]]
