@@ -378,20 +378,35 @@ ORACLE = {
               where "Deleted" = 'false' group by l_partkey)
         select l_partkey as "CodeId", p_name as "Term", p_brand as "ReadTermId", "CodeCount",
                "MostRecentDate" from c join part on l_partkey = p_partkey""",
+    "code_counts_current": f"""with {TABLES},
+        c as (select l_partkey, {CODES}
+              from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}
+              where "Deleted" = 'false' group by l_partkey)
+        select l_partkey as "CodeId", p_brand || case when p_size > 25 then ' (new)' else '' end
+                   as "Term", "CodeCount", "MostRecentDate"
+        from c join part on l_partkey = p_partkey""",
     "code_counts_incremental": f"""with {TABLES}
-        select l_partkey as "CodeId", {CODES} from supplier_lines group by l_partkey""",
+        select l_partkey as "CodeId", {CODES}
+        from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}
+        where "Deleted" = 'false' group by l_partkey""",
     "code_counts_refreshed": f"""with {TABLES},
         newer as (select "PracticeDBName" from practices where "StartExtractId" = 2)
         select practice, l_partkey as "CodeId", {CODES}
         from {latest('supplier_lines', PRACTICE_LINE_KEYS, 4)}
-        where "Deleted" = 'false' and practice not in
-            (select distinct practice from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}
-             where "Deleted" = 'false' and practice in (from newer))
+        where "Deleted" = 'false' and practice not in (from newer)
         group by practice, l_partkey
         union all
         select practice, l_partkey, {CODES}
         from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}
         where "Deleted" = 'false' and practice in (from newer) group by practice, l_partkey""",
+    "code_counts_emptied": f"""with {TABLES}
+        select practice, l_partkey as "CodeId", {CODES}
+        from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}
+        where "Deleted" = 'false' and practice <> 'Nation7' group by practice, l_partkey""",
+    "code_rows_left_out": f"""with {TABLES}
+        select practice, count(*) as "AllRows", count(*) filter (l_linenumber = 7) as "NoCode",
+               count(*) filter (l_linenumber <> 7 and l_returnflag = 'A') as "UnreadDate"
+        from supplier_lines group by practice""",
     "per_tenant_sql": f"""with {TABLES}
         select practice, count(*) as n_rows, count(distinct l_partkey) as n_parts,
                max(shipped_text) as last_shipped from supplier_lines group by practice""",

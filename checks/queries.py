@@ -264,30 +264,85 @@ def code_counts(spark, folder):
     return described.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
 
 
+@query
+def code_counts_current(spark, folder):
+    """Counts described by the current state of a dictionary that sends some codes twice."""
+    rows = versioned.current(
+        s.lineitem_of_supplier(spark, folder, text_dates=True), s.LINEITEM
+    )
+    parts = s.given(spark, folder, "part")
+    entry = [F.col("p_partkey"), F.col("p_brand").alias("Term")]
+    again = F.when(F.col("p_size") > 25, 2).otherwise(1).alias(VERSION)
+    codes = parts.select(*entry, F.lit(1).alias(VERSION)).unionByName(
+        parts.where("p_size > 25").select(
+            "p_partkey", F.concat("p_brand", F.lit(" (new)")).alias("Term"), again
+        )
+    )
+    described = analytics.describe_codes(
+        analytics.total_code_counts(_code_counts(rows)), codes, s.REGISTRY.table("part"),
+        state="current", about=["Term"],
+    )
+    return described.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
+
+
 @query
 def code_counts_incremental(spark, folder):
-    rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
-    state = analytics.total_code_counts(_code_counts(rows.where(F.col(VERSION) <= 4)))
-    batch = analytics.total_code_counts(_code_counts(rows.where(F.col(VERSION) > 4)))
+    """Practice by practice over current rows: those numbered below 12 first, then the others."""
+    rows = versioned.current(
+        s.lineitem_of_supplier(spark, folder, text_dates=True), s.LINEITEM
+    )
+    early = F.substring(TENANT, 7, 2).cast("int") < 12
+    state = analytics.total_code_counts(_code_counts(rows.where(early)))
+    batch = analytics.total_code_counts(_code_counts(rows.where(~early)))
     folded = analytics.fold_code_counts(state, batch)
     return folded.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
 
 
+def _starters(spark, folder):
+    return s.practices(spark, folder).where("StartExtractId = 2").select(
+        F.col("PracticeDBName").alias(TENANT)
+    )
+
+
 @query
 def code_counts_refreshed(spark, folder):
     """Practices with a newer extract are counted again, the others keep what they had."""
     rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
     state = _code_counts(versioned.as_of(rows, s.LINEITEM, 4))
-    starters = s.practices(spark, folder).where("StartExtractId = 2").select(
-        F.col("PracticeDBName").alias(TENANT)
-    )
+    starters = _starters(spark, folder)
     batch = _code_counts(
         versioned.current(rows.join(starters, TENANT, "left_semi"), s.LINEITEM)
     )
-    refreshed = analytics.refresh_code_counts(state, batch)
+    refreshed = analytics.refresh_code_counts(state, batch, starters)
+    return refreshed.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
+
+
+@query
+def code_counts_emptied(spark, folder):
+    """Nation 7 sends all its rows once more, deleted: counted again, it has no counts."""
+    rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
+    state = _code_counts(versioned.current(rows, s.LINEITEM))
+    gone = rows.where(F.col(TENANT) == "Nation7")
+    rows = rows.unionByName(gone.withColumns({"Deleted": F.lit("true"), VERSION: F.lit(8)}))
+    recounted = spark.createDataFrame([("Nation7",), ("Nation8",)], f"{TENANT} string")
+    batch = versioned.current(rows.join(recounted, TENANT, "left_semi"), s.LINEITEM)
+    refreshed = analytics.refresh_code_counts(state, _code_counts(batch), recounted)
     return refreshed.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
 
 
+@query
+def code_rows_left_out(spark, folder):
+    """Seventh lines have no code; the dates of accepted returns lack their dashes."""
+    rows = s.lineitem_of_supplier(spark, folder, text_dates=True).select(
+        TENANT,
+        F.when(F.col("l_linenumber") != 7, F.col("l_partkey")).alias("CodeId"),
+        F.when(F.col("l_returnflag") == "A", F.translate("shipped", "-", ""))
+        .when(F.col("l_linestatus") == "O", F.col("shipped"))
+        .alias("EffectiveDate"),
+    )
+    return analytics.code_rows_left_out(rows)
+
+
 @query
 def per_tenant_sql(spark, folder):
     return analytics.across_practices(
@@ -300,13 +355,18 @@ def per_tenant_sql(spark, folder):
 
 @query
 def for_each_tenant(spark, folder):
+    """Practice by practice, each a job of its own over a stored history clustered by practice."""
     customers = s.given(spark, folder, "customer").withColumn(TENANT, s.store_name("c_nationkey"))
-    names = [r[0] for r in s.practices(spark, folder).select("PracticeDBName").collect()]
-    return analytics.for_each_practice(
+    customers = s.written(
+        spark, customers.hint("rebalance", TENANT).sortWithinPartitions(TENANT), "customers"
+    )
+    names = s.practices(spark, folder).select("PracticeDBName").toLocalIterator()
+    return analytics.store_for_each_practice(
         spark,
         "select c_mktsegment, count(*) as n from {customers} group by c_mktsegment",
-        names,
+        (r[0] for r in names),
         {"customers": customers},
+        new_folder(spark, "for-each"),
     )
 
 

@@ -60,7 +60,9 @@ def test_bad_registries():
 def test_frames(spark, rows):
     assert FEW.table_frame(spark).count() == 4
     assert FEW.foreign_key_frame(spark).where("TableType = 'P' and ToTableType = 'C'").count() == 1
-    assert rows(FEW.key_frame(spark), "TableName", "ColumnName1", "ColumnName2")[0] == (
-        "Admin_Location", "LocationGuid", None,
+    assert rows(FEW.key_frame(spark), "TableName", "Position", "ColumnName")[0] == (
+        "Admin_Location", 1, "LocationGuid",
     )
+    wide = Registry((Table("a", COMMON, ("k", "l", "m"), tenant=None),))
+    assert rows(wide.key_frame(spark), "Position", "ColumnName") == [(1, "k"), (2, "l"), (3, "m")]
     assert FEW.kind_frame(spark).count() == 2

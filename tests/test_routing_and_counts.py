@@ -121,10 +121,16 @@ def test_code_counts(spark, rows):
     assert rows(analytics.fold_code_counts(total, total), "CodeId", "CodeCount") == [
         ("1", 6), ("2", 2),
     ]
-    again = analytics.refresh_code_counts(by_practice, by_practice.where("practice = 'A'"))
+    only_a = spark.createDataFrame([("A",)], "practice string")
+    again = analytics.refresh_code_counts(
+        by_practice, by_practice.where("practice = 'A'"), only_a
+    )
     assert rows(again, "practice", "CodeId", "CodeCount") == rows(
         by_practice, "practice", "CodeId", "CodeCount"
     )
+    emptied = analytics.refresh_code_counts(by_practice, by_practice.limit(0), only_a)
+    assert rows(emptied.select("practice").distinct()) == [("B",)]
+    assert rows(analytics.code_rows_left_out(used)) == [("A", 2, 0, 0), ("B", 3, 1, 1)]
     codes = spark.createDataFrame(
         [("1", "old", 1), ("1", "new", 2), ("3", "unused", 1)],
         "CodeId string, Term string, ExtractId int",
@@ -141,3 +147,7 @@ def test_code_counts(spark, rows):
         analytics.describe_codes(total, codes, table, state="other")
     with pytest.raises(ValueError):
         analytics.for_each_practice(spark, "select 1", [], {})
+    with pytest.raises(ValueError, match="too many"):
+        analytics.for_each_practice(spark, "select 1", [str(i) for i in range(51)], {})
+    with pytest.raises(ValueError):
+        analytics.store_for_each_practice(spark, "select 1", [], {}, "/nowhere")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.operators.versioned import as_of, current
 from tidemark.registry import TENANT, Table
 
+#: Branches that one plan may have.
+FEW_PRACTICES = 50
+
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
 
 
@@ -37,7 +40,10 @@ def text_date(value: str | Column) -> Column:
 def code_counts_by_practice(
     rows: DataFrame, code: str = "CodeId", date: str | Column = "EffectiveDate"
 ) -> DataFrame:
-    """Uses and latest use of every code per practice; rows without a code are left out."""
+    """Uses and latest use of every code per practice; rows without a code are left out.
+
+    :func:`code_rows_left_out` counts those, and the dates that could not be read.
+    """
     when = F.col(date) if isinstance(date, str) else date
     return (
         rows.where(F.col(code).isNotNull())
@@ -59,10 +65,32 @@ def fold_code_counts(state: DataFrame, batch: DataFrame) -> DataFrame:
     return total_code_counts(state.select(*columns).unionByName(batch.select(*columns)))
 
 
-def refresh_code_counts(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Per-practice counts with the practices of the batch replaced, so a rerun counts once."""
-    recounted = batch.select(TENANT).distinct()
-    return state.join(recounted, TENANT, "left_anti").unionByName(batch)
+def refresh_code_counts(
+    state: DataFrame, batch: DataFrame, practices: DataFrame
+) -> DataFrame:
+    """Per-practice counts with those of the practices recounted replaced, so a rerun counts once.
+
+    ``practices`` (``practice``) are the practices that were counted again, whether or not anything
+    was found: a practice whose rows are all gone has no counts any more.
+    """
+    kept = state.join(practices.select(TENANT).distinct(), TENANT, "left_anti")
+    return kept.unionByName(batch)
+
+
+def code_rows_left_out(
+    rows: DataFrame, code: str = "CodeId", date: str = "EffectiveDate"
+) -> DataFrame:
+    """Per practice, the rows that code counts leave out or take without a date.
+
+    ``NoCode`` rows are in no count; rows with an ``UnreadDate`` (text that is no known form) are
+    counted, but their date is not looked at.
+    """
+    unread = F.col(date).isNotNull() & text_date(date).isNull()
+    return rows.groupBy(TENANT).agg(
+        F.count("*").alias("AllRows"),
+        F.count_if(F.col(code).isNull()).alias("NoCode"),
+        F.count_if(F.col(code).isNotNull() & unread).alias("UnreadDate"),
+    )
 
 
 def describe_codes(
@@ -99,23 +127,60 @@ def across_practices(spark: SparkSession, query: str, **tables: DataFrame) -> Da
 
 
 def for_each_practice(
-    spark: SparkSession, query: str, practices: Sequence[str], tables: Mapping[str, DataFrame]
+    spark: SparkSession,
+    query: str,
+    practices: Sequence[str],
+    tables: Mapping[str, DataFrame],
+    limit: int = FEW_PRACTICES,
 ) -> DataFrame:
     """Run a query that knows nothing of practices against each practice's own rows.
 
     The results come back as one frame with the practice added. Each branch filters its practice,
-    which file statistics make cheap, but the plan grows with the list: for many practices write
-    the query for :func:`across_practices`.
+    which file statistics make cheap, but the plan grows with the list: longer lists than ``limit``
+    are refused. There, group by practice with :func:`across_practices`, or write practice by practice
+    with :func:`store_for_each_practice`.
     """
+    practices = sorted(set(practices))
     if not practices:
         raise ValueError("no practices given")
+    if len(practices) > limit:
+        raise ValueError(
+            f"{len(practices)} practices are too many for one plan; use across_practices or "
+            "store_for_each_practice"
+        )
+    return reduce(
+        DataFrame.unionByName, [_own_result(spark, query, p, tables) for p in practices]
+    )
+
+
+def store_for_each_practice(
+    spark: SparkSession,
+    query: str,
+    practices: Iterable[str],
+    tables: Mapping[str, DataFrame],
+    path: str,
+) -> DataFrame:
+    """The same results written practice by practice to one folder, and read from there.
+
+    Each practice is a job of its own, so no plan grows with the list; a rerun replaces what an earlier
+    attempt wrote for a practice.
+    """
+    schema = None
+    for practice in practices:
+        result = _own_result(spark, query, practice, tables)
+        schema = result.schema
+        result.drop(TENANT).write.mode("overwrite").parquet(f"{path}/{TENANT}={practice}")
+    if schema is None:
+        raise ValueError("no practices given")
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
-    def one(practice: str) -> DataFrame:
-        own = {
-            name: df.where(F.col(TENANT) == practice).drop(TENANT) if TENANT in df.columns else df
-            for name, df in tables.items()
-        }
-        result = spark.sql(query, **own)
-        return result.select(F.lit(practice).alias(TENANT), *result.columns)
 
-    return reduce(DataFrame.unionByName, [one(p) for p in sorted(practices)])
+def _own_result(
+    spark: SparkSession, query: str, practice: str, tables: Mapping[str, DataFrame]
+) -> DataFrame:
+    own = {
+        name: df.where(F.col(TENANT) == practice).drop(TENANT) if TENANT in df.columns else df
+        for name, df in tables.items()
+    }
+    result = spark.sql(query, **own)
+    return result.select(F.lit(practice).alias(TENANT), *result.columns)

@@ -8,6 +8,7 @@ tables are sought in the same practice only if the parent is a practice table to
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -98,53 +99,98 @@ def orphan_values(
     """Every declared foreign key at once: ``ForeignKeyId, scope, Value, Count``.
 
     ``scope`` is the practice of the child rows, or ``'*'`` for common tables. Each table is read
-    once for all its foreign keys and once for all keys pointing at one of its columns. Child values
-    are counted per (key, scope, value, version) before the join, which takes the skew out of values
-    such as the organisation that every row of a practice carries.
+    twice for all its foreign keys and once for each column that keys point at.
     """
-    keys = [fk for fk in registry.foreign_keys if fk.from_table in tables]
-    targets = sorted({(fk.to_table, fk.to_column) for fk in keys})
+    plan = _KeyPlan.of(registry, tables)
     children = _union(
-        _child_values(
-            tables[name], [(n, fk) for n, fk in enumerate(keys) if fk.from_table == name],
-            bound, collation,
-        )
-        for name in sorted({fk.from_table for fk in keys})
-    ).groupBy("_fk", "scope", "Value", VERSION).agg(F.count("*").alias("_n"))
+        _child_values(tables[name], plan.children(name), bound, collation)
+        for name in sorted({fk.from_table for fk in plan.keys})
+    ).withColumn("_n", F.lit(1))
     parents = _union(
         _first_seen(tables[table], column, n, bound, collation)
-        for n, (table, column) in enumerate(targets)
-    ).groupBy("_to", "_seen_in", "_key").agg(F.min(VERSION).alias("_first"))
-
-    def per_key(values) -> Column:
-        return F.array(*[F.lit(v) for v in values])[F.col("_fk")]
-
-    in_practice = per_key([registry.table(fk.to_table).kind == PRACTICE for fk in keys])
-    children = children.select(
-        per_key([fk.id for fk in keys]).alias("ForeignKeyId"),
-        "scope",
-        "Value",
-        VERSION,
-        "_n",
-        per_key([targets.index((fk.to_table, fk.to_column)) for fk in keys]).alias("_target"),
-        F.when(in_practice, F.col("scope")).otherwise(EVERYWHERE).alias("_sought_in"),
+        for n, (table, column) in enumerate(plan.targets)
+    )
+    return _unmet(children, parents, plan, in_order, collation)
+
+
+@dataclass(frozen=True)
+class _KeyPlan:
+    """The foreign keys between the given tables, by number, and the columns they point at."""
+
+    keys: list[ForeignKey]
+    targets: list[tuple[str, str]]
+    in_practice: list[bool]
+
+    @classmethod
+    def of(cls, registry: Registry, tables: Mapping[str, DataFrame]) -> _KeyPlan:
+        keys = [fk for fk in registry.foreign_keys if fk.from_table in tables]
+        targets = sorted({(fk.to_table, fk.to_column) for fk in keys})
+        return cls(keys, targets, [registry.table(fk.to_table).kind == PRACTICE for fk in keys])
+
+    def children(self, table: str) -> list[tuple[int, ForeignKey]]:
+        return [(n, fk) for n, fk in enumerate(self.keys) if fk.from_table == table]
+
+    def target(self, fk: ForeignKey) -> int:
+        return self.targets.index((fk.to_table, fk.to_column))
+
+    def per_key(self, values) -> Column:
+        """The value of each row's key; null past the list, as it may be asked of targets too."""
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("_fk"))
+
+
+def _unmet(
+    children: DataFrame, parents: DataFrame, plan: _KeyPlan, in_order: bool, collation: str | None
+) -> DataFrame:
+    """The child values (``_fk, scope, Value, ExtractId, _n``) that no parent meets in time.
+
+    What is sought is reduced to one row per value before it meets the parents, so a value that all
+    practices use in all extracts is one row in that join. Only the values that are missing or
+    late go back to the child rows. Both sides of that join are plain shuffles (the values are listed
+    per foreign key, which no earlier step is partitioned by), so it is split at run time if one
+    value has very many rows.
+    """
+    children = children.withColumn(
+        "_sought_in",
+        F.when(plan.per_key(plan.in_practice), F.col("scope")).otherwise(EVERYWHERE),
     )
+    sought = children.groupBy(
+        plan.per_key([plan.target(fk) for fk in plan.keys]).alias("_target"), "_sought_in", "Value"
+    ).agg(F.min(VERSION).alias("_earliest"))
+    first = parents.groupBy("_to", "_seen_in", "_key").agg(F.min(VERSION).alias("_first"))
     # A left join and a filter rather than an anti join: that one would be pushed below the union
     # of the children and so repeated, with all parents, for every table.
-    sought = children.join(
-        parents,
+    met = sought.join(
+        first,
         (F.col("_target") == F.col("_to"))
         & (F.col("_sought_in") == F.col("_seen_in"))
         & (F.col("Value") == F.col("_key")),
         "left",
     )
+    doubtful = F.col("_first").isNull()
+    if in_order:
+        doubtful |= F.col("_earliest") < F.col("_first")
+    of_target = [
+        F.array(*[F.lit(n) for n, fk in enumerate(plan.keys) if plan.target(fk) == t])
+        for t in range(len(plan.targets))
+    ]
+    suspects = met.where(doubtful).select(
+        F.explode(F.get(F.array(*of_target), F.col("_target"))).alias("_for"),
+        F.col("_sought_in").alias("_in"),
+        F.col("Value").alias("_value"),
+        "_first",
+    )
     unmet = F.col("_first").isNull()
     if in_order:
         unmet |= F.col(VERSION) < F.col("_first")
-    late_or_missing = sought.where(unmet)
-    totals = late_or_missing.groupBy("ForeignKeyId", "scope", "Value").agg(
-        F.sum("_n").alias("Count")
-    )
+    found = children.join(
+        suspects,
+        (F.col("_fk") == F.col("_for"))
+        & (F.col("_sought_in") == F.col("_in"))
+        & (F.col("Value") == F.col("_value")),
+    ).where(unmet)
+    totals = found.groupBy(
+        plan.per_key([fk.id for fk in plan.keys]).alias("ForeignKeyId"), "scope", "Value"
+    ).agg(F.sum("_n").alias("Count"))
     return totals.withColumn("Value", F.collate("Value", "UTF8_BINARY")) if collation else totals
 
 
@@ -162,12 +208,50 @@ def orphan_values_as_of(
     *,
     collation: str | None = None,
 ) -> DataFrame:
-    """The other reading of the check: both sides as of an extract, deletions applied."""
-    states = {
-        name: as_of(df, registry.table(name), extract, collation=collation)
-        for name, df in tables.items()
-    }
-    return orphan_values(states, registry, in_order=False, collation=collation)
+    """The other reading of the check: both sides as of an extract, deletions applied.
+
+    The state of each table is taken once: its child and parent columns come out of the same frame,
+    and values are counted by one shuffle that every later step reads.
+    """
+    plan = _KeyPlan.of(registry, tables)
+    counted = _union(
+        _marked_values(as_of(tables[name], registry.table(name), extract, collation=collation),
+                       name, plan, collation)
+        for name in sorted({fk.from_table for fk in plan.keys} | {t for t, _ in plan.targets})
+    ).groupBy("_number", "scope", "Value", VERSION)
+    # One column for both count and kind: a filter on it cannot be moved below the shuffle, and no
+    # step can do without it, so all steps share the shuffle.
+    counted = counted.agg((2 * F.count("*") + F.max("_parent")).alias("_count"))
+    children = counted.where(F.col("_count") % 2 == 0).select(
+        F.col("_number").alias("_fk"), "scope", "Value", VERSION,
+        F.call_function("div", F.col("_count"), F.lit(2)).alias("_n"),
+    )
+    parents = counted.where(F.col("_count") % 2 == 1).select(
+        (F.col("_number") - len(plan.keys)).alias("_to"),
+        F.col("scope").alias("_seen_in"), F.col("Value").alias("_key"), VERSION,
+    )
+    return _unmet(children, parents, plan, False, collation)
+
+
+def _marked_values(
+    df: DataFrame, name: str, plan: _KeyPlan, collation: str | None
+) -> DataFrame:
+    """All values of a table's child and parent columns, numbered: keys first, then targets."""
+    columns = {str(n): fk.from_column for n, fk in plan.children(name)}
+    kept = len(plan.keys)
+    columns |= {str(kept + n): c for n, (table, c) in enumerate(plan.targets) if table == name}
+    wide = df.select(
+        _scope(df).alias("scope"),
+        F.col(VERSION).cast("int").alias(VERSION),
+        *[F.col(c).cast("string").alias(n) for n, c in columns.items()],
+    )
+    long = wide.unpivot(["scope", VERSION], list(columns), "_number", "Value")
+    number = F.col("_number").cast("int")
+    parent = number >= kept
+    return long.where(is_filled("Value") | (parent & F.col("Value").isNotNull())).select(
+        number.alias("_number"), "scope", VERSION,
+        comparable("Value", collation).alias("Value"), parent.cast("int").alias("_parent"),
+    )
 
 
 def _scope(df: DataFrame) -> Column:

@@ -168,11 +168,14 @@ class Registry:
         )
 
     def key_frame(self, spark: SparkSession) -> DataFrame:
+        """One row per key column, whatever the number of columns of a key."""
         rows = [
-            (i, t.name, *(list(t.keys) + [None, None])[:2]) for i, t in enumerate(self.tables, 1)
+            (i, t.name, position, column)
+            for i, t in enumerate(self.tables, 1)
+            for position, column in enumerate(t.keys, 1)
         ]
         return spark.createDataFrame(
-            rows, "PrimaryKeyId int, TableName string, ColumnName1 string, ColumnName2 string"
+            rows, "PrimaryKeyId int, TableName string, Position int, ColumnName string"
         )
 
     def foreign_key_frame(self, spark: SparkSession) -> DataFrame:
