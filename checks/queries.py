@@ -16,7 +16,7 @@ from tidemark.plans.validate import per_run, plan_runs
 from tidemark.registry import PRACTICE, TENANT, VERSION, Table
 from tidemark.sources import quoted_text
 from tidemark.sources.history import save_bucketed
-from tidemark.sources.shared import new_folder
+from tidemark.sources.shared import scratch_folder, written_once
 from tidemark.sources.views import register_views
 
 NOW = datetime(2002, 1, 31, 12, 0)
@@ -74,7 +74,7 @@ def as_of_bucketed(spark, folder):
     name = f"lineitem_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     save_bucketed(
-        s.lineitem(spark, folder), s.LINEITEM, name, buckets, new_folder(spark, "bucketed")
+        s.lineitem(spark, folder), s.LINEITEM, name, buckets, scratch_folder(spark, "bucketed")
     )
     return versioned.as_of(spark.table(name), s.LINEITEM, 4, in_place=True)
 
@@ -171,8 +171,7 @@ def fk_as_of_mode(spark, folder):
 def _runs(spark, folder, extract, first_run, group):
     """The runs of one group with their errors and samples; bounded so that groups differ."""
     runs, _ = plan_runs(s.practices(spark, folder), extract, first_run, group, NOW)
-    values = s.written(
-        spark,
+    values = written_once(
         integrity.orphan_values(s.histories(spark, folder), s.REGISTRY, bound=extract),
         "orphan-values",
     )
@@ -186,7 +185,7 @@ def _runs(spark, folder, extract, first_run, group):
 def _two_groups(spark, folder):
     first, errors1, _ = _runs(spark, folder, 3, 1, 1)
     second, errors2, _ = _runs(spark, folder, 5, 101, 2)
-    return first.unionByName(second), s.written(spark, errors1.unionByName(errors2), "errors")
+    return first.unionByName(second), written_once(errors1.unionByName(errors2), "errors")
 
 
 @query
@@ -357,8 +356,8 @@ def per_tenant_sql(spark, folder):
 def for_each_tenant(spark, folder):
     """Practice by practice, each a job of its own over a stored history clustered by practice."""
     customers = s.given(spark, folder, "customer").withColumn(TENANT, s.store_name("c_nationkey"))
-    customers = s.written(
-        spark, customers.hint("rebalance", TENANT).sortWithinPartitions(TENANT), "customers"
+    customers = written_once(
+        customers.hint("rebalance", TENANT).sortWithinPartitions(TENANT), "customers"
     )
     names = s.practices(spark, folder).select("PracticeDBName").toLocalIterator()
     return analytics.store_for_each_practice(
@@ -366,7 +365,7 @@ def for_each_tenant(spark, folder):
         "select c_mktsegment, count(*) as n from {customers} group by c_mktsegment",
         (r[0] for r in names),
         {"customers": customers},
-        new_folder(spark, "for-each"),
+        scratch_folder(spark, "for-each"),
     )
 
 
@@ -425,7 +424,7 @@ DOCUMENTS = Table(
 
 def _quoted_documents(spark, folder):
     """The documents written in the quoted grammar, one file per partition."""
-    path = new_folder(spark, "quoted-documents")
+    path = scratch_folder(spark, "quoted-documents")
     (
         s.given(spark, folder, "documents")
         .select(*DOCUMENTS.columns)

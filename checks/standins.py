@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table, Via
-from tidemark.sources.shared import new_folder
 
 REGISTRY = Registry(
     (
@@ -143,10 +142,3 @@ def practices(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(False).alias("NewlyConfigured"),
         F.lit(None).cast("int").alias("ConfiguredAfter"),
     )
-
-
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write once, read as often as needed; the way the jobs keep results."""
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)

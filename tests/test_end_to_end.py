@@ -272,7 +272,14 @@ def test_refusals_leave_the_store_alone(spark, tmp_path):
     with pytest.raises(ExtractError, match="already staged"):
         stage_extract(spark, root, directory, marker, x.FEW)
     assert install_extract(spark, root, x.FEW).extract == 1
-    bad("late", "not later than the last installed", stamp="20170201000000")
+    bad("late", "not later than the last installed", stamp="20170131000000")
+    bad("same", "installed already", stamp="20170201000000")
+    twice = {
+        "Agreements_SharingOrganisation": x.sharing(1, 2)
+        + [{"OrganisationGuid": "{" + x.ORG[1].lower() + "}", "IsActivated": "true"}],
+        "Admin_Patient": [x.patient(5, 2), x.patient(1, 1)],
+    }
+    bad("twice", "described or shared more than once", twice, stamp="20170202000000")
     unknown = {
         "Agreements_SharingOrganisation": x.sharing(1, 2, 4),
         "Admin_Patient": [x.patient(9, 4), x.patient(1, 1)],
@@ -327,3 +334,61 @@ def test_configure_by_hand(spark, tmp_path, rows):
     assert rows(practices, "PracticeName", "StartExtractId") == [
         ("By hand", 1), ("Practice No 2", 1),
     ]
+
+
+def test_a_bulk_load_goes_on(spark, tmp_path):
+    """A rerun with a new folder, a stop after the log line, a refusal: nothing stays staged."""
+    root, folder = str(tmp_path / "store"), str(tmp_path / "in {1} [a]*")
+    x.write_extract(f"{folder}/e1", "1-9", "20170201000000", x.bulk(), guid="{" + x.GUID + "}")
+    assert [d.extract for d in install_all(spark, root, folder, x.FEW)] == [1]
+    staged = store.read_control(spark, root, "InstalledExtracts").drop("ExtractId", "InstalledDated")
+    again = spark.createDataFrame(staged.collect(), store.CONTROL["StagedExtract"])
+    store.replace_control(again, root, "StagedExtract")
+    next_day = {"Agreements_SharingOrganisation": x.sharing(1), "Admin_Patient": [x.patient(1, 1)]}
+    x.write_extract(f"{folder}/e2", "10-11", "20170202000000", next_day)
+    assert [d.extract for d in install_all(spark, root, folder, x.FEW)] == [2]
+    stranger = {"Agreements_SharingOrganisation": x.sharing(1), "Admin_Patient": [x.patient(1, 4)]}
+    x.write_extract(f"{folder}/e3", "12-13", "20170203000000", stranger)
+    with pytest.raises(ExtractError, match="no configured, sharing practice"):
+        install_all(spark, root, folder, x.FEW)
+    assert store.read_control(spark, root, "StagedExtract").isEmpty()
+    assert store.last_installed(spark, root) == 2
+
+
+def test_numbers_are_taken_once(spark, tmp_path):
+    root = str(tmp_path / "store")
+    assert store.claim(spark, root, "Extract", 1, "a") == "a"
+    assert store.claim(spark, root, "Extract", 1, "b") == "a"
+    assert store.claim(spark, root, "Extract", 2, "b") == "b"
+    first = [store.claim_numbers(spark, root, "Run", 1, 3) for _ in range(3)]
+    assert first == [1, 4, 7] and store.claim_numbers(spark, root, "Run", 5, 1) in (5, 10)
+
+
+def test_two_validations_from_one_state(spark, installed, monkeypatch):
+    """Both see the same last run; both survive, under numbers of their own."""
+    root, _ = installed
+    read = store.read_control
+    before = read(spark, root, "Run").count()
+    past = read(spark, root, "Run").collect()
+    monkeypatch.setattr(
+        store, "read_control",
+        lambda s, r, name: s.createDataFrame(past, store.CONTROL["Run"]) if name == "Run" else read(s, r, name),
+    )
+    one = validate_practices(spark, root, practice="Practice102")
+    two = validate_practices(spark, root, practice="Practice102")
+    monkeypatch.undo()
+    runs = read(spark, root, "Run")
+    ids = {one.runs.first().RunId, two.runs.first().RunId}
+    assert len(ids) == 2 and runs.count() == before + 2
+    assert {r.RunId for r in read(spark, root, "RunText").collect()} >= ids
+
+
+def test_many_runs_are_written_by_many_tasks(spark, small_skew, tmp_path):
+    root = str(tmp_path / "store")
+    lines = spark.range(400_000).selectExpr(
+        "int(id / 200) as RunId", "int(id % 200) as LineId", "sha2(string(id), 256) as Line"
+    )
+    store.write_batch(lines, root, "RunText", 1)
+    files = [f for f in os.listdir(f"{store.control_path(root, 'RunText')}/Batch=1") if f.startswith("part-")]
+    assert len(files) > 1
+    assert store.read_batch(spark, root, "RunText", 1).count() == 400_000

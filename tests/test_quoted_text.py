@@ -109,13 +109,6 @@ def test_quote_counts_and_widths(spark, tmp_path, rows):
     ]
 
 
-def test_strict_csv(spark, tmp_path):
-    path = save(tmp_path, text(COLUMNS, records(3)))
-    found = {r.Id: r for r in q.read_strict_csv(spark, path, COLUMNS).collect()}
-    assert found["1"].Note == 'a\nb "1"'
-    assert found["3"].Last == "z3"
-
-
 def test_discovery(spark, tmp_path):
     guid = "0f8fad5b-d9cb-469f-a165-70867728950e"
     for folder, start in (("b", 26), ("a", 1)):

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions.keys import comparable, is_filled
 from tidemark.operators.versioned import as_of, up_to
 from tidemark.registry import PRACTICE, TENANT, VERSION, ForeignKey, Registry
+from tidemark.sources.shared import written_once
 
 EVERYWHERE = "*"
 SAMPLE_SIZE = 10
@@ -134,7 +135,6 @@ class _KeyPlan:
         return self.targets.index((fk.to_table, fk.to_column))
 
     def per_key(self, values) -> Column:
-        """The value of each row's key; null past the list, as it may be asked of targets too."""
         return F.get(F.array(*[F.lit(v) for v in values]), F.col("_fk"))
 
 
@@ -210,32 +210,32 @@ def orphan_values_as_of(
 ) -> DataFrame:
     """The other reading of the check: both sides as of an extract, deletions applied.
 
-    The state of each table is taken once: its child and parent columns come out of the same frame,
-    and values are counted by one shuffle that every later step reads.
+    The state of each table is taken once, all its child and parent columns come out of the same
+    frame, and the values are counted and written to the shared folder, where every later step reads
+    them: a table that the session's end removes.
     """
     plan = _KeyPlan.of(registry, tables)
-    counted = _union(
+    values = _union(
         _marked_values(as_of(tables[name], registry.table(name), extract, collation=collation),
-                       name, plan, collation)
+                       name, plan)
         for name in sorted({fk.from_table for fk in plan.keys} | {t for t, _ in plan.targets})
-    ).groupBy("_number", "scope", "Value", VERSION)
-    # One column for both count and kind: a filter on it cannot be moved below the shuffle, and no
-    # step can do without it, so all steps share the shuffle.
-    counted = counted.agg((2 * F.count("*") + F.max("_parent")).alias("_count"))
-    children = counted.where(F.col("_count") % 2 == 0).select(
-        F.col("_number").alias("_fk"), "scope", "Value", VERSION,
-        F.call_function("div", F.col("_count"), F.lit(2)).alias("_n"),
     )
-    parents = counted.where(F.col("_count") % 2 == 1).select(
-        (F.col("_number") - len(plan.keys)).alias("_to"),
-        F.col("scope").alias("_seen_in"), F.col("Value").alias("_key"), VERSION,
+    counted = written_once(
+        values.groupBy("_number", "scope", "Value", VERSION).agg(F.count("*").alias("_n")), "values"
+    )
+    kept = len(plan.keys)
+    value = comparable("Value", collation)
+    children = counted.where(F.col("_number") < kept).select(
+        F.col("_number").alias("_fk"), "scope", value.alias("Value"), VERSION, "_n"
+    )
+    parents = counted.where(F.col("_number") >= kept).select(
+        (F.col("_number") - kept).alias("_to"),
+        F.col("scope").alias("_seen_in"), value.alias("_key"), VERSION,
     )
     return _unmet(children, parents, plan, False, collation)
 
 
-def _marked_values(
-    df: DataFrame, name: str, plan: _KeyPlan, collation: str | None
-) -> DataFrame:
+def _marked_values(df: DataFrame, name: str, plan: _KeyPlan) -> DataFrame:
     """All values of a table's child and parent columns, numbered: keys first, then targets."""
     columns = {str(n): fk.from_column for n, fk in plan.children(name)}
     kept = len(plan.keys)
@@ -247,11 +247,9 @@ def _marked_values(
     )
     long = wide.unpivot(["scope", VERSION], list(columns), "_number", "Value")
     number = F.col("_number").cast("int")
-    parent = number >= kept
-    return long.where(is_filled("Value") | (parent & F.col("Value").isNotNull())).select(
-        number.alias("_number"), "scope", VERSION,
-        comparable("Value", collation).alias("Value"), parent.cast("int").alias("_parent"),
-    )
+    return long.where(
+        is_filled("Value") | ((number >= kept) & F.col("Value").isNotNull())
+    ).select(number.alias("_number"), "scope", VERSION, "Value")
 
 
 def _scope(df: DataFrame) -> Column:

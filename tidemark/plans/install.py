@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tidemark import care_records
+from tidemark.functions.keys import tenant_key
 from tidemark.functions.names import name_template, with_parsed_name
 from tidemark.operators import routing, tenants
 from tidemark.operators.constraints import CONTROL_RULES, check_constraints, repeated_keys
@@ -176,6 +177,10 @@ def install_extract(
     staged = gate.first()
     if staged is None:
         raise ExtractError("no extract is staged")
+    if _is_installed(spark, root, staged):
+        # A stop between the log line and this: the install itself was complete.
+        clean_staging(spark, root)
+        raise ExtractError(f"{staged.FilenameTemplate} is installed already")
     if staged.Problem:
         raise ExtractError(staged.Problem)
     previous, extract = staged.PreviousExtractId, staged.NextExtractId
@@ -197,7 +202,9 @@ def install_extract(
     organisations = _organisations(spark, root, registry, special, extract, practices)
     store.write_snapshot(organisations, root, "SharingOrganisations", extract)
     organisations = store.snapshot_of(spark, root, "SharingOrganisations", extract)
-    if not repeated_keys(organisations, ["OrganisationGuid"]).isEmpty():
+    # By the key that rows are routed by: two spellings of one organisation would double its rows.
+    spelled = organisations.select(tenant_key("OrganisationGuid").alias("OrganisationGuid"))
+    if not repeated_keys(spelled, ["OrganisationGuid"]).isEmpty():
         raise ExtractError("an organisation is described or shared more than once")
     installed = routing.installed_practices(organisations)
 
@@ -218,6 +225,7 @@ def install_extract(
     _check_rows({t.name: rows[t.name] if t.via else routed[t.name] for t in in_order})
 
     counts = _counts(routed)
+    _check_complete({t.name: rows[t.name] for t in in_order if not t.via}, counts)
     left = {
         r.TableName: r.Rows for r in counts.where(F.col(TENANT).isNull()).collect()
     }
@@ -228,6 +236,10 @@ def install_extract(
 
     if previous is None:
         store.write_snapshot(store.layout_rows(spark, registry), root, "TableLayout", extract)
+    if store.claim(spark, root, "Extract", extract, staged.FilenameTemplate) != (
+        staged.FilenameTemplate
+    ):
+        raise ExtractError(f"another extract is being installed as number {extract}")
     entry = gate.select(
         F.lit(extract).alias(VERSION),
         *T.StructType.fromDDL(store.CONTROL["StagedExtract"]).names,
@@ -250,15 +262,39 @@ def install_all(
     registry: Registry = care_records.CARE_RECORDS,
     special: Special = Special(),
 ) -> list[Installed]:
-    """Stage and install every extract under a folder, in folder order."""
+    """Stage and install every extract under a folder that is not installed yet, in folder order.
+
+    A rerun goes on where an earlier one stopped: what is in the log is skipped, a staged extract
+    that is in the log already is cleaned away. A refused extract stops the rest and stays unstaged.
+    """
     found = discover_extracts(spark, folder, special.marker_schema, special.marker_table)
+    waiting = store.read_control(spark, root, "StagedExtract").first()
+    if waiting is not None and _is_installed(spark, root, waiting):
+        clean_staging(spark, root)
     done = []
     for extract in found.select("Directory", "FileName").collect():
-        stage_extract(spark, root, extract.Directory, extract.FileName, registry, special)
-        done.append(install_extract(spark, root, registry, special))
+        staged = stage_extract(
+            spark, root, extract.Directory, extract.FileName, registry, special
+        )
+        if _is_installed(spark, root, staged):
+            log.info("%s is installed already", staged.FilenameTemplate)
+            clean_staging(spark, root)
+            continue
+        try:
+            done.append(install_extract(spark, root, registry, special))
+        except ExtractError:
+            clean_staging(spark, root)
+            raise
     return done
 
 
+def _is_installed(spark: SparkSession, root: str, staged: Row) -> bool:
+    """Whether the log has an extract of the same name."""
+    installed = store.read_control(spark, root, "InstalledExtracts")
+    same = F.upper("FilenameTemplate") == staged.FilenameTemplate.upper()
+    return not installed.where(same).isEmpty()
+
+
 def _table_files(
     spark: SparkSession, directory: str, name: Row, registry: Registry
 ) -> dict[str, str]:
@@ -310,6 +346,26 @@ def _check_rows(tables: Mapping[str, DataFrame]) -> None:
         raise ExtractError("; ".join(problems))
 
 
+def _check_complete(read: Mapping[str, DataFrame], counts: DataFrame) -> None:
+    """Routing neither doubles nor loses a row: as many were written as the files hold.
+
+    Reads the files again, but cuts no record into fields.
+    """
+    if not read:
+        return
+    parts = [df.select(F.lit(name).alias("TableName")) for name, df in read.items()]
+    held = reduce(DataFrame.unionByName, parts).groupBy("TableName").agg(F.count("*").alias("n"))
+    wrote = counts.groupBy("TableName").agg(F.sum("Rows").alias("n"))
+    written = {r.TableName: r.n for r in wrote.collect()}
+    problems = [
+        f"{r.n} row(s) of {r.TableName} became {written.get(r.TableName, 0)}"
+        for r in held.orderBy("TableName").collect()
+        if r.n != written.get(r.TableName, 0)
+    ]
+    if problems:
+        raise ExtractError("; ".join(problems))
+
+
 def _organisations(
     spark: SparkSession,
     root: str,

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tidemark import care_records
+from tidemark.operators.constraints import CONTROL_RULES, check_constraints
 from tidemark.operators.integrity import (
     EVERYWHERE,
     orphan_samples,
@@ -103,7 +104,10 @@ def validate_practices(
         practices = practices.where(F.col("PracticeDBName") == practice)
         if practices.isEmpty():
             raise ValidationError(f"practice {practice} is not configured")
-    first_run = (past[0] or 0) + 1
+    # A run has its number for good, whether or not it succeeds, like any identity column.
+    first_run = store.claim_numbers(
+        spark, root, "Run", (past[0] or 0) + 1, max(1, practices.count())
+    )
     runs, skipped = plan_runs(practices, extract, first_run, group, now or datetime.now())
     if practice and runs.isEmpty():
         raise ValidationError(f"practice {practice} {skipped.first().Reason}")
@@ -130,14 +134,35 @@ def validate_practices(
     about = runs.withColumn("ExtractDate", F.lit(found.ExtractDate).cast("timestamp_ntz"))
     lines = report_lines(about, errors, samples, registry.foreign_key_frame(spark))
 
-    # The runs come last: a run whose errors or lines are missing is never listed, and the next
-    # attempt has the same first run id and replaces them.
+    # The runs come last: a run whose errors or lines are missing is never listed.
     store.write_batch(errors, root, "ForeignKeyErrors", first_run)
     store.write_batch(lines, root, "RunText", first_run)
+    _check_batch(spark, root, runs, installed, first_run)
     store.write_batch(runs, root, "Run", first_run)
     return Validation(runs, errors, samples, lines, skipped, group)
 
 
+def _check_batch(
+    spark: SparkSession, root: str, runs: DataFrame, installed: DataFrame, batch: int
+) -> None:
+    """The control rules over what is about to be listed, and over the runs listed already."""
+    listed = store.read_control(spark, root, "Run")
+    tables = {
+        "Run": runs.select(*listed.columns).unionByName(listed),
+        "RunText": store.read_batch(spark, root, "RunText", batch),
+        "ForeignKeyErrors": store.read_batch(spark, root, "ForeignKeyErrors", batch),
+        "ConfiguredPractices": store.read_snapshot(spark, root, "ConfiguredPractices"),
+        "InstalledExtracts": installed,
+    }
+    rules = {name: CONTROL_RULES[name] for name in ("Run", "RunText", "ForeignKeyErrors")}
+    broken = check_constraints(tables, rules).where("Violations > 0").collect()
+    if broken:
+        raise ValidationError(
+            "the runs break the rule(s): "
+            + "; ".join(sorted(f"{r.TableName}: {r.Rule}" for r in broken))
+        )
+
+
 def compare_runs(
     spark: SparkSession,
     root: str,

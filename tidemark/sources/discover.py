@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.names import with_parsed_name
 from tidemark.registry import Registry
+from tidemark.sources.shared import literal
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
@@ -16,7 +17,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(literal(root))
         .select("path")
     )
     return paths.select(

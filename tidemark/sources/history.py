@@ -11,6 +11,10 @@ folders. The lists of practices and the column layout are snapshots under the sa
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -38,6 +42,7 @@ CONTROL = {
     "OrphanValues": "ForeignKeyId int, scope string, Value string, Count long",
     "ForeignKeyErrors": "RunId int, ForeignKeyId int, Count long, DistinctCount long",
 }
+SMALL = {"StagedExtract", "InstalledExtracts", "TableLayout"}
 _SNAPSHOT = [("AsOfExtract", T.IntegerType()), ("Revision", T.IntegerType())]
 
 
@@ -73,6 +78,12 @@ def write_batch(df: DataFrame, root: str, name: str, batch: int) -> None:
     _conformed(df, name).write.mode("overwrite").parquet(path)
 
 
+def read_batch(spark: SparkSession, root: str, name: str, batch: int) -> DataFrame:
+    """The rows of one batch, listed or not."""
+    schema = T.StructType.fromDDL(CONTROL[name])
+    return _read(spark, f"{control_path(root, name)}/Batch={batch}", schema)
+
+
 def replace_control(df: DataFrame, root: str, name: str) -> None:
     """Replace a control table by rows that do not come from it."""
     _conformed(df, name).write.mode("overwrite").parquet(control_path(root, name))
@@ -80,7 +91,53 @@ def replace_control(df: DataFrame, root: str, name: str) -> None:
 
 def _conformed(df: DataFrame, name: str) -> DataFrame:
     schema = T.StructType.fromDDL(CONTROL[name])
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).coalesce(1)
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    # One file for tables of a few rows; the others grow with practices and are only packed.
+    return rows.coalesce(1) if name in SMALL else rows.hint("rebalance")
+
+
+def claim(spark: SparkSession, root: str, name: str, number: int, content: str) -> str:
+    """Take a number for good: what its claim says, which is ``content`` if nobody had it before.
+
+    The claim is a file that is created only if it is absent, so of two jobs that want the same number
+    one gets it.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(f"{control_path(root, 'Claims')}/{name}={number}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    try:
+        out = files.create(path, False)
+    except Py4JJavaError as taken:
+        if "AlreadyExists" not in taken.java_exception.getClass().getName():
+            raise
+        return _claimed(spark, files, path)
+    out.write(bytearray(content.encode()))
+    out.close()
+    return content
+
+
+def _claimed(spark: SparkSession, files, path) -> str:
+    """The content of a claim; whoever holds it may still be writing it."""
+    for _ in range(50):
+        if files.getFileStatus(path).getLen():
+            break
+        time.sleep(0.1)
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def claim_numbers(spark: SparkSession, root: str, name: str, first: int, count: int) -> int:
+    """The first of ``count`` numbers from ``first`` on that no other job has or gets."""
+    own = uuid.uuid4().hex
+    while True:
+        held = claim(spark, root, name, first, f"{count} {own}")
+        if held == f"{count} {own}":
+            return first
+        first += max(1, int((held.split() or ["0"])[0]))
 
 
 def last_installed(spark: SparkSession, root: str) -> int | None:

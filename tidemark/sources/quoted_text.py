@@ -8,13 +8,13 @@ record is its closing quote. Doubled quotes stay doubled, as in the history they
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import has_trailing_quote, without_trailing_quote
 from tidemark.registry import Table
+from tidemark.sources.shared import literal
 
 BETWEEN = '","'
 QUOTED, REPEATED, RAGGED, WIDE = "_quoted", "_repeated_header", "_ragged", "_wide"
@@ -43,7 +43,7 @@ class Shape:
 def read_shape(spark: SparkSession, path: str) -> Shape:
     """Read the first line only: one task, one buffer."""
     first = (
-        spark.read.option("lineSep", "\n").text(path)
+        spark.read.option("lineSep", "\n").text(literal(path))
         .where(F.col("_metadata.file_block_start") == 0)
         .head(1)
     )
@@ -62,7 +62,7 @@ def read_records(spark: SparkSession, path: str, shape: Shape) -> DataFrame:
     """The records after the header, cut into an array of fields."""
     raw = (
         spark.read.option("lineSep", shape.separator)
-        .text(path)
+        .text(literal(path))
         .select(
             "value",
             F.col("_metadata.file_block_start").alias("_start"),
@@ -159,22 +159,3 @@ def check_widths(df: DataFrame, table: Table) -> DataFrame:
         )
     rows = F.array(*entries)
     return df.agg(*measures).select(F.inline(rows))
-
-
-def read_strict_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """For files that follow the CSV standard strictly: doubled quotes are read as one.
-
-    Line ends inside fields come out as a single line feed. One task reads one file, since a quoted
-    line end cannot be told from a record end in mid-file.
-    """
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -21,5 +22,33 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def literal(path: str) -> str:
+    """A listed path as a reader takes it: readers would look for patterns in it."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that goes when the session's JVM ends."""
+    folder = new_folder(spark, name)
+    delete_at_end(spark, folder)
+    return folder
+
+
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read from there, as often as needed.
+
+    The folder goes when the session's JVM ends; no executor has to keep anything.
+    """
+    spark = df.sparkSession
+    folder = scratch_folder(spark, name)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def delete_at_end(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
