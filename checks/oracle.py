@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from checks import jobs
 from checks.standins import REGISTRY
 
 STAMP = "'%Y-%m-%d %H:%M:%S'"
@@ -301,6 +302,44 @@ def _diff() -> str:
         where a.rows is distinct from b.rows"""
 
 
+def _names() -> str:
+    """Names by the same ways, parsed step by step in SQL."""
+    from checks.queries import NAMES
+
+    way = "case o_orderkey % 11 " + " ".join(f"when {n} then {w}" for n, w in NAMES.items()) + " end"
+    guid = "^[{]?[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}[}]?$"
+    return f"""
+        with parts as (
+            select o_orderkey, cast(o_orderkey as varchar) as k, cast(o_custkey as varchar) as c,
+                   strftime(o_orderdate, '%Y%m%d') as d,
+                   '0F8FAD5B-D9CB-469F-A165-' || lpad(cast(o_custkey as varchar), 12, '0') as g
+            from orders),
+        named as (select o_orderkey, {way} as "FileName" from parts),
+        cut as (select *, string_split(left("FileName", greatest(length("FileName") - 4, 0)), '_') as p
+                from named),
+        ids as (select *, string_split(p[1], '-') as i,
+                       try_strptime(p[4], '%Y%m%d%H%M%S') as t from cut),
+        judged as (select *, case
+            when "FileName" is null then 'file name is null'
+            when not ends_with(lower("FileName"), '.csv') then 'file name does not end in .csv'
+            when len(p) <> 5 then 'file name does not have five parts'
+            when not regexp_matches(p[5], '{guid}') then 'sharing agreement is not an identifier'
+            when len(i) <> 2 then 'processing ids are not a pair'
+            when not regexp_matches(i[1], '^[0-9]+$') or not regexp_matches(i[2], '^[0-9]+$')
+                then 'processing id is not a number'
+            when trim(p[2]) = '' or trim(p[3]) = '' then 'schema or table name is empty'
+            when length(p[4]) <> 14 then 'extract date is not 14 digits'
+            when t is null then 'extract date is not a date' end as parse_error from ids)
+        select o_orderkey, "FileName", parse_error,
+            case when parse_error is null then i[1] end as first_id,
+            case when parse_error is null then i[2] end as last_id,
+            case when parse_error is null then p[3] end as "TableName",
+            case when parse_error is null then strftime(t, {STAMP}) end as "ExtractDate",
+            case when parse_error is null then upper(trim(p[5], '{{}}')) end
+                as "SharingAgreementGuid"
+        from judged"""
+
+
 ORACLE = {
     "latest_rows": f"with {TABLES} select {LINE_COLUMNS} from {latest('lines', LINE_KEYS, 4)}",
     "as_of_keyed": f"""with {TABLES} select {LINE_COLUMNS} from {latest('lines', LINE_KEYS, 4)}
@@ -478,5 +517,30 @@ ORACLE = {
                     then 'the staged extract is not later than the last installed one'
                end as "Problem"
         from orders o cross join last""",
+    "install_gate_first": f"""
+        select cast(1 + o_custkey % 3 as int) as "ProcessingIdStart",
+               strftime(o_orderdate, {STAMP}) as "ExtractDate", o_orderkey as "Staged",
+               cast(null as int) as "PreviousExtractId", 1 as "NextExtractId",
+               case when o_custkey % 3 <> 0 then
+                   'the first installed extract must be a bulk extract, starting at processing id 1'
+               end as "Problem"
+        from orders""",
+    "parse_names_all": _names(),
+    "fk_blank_and_resent": f"""with {TABLES}
+        select 1 as "ForeignKeyId", practice as scope, cast(l_partkey as varchar) as "Value",
+               count(*) as "Count"
+        from supplier_lines l where l_linenumber > 2 and not exists (
+            select 1 from part p where p.p_partkey = l.l_partkey and p_size < 48
+            and case when p_size > 40 then 3 else 1 end <= l."ExtractId")
+        group by practice, l_partkey""",
+    "quoted_text_damaged": """
+        select digit, cast(digit is null as int) as repeated_header,
+               cast(coalesce(digit = 3, false) as int) as ragged,
+               cast(wide as int) as wide, count(*) as n
+        from (select case when doc_id % 10 <> 7 then doc_id % 10 end as digit,
+                     coalesce(doc_id % 10 <> 7 and length(substring(text, 1, 60)) > 40, false) as wide
+              from documents) group by all""",
     "constraint_checks": _constraints(),
 }
+
+ORACLE |= jobs.ORACLE

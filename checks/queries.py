@@ -6,14 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks import standins as s
+from checks import jobs, standins as s
 from tidemark.functions.names import with_parsed_name
 from tidemark.functions.text import has_trailing_quote, listed, split_rows, without_trailing_quote
 from tidemark.operators import analytics, integrity, results, routing, tenants, versioned
 from tidemark.operators.constraints import Check, NotNull, Reference, Unique, check_constraints
 from tidemark.operators.report import report_lines
 from tidemark.plans.validate import per_run, plan_runs
-from tidemark.registry import PRACTICE, TENANT, VERSION, Table
+from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table
 from tidemark.sources import quoted_text
 from tidemark.sources.history import save_bucketed
 from tidemark.sources.shared import scratch_folder, written_once
@@ -146,6 +146,27 @@ def fk_samples(spark, folder):
     return integrity.orphan_samples(values, "Value", by=["ForeignKeyId", "scope"])
 
 
+@query
+def fk_blank_and_resent(spark, folder):
+    """Null and blank values are never orphans; parents sent again later count from the first time."""
+    lines = s.lineitem_of_supplier(spark, folder)
+    value = F.when(F.col("l_linenumber") == 2, " ").when(
+        F.col("l_linenumber") != 1, F.col("l_partkey").cast("string")
+    )
+    parts = s.given(spark, folder, "part")
+    first = F.when(F.col("p_size") > 40, 3).otherwise(1).alias(VERSION)
+    sent = parts.where("p_size < 48").select(F.col("p_partkey").cast("string").alias("p"), first)
+    sent = sent.unionByName(sent.select("p", F.lit(6).alias(VERSION)))
+    sent = sent.unionByName(sent.limit(1).select(F.lit(None).cast("string").alias("p"), VERSION))
+    registry = Registry(
+        (Table("line", PRACTICE, ("l_orderkey",)), Table("part", COMMON, ("p",), tenant=None)),
+        (ForeignKey(1, "line", "v", "part", "p"),),
+    )
+    return integrity.orphan_values(
+        {"line": lines.select(value.alias("v"), TENANT, VERSION), "part": sent}, registry
+    )
+
+
 @query
 def fk_caseless(spark, folder):
     """Sources written in the other case and with a trailing blank still find their parent."""
@@ -410,6 +431,38 @@ def parse_names(spark, folder):
     )
 
 
+#: A way to write a file name for each rule, and good ones.
+NAMES = {
+    1: "concat(k, '-', c, '_Sales_Order_', d, '000000_', g, '.txt')",
+    2: "concat(k, '-', c, '_Sales_Order_Item_', d, '000000_', g, '.csv')",
+    3: "concat(k, '-', c, '_Sales_Order_', d, '000000_', substring(g, 2, 40), '.csv')",
+    4: "concat(k, '_Sales_Order_', d, '000000_', g, '.csv')",
+    5: "concat(k, '-x', c, '_Sales_Order_', d, '000000_', g, '.csv')",
+    6: "concat(k, '-', c, '_Sales_ _', d, '000000_', g, '.csv')",
+    7: "concat(k, '-', c, '_Sales_Order_', d, '0000_', g, '.csv')",
+    8: "concat(k, '-', c, '_Sales_Order_', d, '250000_', g, '.csv')",
+    9: "concat(k, '-', c, '_Sales_Order_', d, '235959_{', lower(g), '}.CSV')",
+    10: "concat(k, '-', c, '_Sales_Order_', d, '000000_', g, '.csv')",
+}
+
+
+@query
+def parse_names_all(spark, folder):
+    """File names made of order fields that break every rule in turn, and null ones."""
+    way = "case o_orderkey % 11 " + " ".join(f"when {n} then {w}" for n, w in NAMES.items())
+    named = s.given(spark, folder, "orders").selectExpr(
+        "o_orderkey", "string(o_orderkey) k", "string(o_custkey) c",
+        "date_format(o_orderdate, 'yyyyMMdd') d",
+        "concat('0F8FAD5B-D9CB-469F-A165-', lpad(string(o_custkey), 12, '0')) g",
+    ).selectExpr("o_orderkey", f"{way} end as FileName")
+    parsed = with_parsed_name(named, "FileName")
+    return parsed.select(
+        "o_orderkey", "FileName", F.col("ProcessingIdStart").cast("string").alias("first_id"),
+        F.col("ProcessingIdEnd").cast("string").alias("last_id"), "TableName",
+        s.stamp("ExtractDate").alias("ExtractDate"), "SharingAgreementGuid", "parse_error",
+    )
+
+
 @query
 def split_texts(spark, folder):
     pages = s.given(spark, folder, "pages").select("page_id", "url")
@@ -456,6 +509,28 @@ def quoted_text_files(spark, folder):
     )
 
 
+@query
+def quoted_text_damaged(spark, folder):
+    """Records that end in CR LF; some have a field too many, some are a second header."""
+    docs = s.given(spark, folder, "documents").select("doc_id", F.col("text").substr(1, 60).alias("t"))
+    text = F.regexp_replace("t", "[\r\n\"]", " ")
+    number = F.col("doc_id").cast("string")
+    line = F.when(F.col("doc_id") % 10 == 3, F.concat_ws('","', number, text, F.lit("more")))
+    line = line.when(F.col("doc_id") % 10 == 7, F.lit('doc_id","text'))
+    line = line.otherwise(F.concat_ws('","', number, text))
+    header = spark.createDataFrame([('doc_id","text',)], "line string").coalesce(1)
+    lines = header.unionByName(docs.select(line.alias("line"))).coalesce(1)
+    path = scratch_folder(spark, "damaged")
+    lines.select(F.concat(F.lit('"'), "line", F.lit('"\r')).alias("value")).write.text(path)
+    table = Table("documents", PRACTICE, columns=("doc_id", "text"), widths={"text": 40})
+    rows = quoted_text.read_extract_table(spark, path, table)
+    flags = [F.col(f).cast("int").alias(f.strip("_")) for f in quoted_text.FLAGS[1:]]
+    counted = rows.select((F.col("doc_id").try_cast("long") % 10).alias("digit"), *flags)
+    return counted.groupBy("digit", *[f.strip("_") for f in quoted_text.FLAGS[1:]]).agg(
+        F.count("*").alias("n")
+    )
+
+
 @query
 def check_widths(spark, folder):
     return quoted_text.check_widths(s.given(spark, folder, "documents"), DOCUMENTS)
@@ -592,6 +667,18 @@ def install_gate(spark, folder):
     return tenants.install_gate(staged, log).withColumn("ExtractDate", s.stamp("ExtractDate"))
 
 
+@query
+def install_gate_first(spark, folder):
+    """Every order as the first extract: only those that start at processing id 1 may be."""
+    staged = s.given(spark, folder, "orders").select(
+        (1 + F.col("o_custkey") % 3).cast("int").alias("ProcessingIdStart"),
+        F.col("o_orderdate").alias("ExtractDate"),
+        F.col("o_orderkey").alias("Staged"),
+    )
+    log = spark.createDataFrame([], "ExtractId int, ProcessingIdEnd int, ExtractDate timestamp")
+    return tenants.install_gate(staged, log).withColumn("ExtractDate", s.stamp("ExtractDate"))
+
+
 @query
 def constraint_checks(spark, folder):
     tables = {
@@ -609,3 +696,6 @@ def constraint_checks(spark, folder):
         "labels": (Unique(("doc_id",)),),
     }
     return check_constraints(tables, rules)
+
+
+QUERIES |= jobs.QUERIES
