@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from checks import standins as s
+from tidemark.operators.versioned import as_of
 from tidemark.plans.install import Installed, Special, configure_practice, install_all
-from tidemark.plans.install import install_extract, stage_extract
+from tidemark.plans.install import install_extract, save_states, stage_extract
 from tidemark.plans.validate import validate_practices
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table, Via
 from tidemark.sources import history as store
@@ -205,11 +206,29 @@ def configure_by_hand(spark: SparkSession, folder: str) -> DataFrame:
     return _practices(spark, root)
 
 
+def as_of_from_state(spark: SparkSession, folder: str) -> DataFrame:
+    """States saved as of extract 4, the sixth extract's read from them and what followed."""
+    root = installed(spark, folder).root
+    registry = store.read_layout(spark, root, REGISTRY)
+    if store.read_control(spark, root, "SavedStates").isEmpty():
+        save_states(spark, root, REGISTRY, 4)
+
+    def state(name: str, *columns: str) -> DataFrame:
+        table = registry.table(name)
+        rows = as_of(store.recent_history(spark, root, table, 6), table, 6)
+        key = F.concat_ws("/", *columns)
+        return rows.select(F.lit(name).alias("TableName"), key.alias("Key"), VERSION)
+
+    return state("Sales_Line", TENANT, "OrderKey", "LineNumber").unionByName(
+        state("Org_Sharing", "OrganisationGuid")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         install_all_rows, install_log, install_discarded, installed_practices, validation_errors,
-        validation_text, configure_by_hand,
+        validation_text, configure_by_hand, as_of_from_state,
     )
 }
 
@@ -273,6 +292,12 @@ ORACLE = {
             || ' (column ' || c || ')' as "Line"
         from errors join (values (1, 'CustomerKey', 'Org_Customer'), (2, 'PartKey', 'Org_Part'))
             k(fk, c, t) using (fk)""",
+    "as_of_from_state": f"""with {_TABLES}
+        select 'Sales_Line' as "TableName", practice || '/' || l_orderkey || '/' || l_linenumber as "Key",
+               cast(x as int) as "ExtractId"
+        from line_rows where practice is not null and x <= 6 and l_returnflag <> 'R'
+        union all
+        select 'Org_Sharing', {_GUID}, 6 from nation""",
     "configure_by_hand": f"""select
         case n_nationkey when 3 then upper('{{00000000-0000-0000-0000-000000000003}}')
             else {_GUID} end as "OrganisationGuid",

@@ -23,6 +23,7 @@ from tidemark.plans.install import (
     configure_practice,
     install_all,
     install_extract,
+    save_states,
     stage_extract,
     staged_tables,
 )
@@ -392,3 +393,42 @@ def test_many_runs_are_written_by_many_tasks(spark, small_skew, tmp_path):
     files = [f for f in os.listdir(f"{store.control_path(root, 'RunText')}/Batch=1") if f.startswith("part-")]
     assert len(files) > 1
     assert store.read_batch(spark, root, "RunText", 1).count() == 400_000
+
+
+def test_states_stand_in_for_earlier_extracts(spark, tmp_path):
+    """The same state from a saved one and later partitions; nothing deleted comes back."""
+    root, folder = str(tmp_path / "store"), str(tmp_path / "in")
+    x.write_extract(f"{folder}/e1", "1-9", "20170201000000", x.bulk())
+    changes = {
+        "Agreements_SharingOrganisation": x.sharing(1, 2),
+        "Admin_Patient": [
+            x.patient(1, 1, Deleted="true"), x.patient(2, 1, Surname="New"), x.patient(3, 1),
+        ],
+    }
+    x.write_extract(f"{folder}/e2", "10-11", "20170202000000", changes)
+    last = {
+        "Agreements_SharingOrganisation": x.sharing(1, 2),
+        "Admin_Patient": [x.patient(3, 1, Deleted="true"), x.patient(9, 2)],
+    }
+    x.write_extract(f"{folder}/e3", "12-13", "20170203000000", last)
+    install_all(spark, root, folder, x.FEW)
+    about = store.read_layout(spark, root, x.FEW).table("Admin_Patient")
+
+    def states():
+        out = []
+        for n in (1, 2, 3, None):
+            found = as_of(store.recent_history(spark, root, about, n), about, n)
+            out.append(sorted(map(tuple, found.collect())))
+        return out
+
+    whole = states()
+    for extract in (2, 3):
+        assert "Admin_Patient" in save_states(spark, root, x.FEW, extract)
+        assert states() == whole
+    assert [r[0] for r in whole[3]] == sorted(r[0] for r in whole[3]) and len(whole[3]) == 5
+    recent = store.recent_history(spark, root, about)
+    files = [f for f in recent.inputFiles() if "/history/" in f]
+    assert not files, "all extracts are covered"
+    assert all("ExtractId=3" in f for f in store.recent_history(spark, root, about, 2).inputFiles() if "/history/" in f)
+    with pytest.raises(ValueError, match="not installed"):
+        store.save_state(spark, root, about, 4)

@@ -173,3 +173,23 @@ def test_hot_values_shrink_before_the_shuffle(spark):
     assert hot.Count == 20000
     assert integrity.orphan_totals(values).first().DistinctCount == 20001
     assert "CartesianProduct" not in values._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_popular_missing_code_is_split(spark, small_skew, final_plan):
+    """One code without a parent, used by 3,000 practices in five extracts: the join splits its rows."""
+    child = spark.range(0, 60000, 1, 8).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"),
+        F.concat(F.lit("P"), F.col("id") % 3000).alias("practice"),
+        (1 + F.col("id") % 5).cast("int").alias("ExtractId"),
+        F.when(F.col("id") % 3 > 0, "popular").otherwise(F.col("id").cast("string")).alias("c"),
+        F.lit(None).cast("string").alias("p"),
+    )
+    # A repeated value takes few bytes once compressed.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "40k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "80k")
+    empty = frames(spark, [], [], [])
+    values = integrity.orphan_values({**empty, "child": child}, REGISTRY)
+    plan = final_plan(values)
+    assert "skew=true" in plan
+    popular = values.where("Value = 'popular'")
+    assert popular.count() == 2000 and popular.agg(F.sum("Count")).first()[0] == 40000

@@ -295,6 +295,27 @@ def _is_installed(spark: SparkSession, root: str, staged: Row) -> bool:
     return not installed.where(same).isEmpty()
 
 
+def save_states(
+    spark: SparkSession,
+    root: str,
+    registry: Registry = care_records.CARE_RECORDS,
+    extract: int | None = None,
+) -> list[str]:
+    """Save the state of every keyed table as of an extract (the last one installed).
+
+    Worth it every so many extracts: reads of the current state then skip all earlier ones. A saved
+    state starts from the one before it. Returns the tables saved.
+    """
+    extract = store.last_installed(spark, root) if extract is None else extract
+    if extract is None:
+        raise ExtractError("no extract is installed")
+    registry = store.read_layout(spark, root, registry)
+    keyed = [t for t in registry.tables if t.keys]
+    for table in keyed:
+        store.save_state(spark, root, table, extract)
+    return [t.name for t in keyed]
+
+
 def _table_files(
     spark: SparkSession, directory: str, name: Row, registry: Registry
 ) -> dict[str, str]:
@@ -376,7 +397,7 @@ def _organisations(
 ) -> DataFrame:
     organisation = registry.table(special.organisation)
     staged = store.read_extract(spark, root, organisation, extract, _KEPT)
-    common = current(store.read_history(spark, root, organisation, extract - 1), organisation)
+    common = current(store.recent_history(spark, root, organisation, extract - 1), organisation)
     sharing = store.read_extract(spark, root, registry.table(special.sharing), extract, _KEPT)
     return tenants.staging_organisations(sharing, practices, staged, common)
 

@@ -112,7 +112,10 @@ def validate_practices(
     if practice and runs.isEmpty():
         raise ValidationError(f"practice {practice} {skipped.first().Reason}")
 
-    histories = store.read_histories(spark, root, registry)
+    if mode == "as_of":
+        histories = store.recent_histories(spark, root, registry, extract)
+    else:
+        histories = store.read_histories(spark, root, registry)
     if practice:
         histories = {
             name: df.where(F.col("practice") == practice) if "practice" in df.columns else df

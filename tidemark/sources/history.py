@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.tenants import PRACTICE_SCHEMA
+from tidemark.operators.versioned import latest_rows
 from tidemark.registry import PRACTICE, TENANT, VERSION, Registry, Table
 
 _STAGED = (
@@ -37,12 +38,13 @@ CONTROL = {
         "OrganisationName string, ODSCode string, PracticeDBName string"
     ),
     "TableLayout": "TableName string, Position int, ColumnName string",
+    "SavedStates": "TableName string, AsOfExtract int",
     "Run": "RunId int, PracticeDBName string, ExtractId int, RunDate timestamp_ntz, RunGroupId int",
     "RunText": "RunId int, LineId int, Line string",
     "OrphanValues": "ForeignKeyId int, scope string, Value string, Count long",
     "ForeignKeyErrors": "RunId int, ForeignKeyId int, Count long, DistinctCount long",
 }
-SMALL = {"StagedExtract", "InstalledExtracts", "TableLayout"}
+SMALL = {"StagedExtract", "InstalledExtracts", "TableLayout", "SavedStates"}
 _SNAPSHOT = [("AsOfExtract", T.IntegerType()), ("Revision", T.IntegerType())]
 
 
@@ -240,6 +242,59 @@ def read_history(
     return rows.select(*table.history_schema.names)
 
 
+def state_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/state/{table}"
+
+
+def save_state(spark: SparkSession, root: str, table: Table, extract: int) -> None:
+    """Write the newest rows of every key as of a committed extract, deleted ones included.
+
+    Deleted rows stay, so that no older version of their key comes back when later extracts are laid
+    over the state. The state is listed last: one that was not written whole is never read.
+    """
+    keys = table.scoped_keys(table.history_schema.names)
+    if not keys:
+        raise ValueError(f"{table.name} has no key: all its rows are its state")
+    if extract > (last_installed(spark, root) or 0):
+        raise ValueError(f"extract {extract} is not installed")
+    rows = latest_rows(recent_history(spark, root, table, extract), keys, extract)
+    if table.kind == PRACTICE:
+        rows = rows.hint("rebalance", TENANT).sortWithinPartitions(TENANT)
+    rows.write.mode("overwrite").parquet(f"{state_path(root, table.name)}/AsOfExtract={extract}")
+    entry = spark.createDataFrame([(table.name, extract)], CONTROL["SavedStates"])
+    append_control(entry, root, "SavedStates")
+
+
+def recent_history(
+    spark: SparkSession, root: str, table: Table, extract: int | None = None
+) -> DataFrame:
+    """What :func:`as_of` needs for an extract (``None``: the newest): a saved state and what followed.
+
+    The newest saved state up to the extract takes the place of all extracts it covers; only the later
+    partitions of the history are listed and read. Without one this is the whole history.
+    """
+    installed = last_installed(spark, root) or 0
+    upto = installed if extract is None else min(extract, installed)
+    states = read_control(spark, root, "SavedStates").where(
+        (F.col("TableName") == table.name) & (F.col("AsOfExtract") <= upto)
+    )
+    saved = states.agg(F.max("AsOfExtract")).first()[0]
+    history = read_history(spark, root, table, installed)
+    if saved is None:
+        return history.where(F.col(VERSION) <= upto)
+    state = spark.read.schema(table.history_schema).parquet(
+        f"{state_path(root, table.name)}/AsOfExtract={saved}"
+    )
+    later = history.where((F.col(VERSION) > saved) & (F.col(VERSION) <= upto))
+    return state.select(*later.columns).unionByName(later)
+
+
+def recent_histories(
+    spark: SparkSession, root: str, registry: Registry, extract: int | None = None
+) -> dict[str, DataFrame]:
+    return {t.name: recent_history(spark, root, t, extract) for t in registry.tables}
+
+
 def read_histories(spark: SparkSession, root: str, registry: Registry) -> dict[str, DataFrame]:
     installed = last_installed(spark, root)
     return {t.name: read_history(spark, root, t, installed) for t in registry.tables}

@@ -11,17 +11,24 @@ from tidemark.registry import VERSION, Registry, Table
 
 
 def register_views(
-    spark: SparkSession, histories: Mapping[str, DataFrame], registry: Registry
+    spark: SparkSession,
+    histories: Mapping[str, DataFrame],
+    registry: Registry,
+    recent: Mapping[str, DataFrame] | None = None,
 ) -> None:
     """Make every history available to SQL in this session.
 
+    ``recent`` (see ``sources.history.recent_histories``) spares ``vw_<table>`` the extracts that a
+    saved state covers.
+
     ``history_<table>`` holds all versions, ``vw_<table>`` the current state, and
     ``fn_<table>(n)`` the state as of extract n (null: the newest).
     """
     for name, history in histories.items():
         table = registry.table(name)
         history.createOrReplaceTempView(f"history_{name}")
-        current(history, table).createOrReplaceTempView(f"vw_{name}")
+        newest = (recent or {}).get(name, history)
+        current(newest, table).createOrReplaceTempView(f"vw_{name}")
         spark.sql(_as_of_function(history, table))
 
 
