@@ -7,7 +7,7 @@ from tidemark.llm.line_dedup import CUT, PLACE, STRONG, TELLING, Units, without_
 from tidemark.llm.common import mixed, word_hashes
 
 
-def brute(rows, least=20):
+def brute(rows, least=25):
     """Cleaned texts by lists and dictionaries: doc order, then place."""
     cut_rows, first = [], {}
 

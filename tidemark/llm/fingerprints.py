@@ -82,7 +82,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     what is cut, and near_next is null. Other columns are not looked at. An empty table gives an
     empty table.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # A bare column if the type allows it: an alias that only one of two readers keeps would make two shuffles of one.
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    docs = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     named = docs.where("doc_id is not null")
     after = saved(next_ids(named), "next")
     # What a document has to lend at most: as many code points as a third of the longest text before it.

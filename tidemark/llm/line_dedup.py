@@ -1,7 +1,7 @@
 """Repeated lines and passages: units of text hashed, grouped globally, the earliest occurrence kept.
 
 A unit is a line, or, as passages also repeat inside longer lines, a piece of one: a line is cut between two
-words wherever the hash of the two says so (one place in six), so that the same passage is cut the
+words wherever the hash of the two says so (one place in four), so that the same passage is cut the
 same way wherever it stands. Units are normalised (lower case, single spaces) and hashed to 64 bits.
 
 The earliest document that has a unit keeps it. In the others, and after its first place within a document,
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.common import LAST_ID, mixed, saved, word_hashes
 
-LEAST_WORDS = 20
-CUT, TELLING, STRONG = np.uint64(6), 3, 5
+LEAST_WORDS = 25
+CUT, TELLING, STRONG = np.uint64(4), 3, 5
 #: Bytes that separate words.
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
