@@ -50,7 +50,7 @@ quarters as (
   from running group by all),
 fences as (
   select level, lk, sk, m, n, q1 - 3 * greatest(q3 - q1, least_spread) as lo, q3 + 3 * greatest(q3 - q1, least_spread) as hi
-  from quarters join (values ('symbols', 20), ('length', 50), ('lines', 100), ('repeats', 100)) as t(m, least_spread) using (m)),
+  from quarters join (values ('symbols', 20), ('length', 50), ('lines', 150), ('repeats', 100)) as t(m, least_spread) using (m)),
 chosen as (
   select a.lk, a.sk, a.m,
          case when a.n >= 200 then a.lo when l.n >= 200 then l.lo else e.lo end as lo,

@@ -20,7 +20,7 @@ from tidemark.llm.common import bind, saved, words
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 #: Measure -> (least spread, whether too little is a fault too).
-RULES = {"symbols": (20, False), "length": (50, True), "lines": (100, False), "repeats": (100, False)}
+RULES = {"symbols": (20, False), "length": (50, True), "lines": (150, False), "repeats": (100, False)}
 FENCE, OWN_SKETCH = 3, 200
 #: Parts into which the documents of one language and source are dealt where limits are joined by a shuffle.
 PARTS = 32
