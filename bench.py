@@ -37,6 +37,9 @@ HEADLINE = [
     "parse_names",
     "quoted_text_rows",
     "check_widths",
+    "run_lines",
+    "fk_result_pivot",
+    "as_of_bucketed",
 ]
 
 
