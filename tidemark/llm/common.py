@@ -6,32 +6,20 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.sources.shared import new_folder
+from tidemark.sources.shared import written_once as saved
 
 SPACE = r"[\x20\x09-\x0D]+"
-WORD = r"[^\x20\x09-\x0D]+"
 LAST_ID = 2**63 - 1
 
+__all__ = ["LAST_ID", "SPACE", "bind", "documents", "dropped", "mixed", "saved", "shingle_set", "window_hashes", "word_hashes", "words"]
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the folder all executors share, and read from there.
-
-    Cuts the lineage without relying on any executor; the folder goes when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    folder = new_folder(spark, name)
-    df.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
-
-
 def dropped(df: DataFrame) -> None:
-    """Deletes the files of a frame made by saved() that no later step reads."""
+    """Deletes the files of a frame made by saved() before the session ends: no later step reads them."""
     spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -37,8 +37,8 @@ def remainder(doc_id: Column) -> Column:
 def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
     """Raw-content dictionaries by language from labelled rows (doc_id, text, lang), languages with most rows first.
 
-    Of each language the SAMPLE_DOCS rows with the least hashes of doc_id are taken, found by a limit per language
-    that is applied before the shuffle. Rows without text, letters or language are not learned from.
+    Of each language the SAMPLE_DOCS rows with the least hashes of doc_id are taken. Rows without text, letters or
+    language are not learned from. A table with more than LANGUAGES languages is refused.
     What comes to the driver is bounded by LANGUAGES * SAMPLE_DOCS * SAMPLE_CHARS code points.
     """
     able = labelled.select(
@@ -46,14 +46,21 @@ def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
         F.xxhash64(F.col("doc_id").cast("string")).alias("mark"),
         F.substring(F.col("text").cast("string"), 1, SAMPLE_CHARS).alias("text"),
     ).where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
+    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    if not counts:
+        return {}
+    # Hashes are uniform: the least SAMPLE_DOCS of n are looked for among the lowest 4 * SAMPLE_DOCS / n of all, so what
+    # meets in one task does not grow with the number of tasks.
+    lowest = {x: -(2**63) + min(2**64 - 1, 4 * SAMPLE_DOCS * 2**64 // n) for x, n in counts.items()}
+    upto = F.create_map(*[F.lit(v) for pair in lowest.items() for v in pair])
+    low = able.where(F.col("mark") <= F.try_element_at(upto, F.col("lang")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "text"))
-    taken = able.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "rank", "text").collect()
-    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    taken = low.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "rank", "text").collect()
     held: dict[str, list[str]] = {}
     for row in sorted(taken, key=lambda r: (r.lang, -r.rank)):
         held.setdefault(row.lang, []).append(letters(row.text))
-    if len(held) > LANGUAGES:
-        raise ValueError(f"{len(held)} languages; dictionaries are made for {LANGUAGES} at most")
     order = sorted(held, key=lambda x: (-counts[x], x))
     return {lang: " ".join(held[lang]).encode("utf-8", "replace")[-DICTIONARY:] for lang in order}
 
