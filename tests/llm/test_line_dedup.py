@@ -108,6 +108,14 @@ def test_edges_and_clashing_columns(table, edge_rows):
     assert without_repeats(table([])).count() == 0
 
 
+def test_rows_without_id_come_last_and_are_told_apart(table, prose):
+    a, b = " ".join(prose(60, 1)), " ".join(prose(60, 2))
+    rows = [(None, a), (None, a + " " + b), (5, a), (6, " ".join(prose(60, 3)))]
+    found = sorted((str(r.doc_id), len(r.text.split())) for r in without_repeats(table(rows)).collect())
+    assert found[:2] == [("5", 60), ("6", 60)]
+    assert found[2][1] <= 8 and 55 <= found[3][1] <= 75, "b stands in no row with an id and in one without"
+
+
 def test_offsets_are_code_points():
     text = "é😀 a\n" + "wort " * 3
     found = Units(text)

@@ -130,6 +130,14 @@ def test_rows_without_id(table):
     assert found == [("7", "7"), ("None", "7"), ("None", "None"), ("None", "None")]
 
 
+def test_one_of_each_without_ids(table):
+    """A row without an id goes with the linked one that has one; the others stay."""
+    text = "one two three four five six seven eight"
+    rows = [(None, text), (7, text), (None, "a lonely text without any id at all"), (None, None), (3, "x y"), (3, text + " nine")]
+    left = sorted((str(r.doc_id), str(r.text)) for r in one_of_each(table(rows)).collect())
+    assert left == sorted([("None", "None"), ("None", rows[2][1]), ("3", "x y"), ("3", text + " nine")])
+
+
 def test_shingles_of_short_and_blank_texts():
     assert [len(shingle_set(t, 5)) for t in (None, "", " \n", "a", "a b c d e", "a b c d e f")] == [0, 0, 0, 1, 1, 2]
     assert np.array_equal(shingle_set("AÉ b", 5), shingle_set("aÉ  b", 5))

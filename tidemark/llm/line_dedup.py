@@ -40,15 +40,18 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """
     docs = docs.drop("removed_spans")
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))
-    units = docs.select(rank.alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(_units, "unit long, id long")
+    # Rows without an id rank alike, but each has its own repeats: they are told apart by their text.
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
+    units = docs.select(rank.alias("id"), key.alias("key"), F.col("text").cast("string").alias("text"))
+    units = units.mapInArrow(_units, "unit long, id long, key long")
     firsts = saved(
         units.groupBy("unit").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("unit", "first"),
         "firsts",
     )
-    repeats = units.join(firsts, "unit").where("id > first").groupBy("id").agg(F.collect_list("unit").alias("__repeats"))
-    repeats = repeats.select(F.col("id").alias("__rank"), "__repeats")
+    repeats = units.join(firsts, "unit").where("id > first").groupBy(F.col("key").alias("__key"))
+    repeats = repeats.agg(F.collect_set("unit").alias("__repeats"))
     schema = T.StructType([*docs.schema, *T._parse_datatype_string(SPANS)])
-    return docs.join(repeats, rank == F.col("__rank"), "left").drop("__rank").mapInArrow(_cut(docs.schema, least), schema)
+    return docs.join(repeats, key == F.col("__key"), "left").drop("__key").mapInArrow(_cut(docs.schema, least), schema)
 
 
 class Units:
@@ -115,19 +118,24 @@ class Units:
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Telling units of each document, each once."""
     for batch in batches:
-        digests, ids, held = [], [], 0
-        for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        digests, ids, keys, held = [], [], [], 0
+        for id_, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             found = Units(text.as_py() or "")
             if found.n:
                 own = np.unique(found.digests[found.telling()])
                 digests.append(own)
                 ids.append(np.full(len(own), id_, np.int64))
+                keys.append(np.full(len(own), key, np.int64))
                 held += len(own)
             if held > 200_000:
-                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (digests, ids)], ["unit", "id"])
-                digests, ids, held = [], [], 0
+                yield _unit_rows(digests, ids, keys)
+                digests, ids, keys, held = [], [], [], 0
         if held:
-            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (digests, ids)], ["unit", "id"])
+            yield _unit_rows(digests, ids, keys)
+
+
+def _unit_rows(*columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.concatenate(x)) for x in columns], ["unit", "id", "key"])
 
 
 def cut_text(text: str, repeats: np.ndarray, least: int) -> tuple[str, list[dict]]:

@@ -26,7 +26,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import LAST_ID, dropped, mixed, saved, shingle_set
 from tidemark.llm.components import components
@@ -49,8 +49,26 @@ def linked_documents(docs: DataFrame, words: int = WORDS, threshold: tuple[int,
     linked row has one. Repeated rows and ties stay, each with the same component. Other columns
     are not looked at. An empty table gives an empty table.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = saved(docs.mapInArrow(_sets(words, threshold), "doc_id long, n_shingles long, node long, v1 long, v2 long"), "sets")
+    found, ids = _named(docs, words, threshold)
+    alone = F.col("node").isNull()
+    return found.join(ids, "node", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.when(alone, F.lit(0)).otherwise(F.col("sets")).alias("distinct_sets"),
+    )
+
+
+def _named(docs: DataFrame, words: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Every row's set, and (node, component_id, sets) of every set; both stored.
+
+    A row is known by its doc_id and a hash of its text, so neither rows without an id nor ids used twice are
+    taken for one another.
+    """
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _mark(F.col("text")).alias("mark")
+    )
+    found = saved(docs.mapInArrow(_sets(words, threshold), "doc_id long, mark long, n_shingles long, node long, v1 long, v2 long"), "sets")
     stars = saved(_stars(docs, words, threshold), "stars")
     parts = saved(components(stars), "parts")
     links = saved(_links(docs, found, parts, words, threshold), "links")
@@ -62,26 +80,27 @@ def linked_documents(docs: DataFrame, words: int = WORDS, threshold: tuple[int,
     ids = saved(named.join(roots, "root").select("node", "component_id", "sets"), "names")
     for used in (stars, parts, links, named, roots):
         dropped(used)
-    alone = F.col("node").isNull()
-    return found.join(ids, "node", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(alone, F.lit(0)).otherwise(F.col("sets")).alias("distinct_sets"),
-    )
+    return found, ids
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
+def _id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("long"), F.lit(LAST_ID))
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The rows of docs that are the first of their component, with all their columns.
 
-    Rows without doc_id go if a linked row has one, else they stay. Rows that repeat a doc_id are one
-    document and stay together.
+    Rows without doc_id go if a linked row has one, else they stay. Rows that repeat a doc_id and are linked are
+    one document and stay together.
     """
-    linked = linked_documents(docs, words, threshold)
-    gone = linked.where("component_id is not null and not (doc_id <=> component_id)").select(
-        F.coalesce("doc_id", F.lit(LAST_ID)).alias("__gone")
-    )
-    return docs.join(gone.distinct(), F.coalesce(docs["doc_id"], F.lit(LAST_ID)) == F.col("__gone"), "left_anti")
+    found, ids = _named(docs, words, threshold)
+    gone = found.join(ids, "node").where("component_id is not null and not (doc_id <=> component_id)")
+    gone = gone.select(_id(F.col("doc_id")).alias("__id"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(gone, (_id(docs["doc_id"]) == F.col("__id")) & (_mark(docs["text"]) == F.col("__mark")), "left_anti")
 
 
 # Bands and lanes
@@ -173,8 +192,8 @@ def _sets(words: int, threshold: tuple[int, int]):
                     first.append(at[0] if at else None)
                     second.append(at[1] if len(at) > 1 else None)
                 yield pa.record_batch(
-                    [batch.column(0), *(pa.array(x, pa.int64()) for x in (sizes, nodes, first, second))],
-                    ["doc_id", "n_shingles", "node", "v1", "v2"],
+                    [batch.column(0), batch.column(2), *(pa.array(x, pa.int64()) for x in (sizes, nodes, first, second))],
+                    ["doc_id", "mark", "n_shingles", "node", "v1", "v2"],
                 )
 
     return run
@@ -215,15 +234,18 @@ def _stars(docs: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame
 
 def _links(docs: DataFrame, found: DataFrame, parts: DataFrame, words: int, threshold: tuple[int, int]) -> DataFrame:
     """(a, b): sets of a part with the smallest one that verified links connect them with."""
-    reps = found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("v1").alias("v1"), F.first("v2").alias("v2"))
-    placed = reps.select("doc_id", "node", "n", F.explode(F.array("v1", "v2")).alias("vertex")).where("vertex is not null")
-    placed = saved(placed.join(parts, "vertex").select("doc_id", "node", "n", F.col("root").alias("part")), "placed")
+    id_ = _id(F.col("doc_id"))
+    reps = found.where("node is not null").groupBy("node").agg(
+        F.min(id_).alias("id"), F.min_by("mark", id_).alias("mark"), F.first("n_shingles").alias("n"), F.first("v1").alias("v1"), F.first("v2").alias("v2")
+    )
+    placed = reps.select("id", "mark", "node", "n", F.explode(F.array("v1", "v2")).alias("vertex")).where("vertex is not null")
+    placed = saved(placed.join(parts, "vertex").select("id", "mark", "node", "n", F.col("root").alias("part")), "placed")
     blocks = placed.groupBy("part").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    wanted = placed.join(blocks, "part").groupBy("node", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id")).agg(
+    wanted = placed.join(blocks, "part").groupBy("node", "id", "mark").agg(
         F.collect_list("part").alias("parts"), F.collect_list("blocks").alias("blocks")
     )
     # By merge at every size: what is wanted grows with the copies in the input, so it is not a side to broadcast.
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted.hint("merge"), "id")
+    texts = docs.select(_id(F.col("doc_id")).alias("id"), "mark", "text").join(wanted.hint("merge"), ["id", "mark"])
     sides = texts.select("text", "node", "parts", "blocks").mapInArrow(
         _blocks(words), "unit long, part long, own int, other int, node long, shingles binary"
     )
@@ -242,7 +264,7 @@ def _blocks(words: int):
                 for text, node, parts, blocks in zip(*(batch.column(i) for i in range(4)), strict=True):
                     h, node = shingle_set(text.as_py(), words), node.as_py()
                     if not len(h) or int(_node(h).view(np.int64)) != node:
-                        continue  # another text under the same doc_id
+                        continue  # another text with the same id and hash
                     for part, n in zip(parts.as_py(), blocks.as_py(), strict=True):
                         own = int(np.uint64(node & (2**64 - 1)) % np.uint64(n))
                         for other in range(n):
