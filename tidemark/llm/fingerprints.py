@@ -82,7 +82,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     what is cut, and near_next is null. Other columns are not looked at. An empty table gives an
     empty table.
     """
-    # A bare column if the type allows it: an alias that only one of two readers keeps would make two shuffles of one.
+    # A bare column if the type allows it: Spark keeps an alias for only one of the two readers of `named`, and their
+    # shuffles of all texts would then not be one and the same.
     doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
     docs = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     named = docs.where("doc_id is not null")
