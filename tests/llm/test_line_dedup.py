@@ -120,3 +120,30 @@ def test_offsets_are_code_points():
     text = "é😀 a\n" + "wort " * 3
     found = Units(text)
     assert found.n >= 2 and found.starts[0] == 0
+
+
+def longest_kept(text, earlier):
+    """Words of the longest passage of text that an earlier text has: by all pairs of places."""
+    a, b = text.lower().split(), earlier.lower().split()
+    best, row = 0, [0] * (len(b) + 1)
+    for w in a:
+        row = [0] + [row[j] + 1 if w == x else 0 for j, x in enumerate(b)]
+        best = max(best, *row)
+    return best
+
+
+def test_short_lines_do_not_hold_a_passage_together(table, prose):
+    """60 words and more, broken by distinct lines of one or two words: lists, comment signs, headings, a poem."""
+    marks = [f"m{i}" for i in range(400)]
+    every = lambda words, n, k: "".join(" ".join(words[i : i + n]) + "\n" + " ".join(marks[i : i + k]) + "\n" for i in range(0, len(words), n))
+    shared = [every(prose(60, 900), 12, 1), every(prose(60, 901), 6, 2), every(prose(48, 902), 24, 2), "\n".join(marks[100:175]) + "\n"]
+    rows = [(20 * i + j, "\n".join([" ".join(prose(30, 40 * i + j)), p + " ".join(prose(30, 40 * i + 20 + j))])) for i, p in enumerate(shared) for j in range(2)]
+    rows += [(200 + i, f"{' '.join(prose(3, 950))}\n" + "\n".join(f"own{i}x{k}" for k in range(30)) + f"\n{' '.join(prose(8, 951))}\n") for i in range(3)]
+    found = {r.doc_id: r.text for r in without_repeats(table(rows)).collect()}
+    texts = dict(rows)
+    for i in range(len(shared)):
+        assert found[20 * i] == texts[20 * i], "the earliest one stays whole"
+        assert longest_kept(found[20 * i + 1], texts[20 * i]) < 25
+        assert all(w in found[20 * i + 1].split() for w in prose(30, 40 * i + 1) + prose(30, 40 * i + 21))
+    for i in range(3):
+        assert found[200 + i] == texts[200 + i], "short lines of its own between common ones stay"

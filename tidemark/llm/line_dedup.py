@@ -6,8 +6,10 @@ same way wherever it stands. Units are normalised (lower case, single spaces) an
 
 The earliest document that has a unit keeps it. In the others, and after its first place within a document,
 the unit is a repeat. A run of repeats of at least `least` words is cut out; shorter ones are common
-phrases and stay. Units of one or two words say nothing by themselves: they belong to a run if
-repeats stand on both sides.
+phrases and stay. Units of one or two words say nothing by themselves. Inside a line they belong to a run if
+repeats stand on both sides. A whole line of one or two words is looked up together with the unit before and
+the one after it: it is a repeat where an earlier document has all three in a row, or if the line itself
+stands earlier in the same text.
 """
 
 from __future__ import annotations
@@ -80,6 +82,12 @@ class Units:
         opens = np.r_[True, self.line[1:] != self.line[:-1]]
         self.whole = opens & np.r_[opens[1:], True]
         self.opens = opens
+        #: Short whole lines with a unit on either side, and digests of the three.
+        self.short = np.flatnonzero((self.whole & ~self.telling())[1:-1]) + 1
+        three = self.digests.view(np.uint64)
+        with np.errstate(over="ignore"):
+            before, here = mixed(three[self.short - 1] + PLACE), mixed(three[self.short] + PLACE * np.uint64(2))
+            self.short_digests = mixed(before + here * PLACE + mixed(three[(self.short + 1) % self.n] + PLACE * np.uint64(3))).view(np.int64)
 
     def telling(self) -> np.ndarray:
         return self.words >= TELLING
@@ -90,6 +98,16 @@ class Units:
         again[np.unique(self.digests, return_index=True)[1]] = False
         return again & (self.telling() | self.whole)
 
+    def looked_up(self) -> np.ndarray:
+        """What other documents may share: telling units, and short whole lines with their neighbours."""
+        return np.r_[self.digests[self.telling()], self.short_digests]
+
+    def repeated_in(self, repeats: np.ndarray) -> np.ndarray:
+        """Units that earlier documents have."""
+        found = np.isin(self.digests, repeats) & self.telling()
+        found[self.short[np.isin(self.short_digests, repeats)]] = True
+        return found
+
     def runs(self, repeated: np.ndarray, least: int) -> list[tuple[int, int]]:
         """[first, last] units of the runs to cut."""
         out = []
@@ -98,7 +116,7 @@ class Units:
         edges = np.flatnonzero(np.diff(np.r_[False, state, False].astype(np.int8)))
         for a, b in zip(known[edges[::2]].tolist(), known[edges[1::2] - 1].tolist(), strict=True):
             held = self.words[a : b + 1]
-            if held.sum() >= least and (held.max() >= STRONG or self.whole[a : b + 1].all()):
+            if held.sum() >= least and (held.max() >= STRONG or held[self.whole[a : b + 1]].sum() >= least):
                 out.append((a, b))
         return out
 
@@ -116,13 +134,13 @@ class Units:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Telling units of each document, each once."""
+    """What is looked up of each document, each digest once."""
     for batch in batches:
         digests, ids, keys, held = [], [], [], 0
         for id_, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
             found = Units(text.as_py() or "")
             if found.n:
-                own = np.unique(found.digests[found.telling()])
+                own = np.unique(found.looked_up())
                 digests.append(own)
                 ids.append(np.full(len(own), id_, np.int64))
                 keys.append(np.full(len(own), key, np.int64))
@@ -143,7 +161,7 @@ def cut_text(text: str, repeats: np.ndarray, least: int) -> tuple[str, list[dict
     found = Units(text)
     if not found.n:
         return text, []
-    spans = found.spans(found.runs((np.isin(found.digests, repeats) & found.telling()) | found.repeated_here(), least))
+    spans = found.spans(found.runs(found.repeated_in(repeats) | found.repeated_here(), least))
     if not spans:
         return text, []
     data = found.data
