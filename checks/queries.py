@@ -509,19 +509,29 @@ def quoted_text_files(spark, folder):
     )
 
 
-@query
-def quoted_text_damaged(spark, folder):
-    """Records that end in CR LF; some have a field too many, some are a second header."""
-    docs = s.given(spark, folder, "documents").select("doc_id", F.col("text").substr(1, 60).alias("t"))
-    text = F.regexp_replace("t", "[\r\n\"]", " ")
+def _damaged_documents(spark, folder):
+    """Whole texts as records that end in CR LF, a file per partition with the header in each."""
+    docs = s.given(spark, folder, "documents").select("doc_id", "text")
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""'))
     number = F.col("doc_id").cast("string")
     line = F.when(F.col("doc_id") % 10 == 3, F.concat_ws('","', number, text, F.lit("more")))
     line = line.when(F.col("doc_id") % 10 == 7, F.lit('doc_id","text'))
     line = line.otherwise(F.concat_ws('","', number, text))
-    header = spark.createDataFrame([('doc_id","text',)], "line string").coalesce(1)
-    lines = header.unionByName(docs.select(line.alias("line"))).coalesce(1)
     path = scratch_folder(spark, "damaged")
-    lines.select(F.concat(F.lit('"'), "line", F.lit('"\r')).alias("value")).write.text(path)
+    header, end = '"doc_id","text"', '"\r'
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    above = F.when(first, F.lit(header + "\r\n")).otherwise(F.lit(""))
+    records = docs.select(F.concat(above, F.lit('"'), line, F.lit(end)).alias("value"))
+    # A file of the header alone, so that no table is without one.
+    alone = spark.createDataFrame([(header + "\r",)], "value string").coalesce(1)
+    alone.unionByName(records).write.text(path)
+    return path
+
+
+@query
+def quoted_text_damaged(spark, folder):
+    """Records that end in CR LF; some have a field too many, some are a second header."""
+    path = _damaged_documents(spark, folder)
     table = Table("documents", PRACTICE, columns=("doc_id", "text"), widths={"text": 40})
     rows = quoted_text.read_extract_table(spark, path, table)
     flags = [F.col(f).cast("int").alias(f.strip("_")) for f in quoted_text.FLAGS[1:]]
