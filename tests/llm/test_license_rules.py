@@ -64,3 +64,27 @@ def test_many_matches_in_one_text(table, times):
 
 def test_empty_table(table):
     assert license_summary(license_scan(table([]))).count() == 0
+
+
+#: Mentions as projects write them, not derived from the patterns.
+MENTIONS = {
+    "GPL v3": "gpl-3", "GPLv2": "gpl-2", "GPLv3+": "gpl-3", "AGPLv3": "agpl-3", "LGPL v2.1": "lgpl-2", "LGPLv3": "lgpl-3",
+    "GNU General Public License v3.0": "gpl-3", "GNU GPL v2": "gpl-2", "GNU GPL version 3 or later": "gpl-3",
+    "GNU General Public License (GPL) version 2": "gpl-2", "GPL-2.0-or-later": "gpl-2", "GPL3": "gpl-3",
+    "Apache License v2.0": "apache-2", "Apache License, Version 2.0": "apache-2", "Licensed under Apache v2": "apache-2",
+    "GNU Lesser General Public License v2.1": "lgpl-2", "the GNU Lesser General Public License": "lgpl",
+    "GNU Affero General Public License v3": "agpl-3", "BSD 3-Clause": "bsd-3", "2-clause, released under the BSD-2-Clause license": "bsd-2",
+    "This program is free software under the GNU General Public License.": "gpl", "It is licensed under the GPL.": "gpl",
+    "is distributed under the Apache License": "apache", "BSD license": "bsd", "BSD-style license": "bsd", "under the LGPL": "lgpl",
+    "Mozilla Public License v2.0": "mpl-2", "MPLv2": "mpl-2", "Eclipse Public License v1.0": "epl-1", "Mozilla Public License": "mpl",
+    "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 3 of the License": "gpl-3",
+    "The MIT License": "mit", "SPDX-License-Identifier: Apache-2.0": "apache-2",
+}
+NOT_LICENCES = ["Apache 2 web server", "the bsd kernel", "er kommt mit gplatt", "apache helicopters", "FreeBSD 3", "gnu make", "a general public"]
+
+
+def test_mentions_of_real_texts(table):
+    rows = list(enumerate(["so " + m + " here" for m in MENTIONS])) + [(1000 + i, t) for i, t in enumerate(NOT_LICENCES)]
+    found = {r.doc_id: r.labels for r in license_summary(license_scan(table(rows))).collect()}
+    assert {m: found[i] for i, m in enumerate(MENTIONS)} == MENTIONS
+    assert {found[1000 + i] for i in range(len(NOT_LICENCES))} == {""}

@@ -20,24 +20,29 @@ from tidemark.llm.common import bind
 #: Phrases that always count, with their labels (fixed values of the task).
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Label -> (keyword, how texts name it, its short identifier in words).
+#: Label -> (keyword, how texts name it, its short identifier in words). What follows a blank or -long only tells
+#: names of one label apart.
 FAMILIES = {
     "mit": ("mit", "mit(?: expat)?", "mit"),
-    "apache-1": ("apache", "apache(?: software)?(?: license)?(?: version| v)? 1(?: [01])?", "apache 1 [01]"),
-    "apache-2": ("apache", "apache(?: software)?(?: license)?(?: version| v)? 2(?: 0)?", "apache 2 0"),
-    "gpl-1": ("gpl", "gpl(?: version| v)? 1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    "gpl-2": ("gpl", "gpl(?: version| v)? 2(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    "gpl-3": ("gpl", "gpl(?: version| v)? 3(?: 0)?", "gpl 3 0(?: only| or later)?"),
-    "gpl-2-long": ("gnu", "gnu general public license(?: version| v)? 2(?: 0)?", "gnu gpl 2 0"),
-    "gpl-3-long": ("gnu", "gnu general public license(?: version| v)? 3(?: 0)?", "gnu gpl 3 0"),
-    "lgpl-2": ("lgpl", "lgpl(?: version| v)? 2(?: [01])?", "lgpl 2 [01](?: only| or later)?"),
-    "lgpl-3": ("lgpl", "lgpl(?: version| v)? 3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
-    "lgpl": ("lesser", "gnu lesser general public license", "gnu lesser gpl"),
-    "agpl-3": ("agpl", "agpl(?: version| v)? 3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    "apache-1": ("apache", "apache(?: software)?(?: license)?(?: version| ver| v)? v?1(?: [01])?", "apache 1 [01]"),
+    "apache-2": ("apache", "apache(?: software)?(?: license)?(?: version| ver| v)? v?2(?: 0)?", "apache 2 0"),
+    "gpl-1": ("gpl", "(?:gnu )?gpl(?: version| ver| v)? v?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
+    "gpl-2": ("gpl", "(?:gnu )?gpl(?: version| ver| v)? v?2(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    "gpl-3": ("gpl", "(?:gnu )?gpl(?: version| ver| v)? v?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    "gpl-2-long": ("gnu", "gnu general public license(?: gpl)?(?: version| ver| v)? v?2(?: 0)?", "gnu gpl 2 0"),
+    "gpl-3-long": ("gnu", "gnu general public license(?: gpl)?(?: version| ver| v)? v?3(?: 0)?", "gnu gpl 3 0"),
+    "lgpl-2": ("lgpl", "(?:gnu )?lgpl(?: version| ver| v)? v?2(?: [01])?", "lgpl 2 [01](?: only| or later)?"),
+    "lgpl-3": ("lgpl", "(?:gnu )?lgpl(?: version| ver| v)? v?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    "lgpl-2-long": ("lesser", "(?:gnu )?lesser general public license(?: lgpl)?(?: version| ver| v)? v?2(?: [01])?", "gnu lgpl 2 [01]"),
+    "lgpl-3-long": ("lesser", "(?:gnu )?lesser general public license(?: lgpl)?(?: version| ver| v)? v?3(?: 0)?", "gnu lgpl 3 0"),
+    "lgpl": ("lesser", "(?:gnu )?lesser general public license", "gnu lesser gpl"),
+    "lgpl library": ("library", "gnu library general public license(?: version| ver| v)?(?: v?2(?: 0)?)?", "gnu library gpl"),
+    "agpl-3": ("agpl", "(?:gnu )?agpl(?: version| ver| v)? v?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    "agpl-3-long": ("affero", "(?:gnu )?affero general public license(?: agpl)?(?: version| ver| v)? v?3(?: 0)?", "gnu agpl 3 0"),
     "agpl": ("affero", "(?:gnu )?affero general public license", "gnu affero gpl"),
-    "mpl-1": ("mozilla", "mozilla public license(?: version| v)? 1(?: [01])?", "mozilla 1 [01]"),
-    "mpl-2": ("mozilla", "mozilla public license(?: version| v)? 2(?: 0)?", "mozilla 2 0"),
-    "mpl": ("mpl", "mpl(?: version| v)?(?: [12](?: [01])?)?", "mpl [12] [01]"),
+    "mpl-1": ("mozilla", "mozilla public license(?: version| ver| v)? v?1(?: [01])?", "mozilla 1 [01]"),
+    "mpl-2": ("mozilla", "mozilla public license(?: version| ver| v)? v?2(?: 0)?", "mozilla 2 0"),
+    "mpl": ("mpl", "mpl(?: version| ver| v)?(?: v?[12](?: [01])?)?", "mpl [12] [01]"),
     "bsd-2": ("bsd", "(?:bsd(?: 2| two) clause|(?:simplified|freebsd) bsd)", "bsd 2 clause"),
     "bsd-3": ("bsd", "(?:bsd(?: 3| three) clause|(?:new|revised|modified) bsd)", "bsd 3 clause"),
     "bsd-4": ("bsd", "(?:bsd(?: 4| four) clause|original bsd)", "bsd 4 clause"),
@@ -52,16 +57,16 @@ FAMILIES = {
     "cc-by-nc-nd": ("cc", "cc by nc nd(?: [1234] [05])?", "cc by nc nd [1234] [05]"),
     "creative-commons": ("commons", "creative commons(?: attribution)?(?: noncommercial| non commercial)?(?: share ?alike)?", "creative commons"),
     "unlicense": ("unlicense", "unlicense", "unlicense"),
-    "wtfpl": ("wtfpl", "wtfpl(?: version| v)?(?: 2)?", "wtfpl"),
-    "epl-1": ("eclipse", "eclipse public license(?: version| v)? 1(?: 0)?", "eclipse 1 0"),
-    "epl-2": ("eclipse", "eclipse public license(?: version| v)? 2(?: 0)?", "eclipse 2 0"),
-    "cddl": ("cddl", "cddl(?: version| v)?(?: 1 [01])?", "cddl 1 [01]"),
-    "eupl": ("eupl", "eupl(?: version| v)?(?: 1 [0-2])?", "eupl 1 [0-2]"),
-    "artistic": ("artistic", "artistic(?: license)?(?: version| v)?(?: [12](?: 0)?)?", "artistic [12] 0"),
-    "boost": ("boost", "boost software(?: license)?(?: version| v)?(?: 1(?: 0)?)?", "boost 1 0"),
-    "ofl": ("font", "(?:sil )?open font(?: license)?(?: version| v)?(?: 1 [01])?", "open font 1 [01]"),
-    "python": ("psf", "psf(?: license)?(?: version| v)?(?: 2(?: 0)?)?", "psf 2 0"),
-    "php": ("php", "php(?: license)?(?: version| v)? 3(?: 0[01])?", "php 3 0[01]"),
+    "wtfpl": ("wtfpl", "wtfpl(?: version| ver| v)?(?: v?2)?", "wtfpl"),
+    "epl-1": ("eclipse", "eclipse public license(?: version| ver| v)? v?1(?: 0)?", "eclipse 1 0"),
+    "epl-2": ("eclipse", "eclipse public license(?: version| ver| v)? v?2(?: 0)?", "eclipse 2 0"),
+    "cddl": ("cddl", "cddl(?: version| ver| v)?(?: v?1 [01])?", "cddl 1 [01]"),
+    "eupl": ("eupl", "eupl(?: version| ver| v)?(?: v?1 [0-2])?", "eupl 1 [0-2]"),
+    "artistic": ("artistic", "artistic(?: license)?(?: version| ver| v)?(?: v?[12](?: 0)?)?", "artistic [12] 0"),
+    "boost": ("boost", "boost software(?: license)?(?: version| ver| v)?(?: v?1(?: 0)?)?", "boost 1 0"),
+    "ofl": ("font", "(?:sil )?open font(?: license)?(?: version| ver| v)?(?: v?1 [01])?", "open font 1 [01]"),
+    "python": ("psf", "psf(?: license)?(?: version| ver| v)?(?: v?2(?: 0)?)?", "psf 2 0"),
+    "php": ("php", "php(?: license)?(?: version| ver| v)? v?3(?: 0[01])?", "php 3 0[01]"),
     "postgresql": ("postgresql", "postgresql", "postgresql"),
     "ncsa": ("ncsa", "(?:university of illinois )?ncsa(?: open source)?", "ncsa"),
     "ms-pl": ("microsoft", "microsoft (?:public|reciprocal)", "microsoft public"),
@@ -69,6 +74,33 @@ FAMILIES = {
     "public-domain": ("domain", "public domain(?: dedication)?", "public domain"),
 }
 
+#: Abbreviations written in one word with a version: gplv3, gpl3.
+FAMILIES |= {
+    f"{label} {stem}{v}{number}": (f"{stem}{v}{number}", f"(?:gnu )?{stem}{v}{number}{rest}", f"{stem}{v}{number}{rest}(?: only| or later)?")
+    for label, stem, number, rest in (
+        ("gpl-1", "gpl", 1, "(?: 0)?"), ("gpl-2", "gpl", 2, "(?: 0)?"), ("gpl-3", "gpl", 3, "(?: 0)?"),
+        ("lgpl-2", "lgpl", 2, "(?: [01])?"), ("lgpl-3", "lgpl", 3, "(?: 0)?"), ("agpl-3", "agpl", 3, "(?: 0)?"),
+        ("mpl-1", "mpl", 1, "(?: [01])?"), ("mpl-2", "mpl", 2, "(?: 0)?"), ("epl-1", "epl", 1, "(?: 0)?"), ("epl-2", "epl", 2, "(?: 0)?"),
+    )
+    for v in ("v", "")
+}
+
+#: The same without a version or clause count: of lower order than any rule that knows it.
+UNVERSIONED = {
+    "gpl": ("gpl", "(?:gnu )?gpl", "gpl"),
+    "gpl-long": ("gnu", "gnu general public license(?: gpl)?", "gnu gpl"),
+    "lgpl short": ("lgpl", "(?:gnu )?lgpl", "lgpl"),
+    "agpl short": ("agpl", "(?:gnu )?agpl", "agpl"),
+    "apache": ("apache", "apache(?: software)?", "apache"),
+    "bsd": ("bsd", "bsd(?: style)?", "bsd"),
+    "mpl-long": ("mozilla", "mozilla public license", "mozilla"),
+    "epl": ("eclipse", "eclipse public license", "eclipse"),
+}
+
+#: Families whose name alone, without a word like "license" or "under" beside it, says that it is a licence.
+ALONE = ("gpl", "lgpl", "agpl", "mpl-1", "mpl-2", "mpl-long", "epl", "bsd-2", "bsd-3", "bsd-4")
+NOT_ALONE = ("apache", "bsd", "mpl")
+
 #: Priority and pattern of the ways to name a licence; {name} and {short} are a family's.
 WAYS = (
     (100, "spdx license identifier {short}"),
@@ -78,10 +110,18 @@ WAYS = (
     (70, "(?:the )?{name} license(?: version [1-4](?: [0-9])?)?"),
     (60, "license (?:is )?(?:the )?{name}"),
 )
+BY_NAME = (55, "{name}")
 
 #: Rules of their own: keyword, label, priority, pattern.
 OTHERS = (
     ("apache", "apache-2", 75, "apache license version 2(?: 0)?(?: january 2004)?"),
+    ("apache", "apache-2", 72, "apache(?: software)? license(?: version| ver| v)? v?2(?: 0)?"),
+    ("apache", "apache-1", 72, "apache(?: software)? license(?: version| ver| v)? v?1(?: [01])?"),
+    ("foundation", "gpl-2", 75, "gnu general public license as published by the free software foundation (?:either )?version 2"),
+    ("foundation", "gpl-3", 75, "gnu general public license as published by the free software foundation (?:either )?version 3"),
+    ("foundation", "lgpl-2", 75, "gnu lesser general public license as published by the free software foundation (?:either )?version 2(?: 1)?"),
+    ("foundation", "lgpl-3", 75, "gnu lesser general public license as published by the free software foundation (?:either )?version 3"),
+    ("foundation", "agpl-3", 75, "gnu affero general public license as published by the free software foundation (?:either )?version 3"),
     ("cc", "cc-by-nc", 75, "cc by nc"),
     ("cc", "cc-by", 40, "cc by"),
     ("merchantability", "warranty-disclaimer", 50, "without (?:any )?warranty (?:of )?(?:merchantability|fitness)"),
@@ -94,7 +134,7 @@ OTHERS = (
 )
 
 #: Words of the longest match of any rule.
-LONGEST = 16
+LONGEST = 18
 UPPER, LOWER = ascii_uppercase, ascii_lowercase
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -110,9 +150,12 @@ class Rule(NamedTuple):
 def rules() -> list[Rule]:
     """All rules: every way for every family, then the others."""
     out = []
-    for label, (keyword, name, short) in FAMILIES.items():
-        for priority, way in WAYS:
-            out.append((priority, label.removesuffix("-long"), keyword if "{name}" in way else "spdx", way.format(name=name, short=short)))
+    for families, halved in ((FAMILIES, 1), (UNVERSIONED, 2)):
+        for key, (keyword, name, short) in families.items():
+            label = key.removesuffix("-long").split(" ")[0]
+            alone = key.startswith(ALONE) and key not in NOT_ALONE
+            for priority, way in (*WAYS, BY_NAME) if alone else WAYS:
+                out.append((priority // halved, label, keyword if "{name}" in way else "spdx", way.format(name=name, short=short)))
     out += [(priority, label, keyword, pattern) for keyword, label, priority, pattern in OTHERS]
     return [Rule(i, p, label, keyword, f"(?<= )(?:{pattern})(?= )") for i, (p, label, keyword, pattern) in enumerate(out)]
 
@@ -142,7 +185,7 @@ def _places(text: Column, rule: Column) -> Column:
     return bind(F.regexp_extract_all(text, rule["pattern"], F.lit(0)), lambda found: F.when(F.size(found) == 0, empty).otherwise(placed(found)))
 
 
-def _resolved(hits: Column, reach: int) -> Column:
+def _resolved(hits: Column, reach: Column) -> Column:
     """The detections that none of higher order contains; what can contain one is within `reach` of it."""
 
     def above(e: Column, d: Column) -> Column:
@@ -158,7 +201,7 @@ def _resolved(hits: Column, reach: int) -> Column:
     def kept(s: Column) -> Column:
         return F.filter(
             s,
-            lambda d, k: ~F.exists(F.slice(s, F.greatest(k + 1 - reach, F.lit(1)), F.lit(2 * reach)), lambda e: above(e, d)),
+            lambda d, k: ~F.exists(F.slice(s, F.greatest(k + 1 - reach, F.lit(1)), 2 * reach), lambda e: above(e, d)),
         )
 
     return bind(by_start, kept)
@@ -201,11 +244,11 @@ def license_scan(docs: DataFrame) -> DataFrame:
         F.when(F.col("words") == " ", F.lit(0)).otherwise(_spaces(F.col("words")) - 1).cast("long").alias("n_words"),
         F.when(F.col("words").rlike("(?i) (?:" + "|".join(keywords) + ") "), F.translate("words", UPPER, LOWER)).alias("gated"),
     )
-    reach = len(known) * LONGEST
 
     def detected(t: Column) -> Column:
         tried = F.filter(table, lambda r: F.contains(t, F.concat(F.lit(" "), r["keyword"], F.lit(" "))))
-        return _resolved(F.flatten(F.transform(tried, lambda r: _places(t, r))), reach)
+        # A rule matches at most once from each word, so what contains a match is not further away in their order.
+        return bind(tried, lambda rs: _resolved(F.flatten(F.transform(rs, lambda r: _places(t, r))), F.size(rs) * LONGEST))
 
     base_kind, hit_kind = "array<struct<start:int,label:string>>", "array<struct<start:int,end:int,order:int,priority:int,label:string>>"
     gated = F.col("gated").isNotNull()
