@@ -147,3 +147,16 @@ def test_short_lines_do_not_hold_a_passage_together(table, prose):
         assert all(w in found[20 * i + 1].split() for w in prose(30, 40 * i + 1) + prose(30, 40 * i + 21))
     for i in range(3):
         assert found[200 + i] == texts[200 + i], "short lines of its own between common ones stay"
+
+
+def test_no_passage_of_50_words_is_missed(table, prose):
+    """400 passages of 50 to 60 words in mid-line, each in two documents; cuts alone leave a few of them whole."""
+    rows, passages = [], [prose(50 + i % 11, 5000 + i) for i in range(400)]
+    for i, p in enumerate(passages):
+        rows += [(2 * i + j, " ".join(prose(20, 9000 + 4 * i + 2 * j) + p + prose(20, 9001 + 4 * i + 2 * j))) for j in range(2)]
+    texts, found = dict(rows), {r.doc_id: r.text for r in without_repeats(table(rows)).collect()}
+    for i, p in enumerate(passages):
+        assert found[2 * i] == texts[2 * i]
+        left = found[2 * i + 1].split()
+        assert len(left) <= len(texts[2 * i + 1].split()) - 25, (i, len(left))
+        assert left[:20] == prose(20, 9002 + 4 * i) and left[-20:] == prose(20, 9003 + 4 * i), i

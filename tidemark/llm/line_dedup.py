@@ -10,6 +10,10 @@ phrases and stay. Units of one or two words say nothing by themselves. Inside a
 repeats stand on both sides. A whole line of one or two words is looked up together with the unit before and
 the one after it: it is a repeat where an earlier document has all three in a row, or if the line itself
 stands earlier in the same text.
+
+Cuts depend on content, so a passage may hold too few for a run. Wherever the units inside of WINDOW words
+would not make one, these words are hashed as a whole and looked up like a unit, and a repeat of them is cut
+out. So of any WINDOW repeated words (with the same line ends) at least `least` go, whatever the cuts.
 """
 
 from __future__ import annotations
@@ -24,10 +28,12 @@ from tidemark.llm.common import LAST_ID, mixed, saved, word_hashes
 
 LEAST_WORDS = 25
 CUT, TELLING, STRONG = np.uint64(4), 3, 5
+WINDOW = 2 * LEAST_WORDS
 #: Bytes that separate words.
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 PLACE = np.uint64(0x9E3779B97F4A7C15)
+UNPLACE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 SPANS = "removed_spans array<struct<start: long, end: long>>"
 
 
@@ -45,7 +51,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     # Rows without an id rank alike, but each has its own repeats: they are told apart by their text.
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")))
     units = docs.select(rank.alias("id"), key.alias("key"), F.col("text").cast("string").alias("text"))
-    units = units.mapInArrow(_units, "unit long, id long, key long")
+    units = units.mapInArrow(_units(least), "unit long, id long, key long")
     firsts = saved(
         units.groupBy("unit").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("unit", "first"),
         "firsts",
@@ -59,7 +65,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
 class Units:
     """Units of one text: digests, word counts, and where they stand in its UTF-8 bytes."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, least: int = LEAST_WORDS):
         self.data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         blank = np.r_[True, BLANK[self.data], True]
         edges = np.flatnonzero(blank[1:] != blank[:-1])
@@ -89,6 +95,45 @@ class Units:
             before, here = mixed(three[self.short - 1] + PLACE), mixed(three[self.short] + PLACE * np.uint64(2))
             self.short_digests = mixed(before + here * PLACE + mixed(three[(self.short + 1) % self.n] + PLACE * np.uint64(3))).view(np.int64)
 
+        self.word_starts, self.word_ends, self.lines = starts, ends, lines
+        self._windows(h, first, last, least)
+
+    def _windows(self, h: np.ndarray, first: np.ndarray, last: np.ndarray, least: int) -> None:
+        """Places and digests of the windows whose inner units, if all repeated, would be no run."""
+        at = np.arange(max(len(h) - WINDOW + 1, 0))
+        short = self.whole & ~self.telling()
+        known = np.flatnonzero(short | self.telling())
+        # Units between the first and the last cut inside; a short line at either end has no neighbour there.
+        a, b = first.searchsorted(at + 1), first.searchsorted(at + WINDOW - 1, "right") - 2
+        a = a + short[np.minimum(a, self.n - 1)]
+        b = b - short[np.maximum(b, 0)]
+        low, high = known.searchsorted(a), known.searchsorted(b, "right") - 1
+        some = low <= high
+        a, b = (known[x[some]] for x in (low, high))
+        strong, whole = (np.r_[0, np.cumsum(x)] for x in (self.words >= STRONG, self.words * self.whole))
+        run = (strong[b + 1] > strong[a]) | (whole[b + 1] - whole[a] >= least)
+        poor = np.ones(len(at), bool)
+        poor[some] = (last[b] - first[a] + 1 < least) | ~run
+        # Repeats of one and the same word are not looked at.
+        changes = np.r_[0, np.cumsum(h[1:] != h[:-1])]
+        at = at[poor & (changes[at + WINDOW - 1] > changes[at])]
+        with np.errstate(over="ignore"):
+            powers, back = (np.cumprod(np.full(len(h), x, np.uint64)) for x in (PLACE, UNPLACE))
+            sums = np.r_[np.uint64(0), np.cumsum(mixed(h) * powers)]
+            self.window_digests = mixed(mixed((sums[at + WINDOW] - sums[at]) * back[at]) + np.uint64(WINDOW)).view(np.int64)
+        self.windows = at
+
+    def repeated_windows(self, repeats: np.ndarray) -> list[tuple[int, int]]:
+        """[first, last] words of windows that earlier documents have or that stand earlier in the same text."""
+        _, firsts, which = np.unique(self.window_digests, return_index=True, return_inverse=True)
+        again = self.windows - self.windows[firsts[which]] >= WINDOW if len(firsts) else np.empty(0, bool)
+        found = self.windows[again | np.isin(self.window_digests, repeats)]
+        if not len(found):
+            return []
+        opens = np.r_[True, found[1:] > found[:-1] + WINDOW]
+        tops = np.r_[np.flatnonzero(opens)[1:], len(found)] - 1
+        return list(zip(found[opens].tolist(), (found[tops] + WINDOW - 1).tolist(), strict=True))
+
     def telling(self) -> np.ndarray:
         return self.words >= TELLING
 
@@ -99,8 +144,8 @@ class Units:
         return again & (self.telling() | self.whole)
 
     def looked_up(self) -> np.ndarray:
-        """What other documents may share: telling units, and short whole lines with their neighbours."""
-        return np.r_[self.digests[self.telling()], self.short_digests]
+        """What other documents may share: telling units, short whole lines with their neighbours, windows."""
+        return np.r_[self.digests[self.telling()], self.short_digests, self.window_digests]
 
     def repeated_in(self, repeats: np.ndarray) -> np.ndarray:
         """Units that earlier documents have."""
@@ -120,8 +165,8 @@ class Units:
                 out.append((a, b))
         return out
 
-    def spans(self, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """Byte spans of runs, with the blanks that would be left double."""
+    def spans(self, runs: list[tuple[int, int]], windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Byte spans of runs and windows joined, in order, with the blanks that would be left double."""
         out = []
         for a, b in runs:
             if b + 1 == self.n:
@@ -130,26 +175,43 @@ class Units:
                 out.append((int(self.starts[a]), int(self.starts[b + 1])))
             else:
                 out.append((int(self.starts[a]), int(self.ends[b])))
-        return out
+        for a, b in windows:
+            if b + 1 == len(self.lines):
+                out.append((int(self.word_starts[a]), len(self.data)))
+            elif self.lines[b + 1] == self.lines[b] or a == 0 or self.lines[a - 1] != self.lines[a]:
+                out.append((int(self.word_starts[a]), int(self.word_starts[b + 1])))
+            else:
+                out.append((int(self.word_starts[a]), int(self.word_ends[b])))
+        joined = []
+        for a, b in sorted(out):
+            if joined and a <= joined[-1][1]:
+                joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
+            else:
+                joined.append((a, b))
+        return joined
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _units(least: int):
     """What is looked up of each document, each digest once."""
-    for batch in batches:
-        digests, ids, keys, held = [], [], [], 0
-        for id_, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-            found = Units(text.as_py() or "")
-            if found.n:
-                own = np.unique(found.looked_up())
-                digests.append(own)
-                ids.append(np.full(len(own), id_, np.int64))
-                keys.append(np.full(len(own), key, np.int64))
-                held += len(own)
-            if held > 200_000:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, ids, keys, held = [], [], [], 0
+            for id_, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                found = Units(text.as_py() or "", least)
+                if found.n:
+                    own = np.unique(found.looked_up())
+                    digests.append(own)
+                    ids.append(np.full(len(own), id_, np.int64))
+                    keys.append(np.full(len(own), key, np.int64))
+                    held += len(own)
+                if held > 200_000:
+                    yield _unit_rows(digests, ids, keys)
+                    digests, ids, keys, held = [], [], [], 0
+            if held:
                 yield _unit_rows(digests, ids, keys)
-                digests, ids, keys, held = [], [], [], 0
-        if held:
-            yield _unit_rows(digests, ids, keys)
+
+    return run
 
 
 def _unit_rows(*columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -158,10 +220,10 @@ def _unit_rows(*columns: list[np.ndarray]) -> pa.RecordBatch:
 
 def cut_text(text: str, repeats: np.ndarray, least: int) -> tuple[str, list[dict]]:
     """The text without its runs of repeats, and their code points."""
-    found = Units(text)
+    found = Units(text, least)
     if not found.n:
         return text, []
-    spans = found.spans(found.runs(found.repeated_in(repeats) | found.repeated_here(), least))
+    spans = found.spans(found.runs(found.repeated_in(repeats) | found.repeated_here(), least), found.repeated_windows(repeats))
     if not spans:
         return text, []
     data = found.data
