@@ -1,0 +1,137 @@
+import base64
+import gzip
+import hashlib
+import random
+
+import pytest
+
+from tidemark.llm.warc import EMPTY, Gap, Record, gaps, packed, read_archives, record, records, salvaged, write_archives
+
+
+@pytest.fixture
+def made():
+    rng = random.Random(4)
+    return [record(i, f"http://h/{i}", rng.randbytes(rng.randint(0, 3000)) + b"WARC/1.1\r\n" * (i % 3), None) for i in range(30)]
+
+
+def ids(found):
+    return [r.headers["warc-record-id"] for r in found if isinstance(r, Record)]
+
+
+def covered(data, found):
+    """Places from first to last are each in a record or a gap."""
+    at = 0
+    for start, end in sorted({(r.start, r.end) for r in found}):
+        assert start <= at
+        at = max(at, end)
+    assert at == len(data)
+
+
+def named(numbers):
+    return [f"<urn:page:{i}>" for i in numbers]
+
+
+@pytest.mark.parametrize("pack", [packed, lambda r: r])
+def test_whole_archives(made, pack):
+    data = b"".join(map(pack, made))
+    found = list(salvaged(data))
+    assert ids(found) == named(range(30)) and not [g for g in found if isinstance(g, Gap)]
+    covered(data, found)
+    assert all(r.proved and hashlib.sha1(r.payload).digest() == base64.b32decode(r.payload_digest) for r in found)
+
+
+def test_library_reads_the_members(made):
+    data = b"".join(packed(r) + EMPTY for r in made)
+    assert gzip.decompress(data) == b"".join(made)
+    assert ids(salvaged(data)) == named(range(30))
+
+
+@pytest.mark.parametrize("pack", [packed, lambda r: r])
+@pytest.mark.parametrize("seed", range(8))
+def test_damage_costs_what_it_touches(made, pack, seed):
+    """Bytes changed, taken out and put in: every record away from them comes back, the rest is logged."""
+    rng, parts = random.Random(seed), [bytearray(pack(r)) for r in made]
+    hurt = sorted(rng.sample(range(30), 6))
+    for i in hurt[:3]:
+        parts[i][rng.randrange(20, len(parts[i]) - 8)] ^= 0x41
+    at = rng.randrange(12, len(parts[hurt[3]]) - 12)
+    del parts[hurt[3]][at : at + 5]
+    del parts[hurt[4]][len(parts[hurt[4]]) // 2 :]
+    parts[hurt[5]][:0] = rng.randbytes(50)
+    data = bytes(b"".join(parts))
+    found = list(salvaged(data))
+    missing = set(named(range(30))) - set(ids(found))
+    assert missing <= set(named(hurt[:5]))
+    assert [g for g in found if isinstance(g, Gap)]
+    covered(data, found)
+
+
+def test_what_is_wrong_is_named(made):
+    broken = {
+        "no version line": b"junk",
+        "gzip member: cut off": packed(made[0])[:-9],
+        "block cut off": made[0][:-9],
+        "headers cut off": b"WARC/1.1\r\nWARC-Type: x",
+        "no content length": b"WARC/1.0\r\nWARC-Type: x\r\n\r\n\r\n\r\n",
+        "header line": b"WARC/1.0\r\nWARC Type: x\r\n\r\n\r\n\r\n",
+        "block of another length": made[0].replace(b"\nContent-Length: ", b"\nContent-Length: 1", 1)[:400] + b"x" * 9999999,
+        "block digest": made[1].replace(b"HTTP/1.1 200", b"HTTP/1.1 300"),
+        "no type or record id": b"WARC/1.0\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+    }
+    for reason, data in broken.items():
+        first, *rest = salvaged(data)
+        assert isinstance(first, Gap) and first.reason == reason, reason
+        # What comes after it is not lost.
+        assert ids(salvaged(data + made[7]))[-1:] == named([7]) or reason in ("gzip member: cut off", "headers cut off")
+    assert list(salvaged(b"")) == []
+
+
+def test_many_records_in_one_member(made):
+    whole = packed(b"".join(made))
+    assert ids(salvaged(whole)) == named(range(30))
+    bad = list(made)
+    bad[4] = bad[4].replace(b"WARC-Type", b"WARC Type")
+    found = list(salvaged(packed(b"".join(bad))))
+    assert ids(found) == named([i for i in range(30) if i != 4])
+    assert [g.reason for g in found if isinstance(g, Gap)] == ["inside a member: header line"]
+    # Cut in the middle: what unpacked whole stays, the member is logged.
+    cut = list(salvaged(whole[: len(whole) // 2]))
+    assert 5 < len(ids(cut)) < 25 and [g.reason for g in cut if isinstance(g, Gap)] == ["gzip member: cut off"]
+
+
+def test_folded_and_repeated_headers():
+    data = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <a>\r\nX: 1\r\nX: 2\r\n  3\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
+    (found,) = salvaged(data)
+    assert found.headers["x"] == "2 3" and found.payload == b"hi" and not found.proved
+
+
+def test_archives_in_folders(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else f"http://h/\n{i} ü", None if i == 4 else "page \x00 ü " * (i % 7) * 40) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    write_archives(pages, f"{tmp_path}/a", least=100)
+    found = read_archives(spark, f"{tmp_path}/a")
+    assert gaps(found).count() == 0
+    got = {r["record_id"]: r for r in records(found).collect()}
+    first = {}
+    for i, _, html in rows:
+        r, payload = got[f"<urn:page:{i}>"], (html or "").encode()
+        head = first.setdefault(payload, i) if len(payload) >= 100 else i
+        assert r["type"] == ("response" if head == i else "revisit") and r["payload_bytes"] == len(payload)
+        assert r["payload_digest"] == base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert r["refers_to"] == (None if head == i else f"<urn:page:{head}>")
+        assert bytes(r["payload"]) == (payload if head == i else b"")
+        assert r["uri"] == (None if i % 5 == 0 else f"http://h/%0A{i}%20ü")
+
+
+def test_damaged_archive_in_a_folder(spark, tmp_path, made):
+    (tmp_path / "d").mkdir()
+    parts = [packed(r) for r in made]
+    parts[3] = parts[3][:40] + b"?" + parts[3][41:]
+    (tmp_path / "d" / "one.warc.gz").write_bytes(b"".join(parts))
+    (tmp_path / "d" / "two.warc").write_bytes(b"".join(made[:5])[:-3])
+    (tmp_path / "d" / "none.warc").write_bytes(b"")
+    found = read_archives(spark, f"{tmp_path}/d", payloads=False)
+    assert records(found).count() == 29 + 4 and records(found).where("payload is not null").count() == 0
+    lost = sorted((r["archive"].rsplit("/")[-1], r["start"], r["end"]) for r in gaps(found).collect())
+    at, size = sum(map(len, parts[:3])), sum(map(len, made[:5]))
+    assert lost == [("one.warc.gz", at, at + len(parts[3])), ("two.warc", size - len(made[4]), size - 3)]

@@ -1,0 +1,101 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm.whitening import whitened_rows
+
+VECTORS = "vec_id long, embedding array<float>"
+
+
+def brute(rows, components=4):
+    """{vec_id: (deviation, [whitened])} with numpy, and n, eigenvalues, trace."""
+    sound = [(i, v) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    width = max(len(v) for _, v in sound)
+    x = [(i, tuple(math.floor(256 * float(np.float32(c))) for c in v) + (0,) * (width - len(v))) for i, v in sound]
+    fit = np.array(sorted({v for _, v in x}))
+    n, sums = len(fit), [int(s) for s in fit.sum(0)]
+    centred = fit - np.array(sums) / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1], axes[:, ::-1]
+    out = [(i, sum((n * a - s) ** 2 for a, s in zip(v, sums, strict=True)), (np.array(v) - np.array(sums) / n) @ axes[:, :components] / np.sqrt(values[:components])) for i, v in x]
+    return out, n, values
+
+
+def check(found, rows):
+    want, n, values = brute(rows)
+    by = {}
+    for r in found:
+        by.setdefault(r["vec_id"], {})[r["component"]] = r
+    assert sorted(by) == sorted({i for i, _, _ in want}) and len(found) == 4 * len(want)
+    signs = None
+    for i, deviation, white in want:
+        got = by[i]
+        assert [got[k]["n"] for k in (1, 2, 3, 4)] == [n] * 4 and got[1]["deviation"] == deviation
+        here = np.array([got[k]["whitened"] for k in (1, 2, 3, 4)])
+        signs = np.sign(here * white) if signs is None else signs
+        assert np.allclose(here, signs * white, rtol=1e-9, atol=1e-9)
+        assert np.allclose([got[k]["explained"] for k in (1, 2, 3, 4)], values[:4] / values.sum(), rtol=1e-9)
+    assert {r["identity_error"] for r in found} == {found[0]["identity_error"]} and found[0]["identity_error"] < 1e-9
+
+
+@pytest.fixture
+def vectors():
+    rng = np.random.default_rng(3)
+    spread = np.array([4.0, 3.0, 2.0, 1.5, 1.0, 0.5])
+    return [(i, (rng.normal(size=6) * spread + 1.7).astype(np.float32).tolist()) for i in range(300)]
+
+
+@pytest.mark.parametrize("block_rows", [None, 7, 64])
+def test_against_numpy(spark, vectors, block_rows):
+    rows = vectors + [(1000 + i, vectors[5][1]) for i in range(150)]  # a third of the rows are one vector
+    df = spark.createDataFrame(rows, VECTORS).repartition(5)
+    check(whitened_rows(df, block_rows=block_rows).collect(), rows)
+
+
+def test_unsound_short_and_repeated(spark, vectors):
+    odd = [
+        (-1, None),
+        (-2, [1.0, None, 2.0, 0.0, 0.0, 0.0]),
+        (-3, [float("nan")] * 6),
+        (-4, [float("inf"), 0.0, 0.0, 0.0, 0.0, 0.0]),
+        (-5, [1.0, 2.0]),
+        (-6, []),
+        (-7, [-0.0] * 6),
+    ]
+    rows = vectors + odd
+    df = spark.createDataFrame(rows, VECTORS)
+    clashing = df.withColumns({c: F.lit("x") for c in ("x", "row", "task", "block", "values", "written", "n", "component", "at")})
+    check(whitened_rows(clashing).collect(), rows)
+    twice = spark.createDataFrame([*vectors, *vectors[:10], (None, vectors[3][1])], VECTORS)
+    assert whitened_rows(twice).count() == 4 * 311
+
+
+def test_little_variance(spark):
+    def count(rows):
+        return whitened_rows(spark.createDataFrame(rows, VECTORS)).count()
+
+    assert count([]) == 0
+    assert count([(1, [1.0, 2.0])] * 3) == 0
+    assert count([(1, []), (2, [])]) == 0
+    assert count([(1, None)]) == 0
+    assert count([(1, [0.0, 0.0, 1.0]), (2, [1.0, 1.0, 1.0])]) == 2
+    assert count([(1, [0.0, 0.0, 1.0]), (2, [1.0, 1.0, 1.0]), (3, [1.0, 0.0, 1.0])]) == 6
+
+
+def test_entries_too_large_for_a_long(spark):
+    rows = [(i, [float(i), 3e38 if i % 2 else -3e38]) for i in range(6)]
+    found = whitened_rows(spark.createDataFrame(rows, VECTORS)).collect()
+    assert found and {r["deviation"] for r in found} == {None}
+
+
+def test_mean_far_from_zero(spark):
+    rows = [(i, [2.0**40 + 2.0 ** (18 + i % 3), float(i)]) for i in range(60)]
+    found = whitened_rows(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert found[0]["identity_error"] < 1e-9 and len(found) == 120
+
+
+def test_widest(spark):
+    with pytest.raises(ValueError):
+        whitened_rows(spark.createDataFrame([(1, [0.0] * 4097)], VECTORS))

@@ -113,7 +113,65 @@ from sizes join aims using (k) left join taken using (r)
 """
 )
 
+_DIVERGENCE = r"""
+WITH given AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+said AS (SELECT lang, source, doc, unnest(words) AS term FROM given),
+kept AS (SELECT lang, term, count(*) AS n FROM said GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+langs AS (
+  SELECT lang, coalesce(sum(n), 0)::HUGEINT AS total, count(term)::HUGEINT AS v
+  FROM (SELECT DISTINCT lang FROM given) LEFT JOIN kept USING (lang) GROUP BY lang
+),
+counts AS (SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY lang, source, term),
+groups AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM given) LEFT JOIN counts USING (lang, source) GROUP BY lang, source
+),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0) + 2)::HUGEINT) // (g.total + 2 * l.v) AS p,
+    1 + (1000000000 * (k.n + 2)::HUGEINT) // (l.total + 2 * l.v) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+_WARC = r"""
+with given as (
+  select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes,
+    unhex(sha1(coalesce(html, '')))::bit::varchar as bits
+  from pages),
+firsts as (select html, min(page_id) as first from given group by html)
+select page_id, payload_bytes::bigint as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (substr(bits, 1 + i * 5, 5)::bit::integer), 1)), '') as payload_digest,
+  case when first is null or page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from given join firsts using (html)
+"""
+
 ORACLE: dict[str, str] = {
     "op7_quality_rules": _QUALITY,
     "op8_source_mixing": _MIXING,
+    "op11_source_divergence": _DIVERGENCE,
+    "op13_warc": _WARC,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.llm.bpe import digests, encoded
 from tidemark.llm.chat import formatted, read_back
 from tidemark.llm.common import documents
+from tidemark.llm.divergence import source_divergence
 from tidemark.llm.fingerprints import as_text, containment, edited_fingerprints
 from tidemark.llm.importance import resampled
 from tidemark.llm.language import language_predictions
@@ -18,6 +19,8 @@ from tidemark.llm.line_dedup import without_repeats
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.ngram_join import linked_documents
 from tidemark.llm.quality_rules import judged
+from tidemark.llm.warc import page_records
+from tidemark.llm.whitening import whitened_rows
 
 
 def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +78,18 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(documents(spark, sf_dir))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_importance_resampling,
@@ -87,5 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_source_mixing,
         op9_substring_dedup,
         op10_document_fingerprints,
+        op11_source_divergence,
+        op12_embedding_whitening,
+        op13_warc,
     )
 }
