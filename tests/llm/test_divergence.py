@@ -7,7 +7,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.llm import divergence
-from tidemark.llm.divergence import TERM, _share, equal_runs, source_divergence, word_starts
+from tidemark.llm.common import word_places
+from tidemark.llm.divergence import TERM, _share, equal_runs, source_divergence
 
 LETTERS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -49,7 +50,7 @@ def test_runs_are_the_words(texts):
     data = [t.encode() for t in texts]
     letters = TERM[np.frombuffer(b"".join(data) or b" ", np.uint8)]
     offsets = np.cumsum([0] + [len(d) for d in data])
-    starts, lengths = word_starts(letters, offsets)
+    starts, lengths = word_places(letters != 0, offsets)
     assert [bytes(letters[s : s + n]).decode() for s, n in zip(starts, lengths, strict=True)] == [w for t in texts for w in terms(t)]
     order, opens = equal_runs(letters, starts, lengths)
     words = [bytes(letters[starts[i] : starts[i] + lengths[i]]) for i in order]
@@ -60,7 +61,7 @@ def test_runs_are_the_words(texts):
 def test_words_that_share_long_openings():
     words = ["abcdefgh", "abcdefghi", "abcdefghabcdefgh", "abcdefghabcdefghz", "abcdefg", "abcdefgh", "é" * 30, "é" * 29] * 3
     data = TERM[np.frombuffer(" ".join(words).encode(), np.uint8)]
-    starts, lengths = word_starts(data, np.array([0, len(data)]))
+    starts, lengths = word_places(data != 0, np.array([0, len(data)]))
     order, opens = equal_runs(data, starts, lengths)
     found = [bytes(data[starts[i] : starts[i] + lengths[i]]).decode() for i in order]
     assert found == sorted(words, key=str.encode) and opens.sum() == len(set(words))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import eight_bytes, saved, slices, text_bytes, word_places
 
 LEAST_DOCUMENTS = 10
 TOP = 10
@@ -139,38 +139,20 @@ def _ranked(rows: DataFrame, part: str) -> DataFrame:
     return rows.withColumn("part", F.lit(part)).withColumn("rank", F.row_number().over(order))
 
 
-def word_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and length of every term; data as TERM has it, texts from offset to offset."""
-    inside = data != 0
-    opens = inside.copy()
-    opens[1:] &= ~inside[:-1]
-    edge = offsets[(offsets > 0) & (offsets < len(data))]
-    opens[edge] = inside[edge]
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:]
-    ends[edge - 1] = inside[edge - 1]
-    starts = np.flatnonzero(opens)
-    return starts, np.flatnonzero(ends) + 1 - starts
-
-
 def equal_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pointers in the order of what they point at, and where in this order runs of equal words open."""
-    padded = np.lib.stride_tricks.sliding_window_view(np.r_[data, np.zeros(8, np.uint8)], 8)
+    bytes_at = eight_bytes(data)
 
-    def slices(pointers: np.ndarray, depth: int) -> np.ndarray:
-        left = np.clip(lengths[pointers] - depth, 0, 8)
-        at = np.where(left > 0, starts[pointers] + depth, 0)
-        keys = padded[at].view(">u8").ravel().astype(np.uint64)
-        drop = (8 * (8 - left)).astype(np.uint64)
-        return np.where(left > 0, keys >> np.minimum(drop, 63) << np.minimum(drop, 63), np.uint64(0))
+    def characters(pointers: np.ndarray, depth: int) -> np.ndarray:
+        return bytes_at(starts[pointers] + depth, lengths[pointers] - depth)
 
-    keys = slices(np.arange(len(starts)), 0)
+    keys = characters(np.arange(len(starts)), 0)
     order = np.argsort(keys)
     opens = np.r_[True, np.diff(keys[order]) != 0][: len(starts)]
     places, depth = _unsettled(np.arange(len(starts)), opens, lengths[order] > 8), 8
     while len(places):
         pointers, run = order[places], np.cumsum(opens[places])
-        keys = slices(pointers, depth)
+        keys = characters(pointers, depth)
         by = np.lexsort((keys, run))
         order[places], keys = pointers[by], keys[by]
         opens[places[1:]] |= (run[1:] == run[:-1]) & (keys[1:] != keys[:-1])
@@ -193,22 +175,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        data, offsets = _buffer(batch.column(0))
+        data, offsets = text_bytes(batch.column(0))
         groups = _numbers(batch.column(1), batch.column(2))
-        at = 0
-        while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1)
+        for at, to in slices(offsets, SLICE):
             texts = TERM[data[offsets[at] : offsets[to]]]
             yield from _slice_counts(texts, offsets[at : to + 1] - offsets[at], groups[at:to], batch.slice(at, to - at))
-            at = to
-
-
-def _buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a text column and where each text begins, without a copy."""
-    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
-    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
-    return data, offsets
 
 
 def _numbers(lang: pa.Array, source: pa.Array) -> np.ndarray:
@@ -218,7 +189,7 @@ def _numbers(lang: pa.Array, source: pa.Array) -> np.ndarray:
 
 
 def _slice_counts(data: np.ndarray, offsets: np.ndarray, groups: np.ndarray, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    starts, lengths = word_starts(data, offsets)
+    starts, lengths = word_places(data != 0, offsets)
     if not len(starts):
         return
     order, opens = equal_runs(data, starts, lengths)
