@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark.llm.common import LAST_ID, PLACE, hashes_of, mixed, saved, slices, text_bytes, word_places
+from tidemark.llm.common import LAST_ID, PLACE, hashes_of, mixed, slices, text_bytes, word_places
 
 LEAST_WORDS = 25
 WINDOW = 2 * LEAST_WORDS
@@ -51,7 +51,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     # An id may stand in many rows (null in many, too): each text has its own repeats.
     tie = F.xxhash64(F.col("text").cast("string")).alias("tie")
     texts = docs.select(rank, tie, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    units = saved(texts.mapInArrow(_units(least), "unit long, id long, tie long"), "units")
+    units = texts.mapInArrow(_units(least), "unit long, id long, tie long")
     firsts = units.groupBy("unit").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
     repeats = units.join(firsts.select("unit", "first"), "unit").where("id > first")
     repeats = repeats.groupBy("id", "tie").agg(F.collect_set("unit").alias("repeats"))
