@@ -49,3 +49,11 @@ def test_pieces_tile_the_documents(table, prose):
     taken = {r.doc_id: (r.taken, r.size) for r in once.collect()}
     copies = {r["doc_id"]: r["count"] for r in mixed_copies(docs, 64).groupBy("doc_id").count().collect()}
     assert all(copies.get(d, 0) == (int(t / s + 0.5) if s else 0) for d, (t, s) in taken.items())
+
+
+def test_clashing_columns(table, prose):
+    docs = table([(i, " ".join(prose(20, i)), "en", "s") for i in range(20)])
+    plain = sorted(r.doc_id for r in mixed_copies(docs, 64).collect())
+    names = ("__id", "__times", "__copy", "given", "id", "times", "t", "s", "key", "part", "row", "col")
+    found = mixed_copies(docs.withColumns({c: F.lit("x") for c in names}), 64)
+    assert found.columns == [*docs.columns, *names] and sorted(r.doc_id for r in found.collect()) == plain

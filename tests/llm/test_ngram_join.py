@@ -116,7 +116,7 @@ def test_empty_table_and_clashing_columns(table, prose):
     empty = table([])
     assert linked_documents(empty).count() == 0
     rows = near_copies(prose)[:16]
-    docs = table(rows).withColumns({c: F.lit("x") for c in ("node", "n_shingles", "component_id", "key", "part", "id", "a", "b")})
+    docs = table(rows).withColumns({c: F.lit("x") for c in ("node", "n_shingles", "component_id", "key", "part", "id", "a", "b", "mark", "given", "n", "root", "first", "__id", "__mark")})
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
     want = {c for _, _, c in brute(rows)}
@@ -131,13 +131,23 @@ def test_rows_without_id(table):
 
 
 def test_one_of_each_without_ids(table):
-    """A row without an id goes with the linked one that has one; the others stay."""
+    """A row without an id goes with the linked one that has one; near copies under one id are one document."""
     text = "one two three four five six seven eight"
     rows = [(None, text), (7, text), (None, "a lonely text without any id at all"), (None, None), (3, "x y"), (3, text + " nine")]
     left = sorted((str(r.doc_id), str(r.text)) for r in one_of_each(table(rows)).collect())
     assert left == sorted([("None", "None"), ("None", rows[2][1]), ("3", "x y"), ("3", text + " nine")])
 
 
+def test_one_of_each_of_a_table_loaded_twice(spark, table, prose):
+    rows = near_copies(prose) + [(None, " ".join(prose(40, 77)), None, "a"), (5000, "", "en", "a"), (5001, " ".join(prose(50, 78)), "de", "b")]
+    docs = table(rows)
+    once = sorted(map(tuple, one_of_each(docs).collect()), key=repr)
+    other = docs.where("doc_id = 5001").withColumn("source", F.lit("c"))
+    left = sorted(map(tuple, one_of_each(docs.unionByName(docs).unionByName(docs).unionByName(other)).collect()), key=repr)
+    blank = [r for r in once if r[0] == 5000]
+    assert left == sorted(once + 2 * blank, key=repr), "of equal id and text any one, here the least; rows without words all stay"
+
+
 def test_shingles_of_short_and_blank_texts():
     assert [len(shingle_set(t, 5)) for t in (None, "", " \n", "a", "a b c d e", "a b c d e f")] == [0, 0, 0, 1, 1, 2]
     assert np.array_equal(shingle_set("AÉ b", 5), shingle_set("aÉ  b", 5))

@@ -5,6 +5,8 @@ follows the text's. The same shingle is kept everywhere or nowhere, so the sketc
 the sketches, and the share of one sketch found in another estimates containment, however
 unequal the texts are. A text none of whose shingles falls below keeps its smallest hash, so that only
 texts without words have an empty sketch; merging drops such a hash as soon as a regular one is there.
+Estimates therefore hold for texts of some 40 shingles and more. Of a text of k shingles (7/8)^k have such a stand-in
+alone (26 % for 10, 12 % for 16, 0.5 % for 40), and their containment in a longer text that holds them comes out as 0.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ one of the target text (documents labelled good), one of the raw text (all docum
 mean log ratio of the two over its n-grams, times EVIDENCE; adding Gumbel noise and taking the k largest
 draws k documents without replacement with chances in proportion to the exponential of the weights.
 
-k is the share of good ones among the labelled documents, times the number of documents.
+k is the share of quality 1 among the labelled documents, times the number of documents.
 """
 
 from __future__ import annotations
@@ -129,8 +129,8 @@ def with_top(scored: DataFrame, k: int) -> DataFrame:
 def resampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, n_grams, log_ratio, score, key, kept) of every row of docs (doc_id, text).
 
-    Good documents are the ids in labels (doc_id, quality, toxic) with quality 1 and not toxic; k is their share
-    among the labelled ids. Without any, all ratios are 0 and every document is kept. Null, empty and blank texts have no
+    Good documents are the ids in labels (doc_id, quality, toxic) with quality 1 and not toxic: the target is learned
+    from them. k is the share of quality 1, toxic ones included, among the labelled ids. Without any, all ratios are 0 and every document is kept. Null, empty and blank texts have no
     n-grams, a null log_ratio and score 0, and come last. Rows without doc_id get the same noise; equal
     rows get equal keys, and which of them is kept at the edge makes no difference. Other columns are not
     looked at. An empty table gives an empty table.

@@ -15,8 +15,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNKNOWN = "und"
-#: Bounds of the sample: documents of a language, code points taken of each, bytes of a dictionary; languages.
-SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY, LANGUAGES = 400, 400, 1 << 16, 512
+#: Bounds of the sample: documents of a language, code points of words taken of each, bytes of a dictionary.
+SAMPLE_DOCS, SAMPLE_CHARS, DICTIONARY = 400, 400, 1 << 16
+#: Bytes of all dictionaries together, at least LEAST_DICTIONARY of each: the more languages, the smaller each one's.
+ALL_DICTIONARIES, LEAST_DICTIONARY = 1 << 22, 512
 LEVEL, NARROW = 7, 0.01
 #: Bytes compressed at once, so that a long text has the dictionary near everywhere.
 PIECE = 1 << 9
@@ -37,32 +39,34 @@ def remainder(doc_id: Column) -> Column:
 def dictionaries(labelled: DataFrame) -> dict[str, bytes]:
     """Raw-content dictionaries by language from labelled rows (doc_id, text, lang), languages with most rows first.
 
-    Of each language the SAMPLE_DOCS rows with the least hashes of doc_id are taken. Rows without text, letters or
-    language are not learned from. A table with more than LANGUAGES languages is refused.
-    What comes to the driver is bounded by LANGUAGES * SAMPLE_DOCS * SAMPLE_CHARS code points.
+    Of each language the SAMPLE_DOCS rows with the least hashes of doc_id are taken, of each row the first SAMPLE_CHARS
+    code points of its words, wherever in the text they begin. Rows without text, letters or language are not learned
+    from. Where there are more languages than full dictionaries fit, all get smaller ones, from fewer rows.
+    What comes to the driver is a count per language, and code points in proportion to the dictionaries.
     """
     able = labelled.select(
         F.col("lang").cast("string").alias("lang"),
         F.xxhash64(F.col("doc_id").cast("string")).alias("mark"),
-        F.substring(F.col("text").cast("string"), 1, SAMPLE_CHARS).alias("text"),
+        F.col("text").cast("string").alias("text"),
     ).where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    counts = {r["lang"]: r["n"] for r in able.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return {}
-    # Hashes are uniform: the least SAMPLE_DOCS of n are looked for among the lowest 4 * SAMPLE_DOCS / n of all, so what
+    size = min(DICTIONARY, max(LEAST_DICTIONARY, ALL_DICTIONARIES // len(counts)))
+    docs = max(4, SAMPLE_DOCS * size // DICTIONARY)
+    # Hashes are uniform: the least of n are looked for among the lowest 4 * docs / n of all, so what
     # meets in one task does not grow with the number of tasks.
-    lowest = {x: -(2**63) + min(2**64 - 1, 4 * SAMPLE_DOCS * 2**64 // n) for x, n in counts.items()}
+    lowest = {x: -(2**63) + min(2**64 - 1, max(64, 4 * docs) * 2**64 // n) for x, n in counts.items()}
     upto = F.create_map(*[F.lit(v) for pair in lowest.items() for v in pair])
-    low = able.where(F.col("mark") <= F.try_element_at(upto, F.col("lang")))
+    said = F.substring(F.trim(F.regexp_replace("text", r"[^\p{L}]+", " ")), 1, SAMPLE_CHARS)
+    low = able.where(F.col("mark") <= F.try_element_at(upto, F.col("lang"))).withColumn("text", said)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "text"))
-    taken = low.withColumn("rank", rank).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "rank", "text").collect()
+    taken = low.withColumn("rank", rank).where(F.col("rank") <= docs).select("lang", "rank", "text").collect()
     held: dict[str, list[str]] = {}
     for row in sorted(taken, key=lambda r: (r.lang, -r.rank)):
         held.setdefault(row.lang, []).append(letters(row.text))
     order = sorted(held, key=lambda x: (-counts[x], x))
-    return {lang: " ".join(held[lang]).encode("utf-8", "replace")[-DICTIONARY:] for lang in order}
+    return {lang: " ".join(held[lang]).encode("utf-8", "replace")[-size:] for lang in order}
 
 
 class Sizes:

@@ -140,7 +140,8 @@ def mixed_copies(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     Rows of one doc_id are taken equally often; documents without words are not taken.
     """
     rank = lambda c: F.coalesce(c, F.lit(LAST_ID))
-    times = mixed_documents(docs, block).groupBy(rank(F.col("doc_id")).alias("__id")).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
-    times = times.where("2 * t >= s and s > 0").select("__id", F.call_function("div", 2 * F.col("t") + F.col("s"), 2 * F.col("s")).cast("int").alias("__times"))
-    met = docs.join(times, rank(docs["doc_id"].cast("long")) == F.col("__id"))
-    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).drop("__id", "__times", "__copy")
+    times = mixed_documents(docs, block).groupBy(rank(F.col("doc_id")).alias("id")).agg(F.sum("taken").alias("t"), F.sum("size").alias("s"))
+    times = times.where("2 * t >= s and s > 0").select("id", F.call_function("div", 2 * F.col("t") + F.col("s"), 2 * F.col("s")).cast("int").alias("times"))
+    # The whole row is one column here, so no name of its own can clash.
+    met = docs.select(F.struct("*").alias("given"), rank(F.col("doc_id").cast("long")).alias("id")).join(times, "id")
+    return met.select("given", F.explode(F.sequence(F.lit(1), F.col("times")))).select("given.*")

@@ -60,7 +60,7 @@ def linked_documents(docs: DataFrame, words: int = WORDS, threshold: tuple[int,
 
 
 def _named(docs: DataFrame, words: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Every row's set, and (node, component_id, sets) of every set; both stored.
+    """Every row's set, and (node, root, component_id, sets) of every set; both stored.
 
     A row is known by its doc_id and a hash of its text, so neither rows without an id nor ids used twice are
     taken for one another.
@@ -77,7 +77,7 @@ def _named(docs: DataFrame, words: int, threshold: tuple[int, int]) -> tuple[Dat
     named = classes.join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = saved(named, "classes")
     roots = saved(named.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("sets")), "roots")
-    ids = saved(named.join(roots, "root").select("node", "component_id", "sets"), "names")
+    ids = saved(named.join(roots, "root").select("node", "root", "component_id", "sets"), "names")
     for used in (stars, parts, links, named, roots):
         dropped(used)
     return found, ids
@@ -92,15 +92,26 @@ def _id(doc_id: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """The rows of docs that are the first of their component, with all their columns.
+    """The first row of docs of every component, with all its columns.
 
-    Rows without doc_id go if a linked row has one, else they stay. Rows that repeat a doc_id and are linked are
-    one document and stay together.
+    First is the smallest doc_id (rows without one come last), among rows of one id the one whose text has the smallest
+    hash, and of rows with the same id and text any one: a table that was loaded twice leaves one of each. Rows
+    without words are in no component; they all stay.
     """
     found, ids = _named(docs, words, threshold)
-    gone = found.join(ids, "node").where("component_id is not null and not (doc_id <=> component_id)")
-    gone = gone.select(_id(F.col("doc_id")).alias("__id"), F.col("mark").alias("__mark")).distinct()
-    return docs.join(gone, (_id(docs["doc_id"]) == F.col("__id")) & (_mark(docs["text"]) == F.col("__mark")), "left_anti")
+    rows = found.join(ids.select("node", "root"), "node").select("root", _id(F.col("doc_id")).alias("id"), "mark")
+    rows = saved(rows.groupBy("root", "id", "mark").agg(F.count("*").alias("n")), "component-rows")
+    firsts = rows.groupBy("root").agg(F.min(F.struct("id", "mark")).alias("first"))
+    gone = rows.join(firsts, "root").where(F.struct("id", "mark") != F.col("first")).select("id", "mark")
+    # The whole row is one column here, so no name of its own can clash.
+    given = docs.select(F.struct("*").alias("given"), _id(F.col("doc_id")).alias("id"), _mark(F.col("text")).alias("mark"))
+    left = given.join(gone, ["id", "mark"], "left_anti")
+    twice = rows.where("n > 1").select("id", "mark")
+    if twice.isEmpty():
+        return left.select("given.*")
+    once = left.join(twice, ["id", "mark"], "left_anti").select("given")
+    several = left.join(twice, ["id", "mark"], "left_semi").groupBy("id", "mark")
+    return once.unionByName(several.agg(F.min_by("given", F.to_json("given")).alias("given")).select("given")).select("given.*")
 
 
 # Bands and lanes

@@ -136,35 +136,40 @@ def judged(docs: DataFrame) -> DataFrame:
 
     Null, empty and blank texts have no words and fail. Null languages and sources are groups of their own.
     Equal rows are judged alike; measures exactly at a limit pass. Whatever other columns there
-    are passes unchanged. An empty table gives an empty table. No column but text, lang and source
-    (and doc_id, to deal rows out) is looked at.
+    are passes unchanged, but a column `__quality` is replaced. An empty table gives an empty table. No column but
+    text, lang and source (and doc_id, to deal rows out) is looked at.
     """
+    given = docs.drop("__quality")
+    return _verdicts(given).select("given.*", F.col("verdict").alias("__quality"))
+
+
+def kept_documents(docs: DataFrame) -> DataFrame:
+    """The rows of docs that pass, with all their columns, whatever their names; edge cases as in judged()."""
+    return _verdicts(docs).where("verdict.kept").select("given.*")
+
+
+def _verdicts(docs: DataFrame) -> DataFrame:
+    """(given, verdict): every row as one column, so that no name can clash, and what is said of it."""
     bounds = limits(docs)
-    f = F.col("__f")
-    part = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(PARTS))
-    measured = docs.withColumns(
-        {"__f": features(F.col("text")), "__lang": _name(F.col("lang")), "__source": _name(F.col("source")), "__part": part}
-    )
-    bounds = bounds.select(F.struct("*").alias("__limits"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("__salt"))
-    b = F.col("__limits")
-    met = measured.join(
-        bounds,
-        (F.col("__lang") == b["lang_key"]) & (F.col("__source") == b["source_key"]) & (F.col("__part") == F.col("__salt")),
-        "left",
+    f = F.col("f")
+    measured = docs.select(
+        F.struct("*").alias("given"),
+        features(F.col("text")).alias("f"),
+        _name(F.col("lang")).alias("lang_key"),
+        _name(F.col("source")).alias("source_key"),
+        F.pmod(F.xxhash64(F.col("doc_id")), F.lit(PARTS)).alias("part"),
     )
+    salted = bounds.select("lang_key", "source_key", F.struct("*").alias("b"), F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
+    b = F.col("b")
+    met = measured.join(salted, ["lang_key", "source_key", "part"], "left")
     passes = reduce(
         lambda x, y: x & y,
         [(v <= b[name]["hi"]) & ((v >= b[name]["lo"]) if RULES[name][1] else F.lit(True)) for name, v in _measures(f).items()],
     )
     verdict = F.struct(
-        "__f.*",
+        "f.*",
         _failed(f).alias("base_failed"),
         F.when(_failed(f), F.lit(False)).otherwise(passes).alias("kept"),
         b["level"].alias("level"),
     )
-    return met.select(*[docs[c] for c in docs.columns], verdict.alias("__quality"))
-
-
-def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of docs that pass, with all their columns; edge cases as in judged()."""
-    return judged(docs).where("__quality.kept").drop("__quality")
+    return met.select("given", verdict.alias("verdict"))
