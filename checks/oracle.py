@@ -371,6 +371,13 @@ ORACLE = {
         where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
     "fk_all": f"""with {TABLES}, o as ({orphan_rows()}) select "ForeignKeyId", scope,
         count(*) as "Count", count(distinct "Value") as "DistinctCount" from o group by all""",
+    "fk_by_extract": f"with {TABLES}, " + ", ".join(
+        f"o{e} as ({orphan_rows(bound=e)})" for e in range(1, 8)
+    ) + " " + " union all ".join(
+        f"""select "ForeignKeyId", scope, count(*) as "Count",
+            count(distinct "Value") as "DistinctCount", {e} as "AsOfExtract" from o{e} group by all"""
+        for e in range(1, 8)
+    ),
     "fk_values": f"""with {TABLES}, o as ({orphan_rows()}) select "ForeignKeyId", scope, "Value",
         count(*) as "Count" from o group by all""",
     "fk_samples": f"""with {TABLES}, o as (select distinct * from ({orphan_rows()}))

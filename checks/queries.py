@@ -3,13 +3,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import jobs, standins as s
 from tidemark.functions.names import with_parsed_name
 from tidemark.functions.text import has_trailing_quote, listed, split_rows, without_trailing_quote
-from tidemark.operators import analytics, integrity, results, routing, tenants, versioned
+from tidemark.operators import analytics, integrity, results, routing, standing, tenants, versioned
 from tidemark.operators.constraints import Check, NotNull, Reference, Unique, check_constraints
 from tidemark.operators.report import report_lines
 from tidemark.plans.validate import per_run, plan_runs
@@ -146,6 +147,24 @@ def fk_samples(spark, folder):
     return integrity.orphan_samples(values, "Value", by=["ForeignKeyId", "scope"])
 
 
+@query
+def fk_by_extract(spark, folder):
+    """The outcome of ``fk_all`` after each of seven extracts, each of which is read alone."""
+    tables = s.histories(spark, folder)
+    known = spark.createDataFrame([], standing.KEYS)
+    orphans = spark.createDataFrame([], standing.ORPHANS)
+    totals = []
+    for extract in range(1, 8):
+        rows = {name: df.where(F.col(VERSION) == extract) for name, df in tables.items()}
+        new = written_once(standing.arriving_keys(rows, s.REGISTRY, known, extract), "keys")
+        known = known.unionByName(new)
+        found = standing.arriving_orphans(rows, s.REGISTRY, known, extract)
+        orphans = orphans.unionByName(written_once(found, "orphans"))
+        values = standing.standing_values(orphans, extract)
+        totals.append(integrity.orphan_totals(values).withColumn("AsOfExtract", F.lit(extract)))
+    return reduce(DataFrame.unionByName, totals)
+
+
 @query
 def fk_blank_and_resent(spark, folder):
     """Null and blank values are never orphans; parents sent again later count from the first time."""

@@ -18,7 +18,8 @@ from tidemark.operators.integrity import (
 )
 from tidemark.operators.report import report_lines
 from tidemark.operators.results import fk_results, select_runs
-from tidemark.registry import Registry
+from tidemark.operators.standing import arriving_keys, arriving_orphans, standing_values
+from tidemark.registry import VERSION, Registry
 from tidemark.sources import history as store
 
 
@@ -69,6 +70,52 @@ def per_run(runs: DataFrame, by_scope: DataFrame) -> DataFrame:
     return scopes.join(by_scope, "scope").drop("scope")
 
 
+def check_new_extracts(
+    spark: SparkSession,
+    root: str,
+    registry: Registry = care_records.CARE_RECORDS,
+    *,
+    collation: str | None = None,
+) -> list[int]:
+    """Check the foreign keys of the extracts installed since the last time, one after the other.
+
+    Each extract is read alone, and the keys that earlier ones brought from the index of them. Its new keys
+    and its orphans are stored as a batch each, and the extract is listed as checked last: a job that breaks
+    leaves nothing that is read, and the next one does that extract again. The collation is the
+    store's: another one than the first time is refused. Returns the extracts that were checked.
+    """
+    registry = store.read_layout(spark, root, registry)
+    # One row per extract.
+    installed = store.read_control(spark, root, "InstalledExtracts").select(VERSION).collect()
+    listed = store.read_control(spark, root, "CheckedExtracts").collect()
+    if any((r.Collation or None) != collation for r in listed):
+        raise ValidationError("the extracts so far were checked with another collation")
+    last = max((r[VERSION] for r in listed), default=0)
+    done = []
+    for extract in sorted(r[VERSION] for r in installed if r[VERSION] > last):
+        rows = {
+            name: df.where(F.col(VERSION) == extract)
+            for name, df in store.read_histories(spark, root, registry).items()
+        }
+        earlier = store.read_control(spark, root, "KeyIndex").where(F.col(VERSION) < extract)
+        new = arriving_keys(rows, registry, earlier, extract, collation)
+        store.write_batch(new, root, "KeyIndex", extract)
+        known = store.read_control(spark, root, "KeyIndex").where(F.col(VERSION) <= extract)
+        found = arriving_orphans(rows, registry, known, extract, collation)
+        store.write_batch(found, root, "StandingOrphans", extract)
+        line = spark.createDataFrame([(extract, collation)], store.CONTROL["CheckedExtracts"])
+        store.write_batch(line, root, "CheckedExtracts", extract)
+        done.append(extract)
+    return done
+
+
+def standing_orphans(spark: SparkSession, root: str) -> DataFrame:
+    """The orphans of all extracts that are listed as checked."""
+    checked = store.read_control(spark, root, "CheckedExtracts").agg(F.max(VERSION)).first()[0]
+    orphans = store.read_control(spark, root, "StandingOrphans")
+    return orphans.where(F.col(VERSION) <= (checked or 0))
+
+
 def validate_practices(
     spark: SparkSession,
     root: str,
@@ -85,11 +132,12 @@ def validate_practices(
 
     ``extract`` labels the run and decides which practices take part; the check itself looks at the
     whole history unless ``bound`` limits it. With ``mode='as_of'`` it looks at the state as of the
-    extract instead, on both sides. All practices and keys are checked by one plan, whose
+    extract instead, on both sides. With ``mode='standing'`` the outcome is that of the whole history (or
+    up to ``bound``), but only extracts that were not checked yet are read. All practices and keys are checked by one plan, whose
     orphan values are written once and then counted and sampled.
     """
-    if mode not in ("history", "as_of"):
-        raise ValueError("mode is 'history' or 'as_of'")
+    if mode not in ("history", "as_of", "standing"):
+        raise ValueError("mode is 'history', 'as_of' or 'standing'")
     installed = store.read_control(spark, root, "InstalledExtracts")
     if extract is None:
         extract = store.last_installed(spark, root)
@@ -112,7 +160,10 @@ def validate_practices(
     if practice and runs.isEmpty():
         raise ValidationError(f"practice {practice} {skipped.first().Reason}")
 
-    if mode == "as_of":
+    histories = {}
+    if mode == "standing":
+        check_new_extracts(spark, root, registry, collation=collation)
+    elif mode == "as_of":
         histories = store.recent_histories(spark, root, registry, extract)
     else:
         histories = store.read_histories(spark, root, registry)
@@ -123,7 +174,11 @@ def validate_practices(
         }
     # All orphan values of the batch: counted, sampled and kept for looking closer.
     values_path = f"{store.control_path(root, 'OrphanValues')}/Batch={first_run}"
-    if mode == "as_of":
+    if mode == "standing":
+        found_values = standing_values(standing_orphans(spark, root), bound, collation)
+        if practice:
+            found_values = found_values.where(F.col("scope").isin(practice, EVERYWHERE))
+    elif mode == "as_of":
         found_values = orphan_values_as_of(histories, registry, extract, collation=collation)
     else:
         found_values = orphan_values(histories, registry, bound=bound, collation=collation)

@@ -43,8 +43,13 @@ CONTROL = {
     "RunText": "RunId int, LineId int, Line string",
     "OrphanValues": "ForeignKeyId int, scope string, Value string, Count long",
     "ForeignKeyErrors": "RunId int, ForeignKeyId int, Count long, DistinctCount long",
+    "KeyIndex": "Target string, scope string, Value string, ExtractId int",
+    "StandingOrphans": (
+        "ForeignKeyId int, scope string, Value string, Count long, ExtractId int"
+    ),
+    "CheckedExtracts": "ExtractId int, Collation string",
 }
-SMALL = {"StagedExtract", "InstalledExtracts", "TableLayout", "SavedStates"}
+SMALL = {"StagedExtract", "InstalledExtracts", "TableLayout", "SavedStates", "CheckedExtracts"}
 _SNAPSHOT = [("AsOfExtract", T.IntegerType()), ("Revision", T.IntegerType())]
 
 
