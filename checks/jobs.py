@@ -19,7 +19,7 @@ from tidemark.plans.install import install_extract, save_states, stage_extract
 from tidemark.plans.validate import validate_practices
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table, Via
 from tidemark.sources import history as store
-from tidemark.sources.shared import literal, scratch_folder
+from tidemark.sources.shared import scratch_folder
 
 REGISTRY = Registry(
     (
@@ -86,18 +86,11 @@ def _extract(spark: SparkSession, folder: str, year: int) -> dict[str, DataFrame
 
 
 def _write(df: DataFrame, folder: str, name: str) -> None:
-    """One file in the quoted grammar: every field quoted, records end in CR LF, the header first."""
-    spark = df.sparkSession
-    quoted = F.concat_ws('","', *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
-    header = spark.createDataFrame([('","'.join(df.columns),)], "value string").coalesce(1)
-    lines = header.unionByName(df.select(quoted.alias("value")))
-    written = scratch_folder(spark, "lines")
-    lines.select(F.concat(F.lit('"'), "value", F.lit('"\r')).alias("value")).coalesce(1).write.text(written)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(written).getFileSystem(spark._jsc.hadoopConfiguration())
-    part = files.globStatus(hadoop.Path(f"{literal(written)}/part-*"))[0].getPath()
-    files.mkdirs(hadoop.Path(folder))
-    files.rename(part, hadoop.Path(f"{folder}/{name}"))
+    """A folder of files in the quoted grammar, as many as tasks write the table: every field quoted,
+    records end in CR LF, the header first in each."""
+    text = df.select([F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
+    options = {"header": True, "quoteAll": True, "escape": '"', "lineSep": "\r\n", "emptyValue": ""}
+    text.hint("rebalance").write.options(**options).csv(f"{folder}/{name}")
 
 
 def _write_extracts(spark: SparkSession, folder: str, to: str) -> None:

@@ -12,13 +12,18 @@ from tidemark.sources.shared import literal
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """``Directory, FileName, path`` of every csv file under a folder; contents are not read."""
+    """``Directory, FileName, path`` of every csv file under a folder; contents are not read.
+
+    A folder whose own name ends in ``.csv`` is listed as one file: a table written by many tasks, each
+    of whose files has the header and the closing quote of its own.
+    """
     paths = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("recursiveFileLookup", True)
         .load(literal(root))
-        .select("path")
+        .select(F.regexp_replace("path", r"(?i)(/[^/]*\.csv)/[^/]*$", "$1").alias("path"))
+        .distinct()
     )
     return paths.select(
         F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("Directory"),
@@ -27,6 +32,11 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+
+
 def marker_files(listing: DataFrame, schema: str, table: str) -> DataFrame:
     """The file that stands for its extract in each folder, in folder order."""
     marker = f"{schema}_{table}".lower()
