@@ -458,6 +458,8 @@ ORACLE = {
                max(shipped_text) as last_shipped from supplier_lines group by practice""",
     "for_each_tenant": """select 'Nation' || c_nationkey as practice, c_mktsegment, count(*) as n
         from customer group by all""",
+    "for_each_tenant_stored": """select 'Nation' || c_nationkey as practice, c_mktsegment, count(*) as n
+        from customer group by all""",
     "listed_names": """select n_regionkey, string_agg(n_name, ', ' order by n_name) as names
         from nation group by n_regionkey""",
     "parse_names": f"""

@@ -394,6 +394,19 @@ def per_tenant_sql(spark, folder):
 
 @query
 def for_each_tenant(spark, folder):
+    """A query that knows nothing of practices, for each of them, in one plan."""
+    customers = s.given(spark, folder, "customer").withColumn(TENANT, s.store_name("c_nationkey"))
+    names = s.practices(spark, folder).select(F.col("PracticeDBName").alias(TENANT))
+    return analytics.by_practice(
+        spark,
+        "select c_mktsegment, count(*) as n from {customers} group by c_mktsegment",
+        names,
+        {"customers": customers},
+    )
+
+
+@query
+def for_each_tenant_stored(spark, folder):
     """Practice by practice, each a job of its own over a stored history clustered by practice."""
     customers = s.given(spark, folder, "customer").withColumn(TENANT, s.store_name("c_nationkey"))
     customers = written_once(

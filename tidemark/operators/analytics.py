@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -126,6 +127,36 @@ def across_practices(spark: SparkSession, query: str, **tables: DataFrame) -> Da
     return spark.sql(query, **tables)
 
 
+def by_practice(
+    spark: SparkSession, query: str, practices: DataFrame, tables: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Run a query that knows nothing of practices for every one of them, as one plan.
+
+    ``practices`` (``practice``) may be any number; ``query`` names tables in braces, where a table may stand.
+    Each name stands for the rows of the practice at hand, without their practice column; tables that have
+    none are whole for everyone. The query is joined to the practices as a lateral subquery, which Spark
+    turns into grouping and joining by practice: there is no plan, job or file per practice, and a
+    practice with a large share of the rows is split like any other key. The result is what each
+    practice alone would give, with the practice first: also a count of 0 where it has no rows. Tables
+    with practices inside of a subquery expression (``where v = (select ...)``) or on the optional side of
+    an outer join are refused by Spark, which cannot turn those around: :func:`for_each_practice` takes them.
+    """
+    own = {}
+    for name, df in tables.items():
+        columns = [f"`{c.replace('`', '``')}`" for c in df.columns if c != TENANT]
+        own[name] = "{" + name + "}"
+        if TENANT in df.columns:
+            of_practice = f"where `{TENANT}` = _practices.`{TENANT}`"
+            own[name] = f"(select {', '.join(columns)} from {{{name}}} {of_practice})"
+    inner = re.sub(r"\{(\w+)\}", lambda found: own[found[1]], query)
+    named = practices.select(TENANT).distinct()
+    return spark.sql(
+        f"select _practices.`{TENANT}`, _own.* from {{_named}} _practices, lateral ({inner}) _own",
+        _named=named,
+        **tables,
+    )
+
+
 def for_each_practice(
     spark: SparkSession,
     query: str,
