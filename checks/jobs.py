@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from checks import standins as s
 from tidemark.operators.versioned import as_of
 from tidemark.plans.install import Installed, Special, configure_practice, install_all
+from tidemark.plans import install
+from tidemark.plans.code_counts import stored_code_counts, update_code_counts
 from tidemark.plans.install import install_extract, save_states, stage_extract
 from tidemark.plans.validate import validate_practices
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table, Via
@@ -75,6 +77,7 @@ def _extract(spark: SparkSession, folder: str, year: int) -> dict[str, DataFrame
             F.col("l_orderkey").alias("OrderKey"),
             F.col("l_linenumber").alias("LineNumber"),
             F.col("l_partkey").alias("PartKey"),
+            s.stamp("l_shipdate").alias("Shipped"),
             F.when(F.col("l_returnflag") == "R", "true").otherwise("false").alias("Deleted"),
         ),
         "Sales_Order": orders.join(homes, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -217,11 +220,35 @@ def as_of_from_state(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def install_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per extract, table and practice as the installs stored them; discarded rows have no practice."""
+    return install.install_counts(spark, installed(spark, folder).root)
+
+
+def install_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per extract and table, and whether the seconds were taken (they differ from run to run)."""
+    times = install.install_times(spark, installed(spark, folder).root)
+    return times.select(VERSION, "TableName", "Rows", (F.col("Seconds") > 0).alias("Timed"))
+
+
+def code_counts_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """Part counts of the line items as of the fourth and the last extract, kept extract by extract."""
+    root = installed(spark, folder).root
+    update_code_counts(spark, root, "Sales_Line", REGISTRY, "PartKey", "Shipped")
+    counts = [
+        stored_code_counts(spark, root, "Sales_Line", e).withColumn("AsOfExtract", F.lit(e))
+        for e in (4, 7)
+    ]
+    both = counts[0].unionByName(counts[1])
+    return both.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         install_all_rows, install_log, install_discarded, installed_practices, validation_errors,
-        validation_text, configure_by_hand, as_of_from_state,
+        validation_text, configure_by_hand, as_of_from_state, install_counts, install_times,
+        code_counts_stored,
     )
 }
 
@@ -275,6 +302,31 @@ ORACLE = {
     "install_discarded": f"""with {_TABLES}
         select cast(x as int) as "ExtractId", 'Sales_Line' as "TableName", count(*) as n
         from line_rows where practice is null group by x""",
+    "install_counts": f"""with {_TABLES}
+        select cast(x as int) as "ExtractId", 'Sales_Order' as "TableName", practice, count(*) as "Rows"
+        from order_rows where x between 1 and 7 group by all
+        union all
+        select cast(x as int), 'Sales_Line', practice, count(*) from line_rows group by all""",
+    "install_times": f"""with {_TABLES}, r as (
+            select cast(x as int) as x, 'Sales_Order' as t from order_rows
+            union all select cast(x as int), 'Sales_Line' from line_rows
+            union all select 1, 'Org_Customer' from customer_rows
+            union all select x, 'Org_Part' from part_rows
+            union all select 1, 'Org_Nation' from nation
+            union all select cast(i as int), 'Org_Sharing' from nation, range(1, 8) u(i)
+            where n_regionkey <> 4 or i >= 3),
+        names as (select distinct t from (values ('Sales_Order'), ('Sales_Line'), ('Org_Customer'),
+            ('Org_Part'), ('Org_Nation'), ('Org_Sharing')) v(t))
+        select cast(i as int) as "ExtractId", names.t as "TableName",
+               count(r.t) as "Rows", true as "Timed"
+        from names cross join range(1, 8) u(i) left join r on r.t = names.t and r.x = i group by all""",
+    "code_counts_stored": f"""with {_TABLES}
+        select practice, cast(l_partkey as varchar) as "CodeId", count(*) as "CodeCount",
+               strftime(max(l_shipdate), '%Y-%m-%d %H:%M:%S') as "MostRecentDate",
+               cast(e as int) as "AsOfExtract"
+        from line_rows, (values (4), (7)) v(e)
+        where practice is not null and x <= e and l_returnflag <> 'R'
+        group by practice, l_partkey, e""",
     "installed_practices": f"""select {_GUID} as "OrganisationGuid", n_name as "PracticeName",
         'N' || n_nationkey as "ODSCode", {_PRACTICE},
         case when n_regionkey = 4 then 3 else 1 end as "StartExtractId" from nation""",

@@ -302,6 +302,27 @@ def _diff() -> str:
         where a.rows is distinct from b.rows"""
 
 
+def _part_diffs() -> str:
+    """Differences per part between pairs of extracts, each state looked up anew."""
+    from checks.queries import SPANS
+
+    row = "concat_ws('|', l_quantity, l_returnflag, l_linestatus)"
+
+    def state(n: int) -> str:
+        return f"""(select l_partkey, count(*) as n, string_agg({row}, ';' order by {row}) as rows
+            from {latest('lines', ['l_partkey'], n)} where "Deleted" = 'false' group by l_partkey)"""
+
+    return f"with {TABLES} " + " union all ".join(
+        f"""select coalesce(a.l_partkey, b.l_partkey) as l_partkey,
+            coalesce(a.n, 0) as rows_before, coalesce(b.n, 0) as rows_after,
+            case when a.n is null then 'added' when b.n is null then 'removed' else 'changed' end
+                as status, {a} as before, {b} as after
+        from {state(a)} a full join {state(b)} b on a.l_partkey = b.l_partkey
+        where a.rows is distinct from b.rows"""
+        for a, b in SPANS
+    )
+
+
 def _names() -> str:
     """Names by the same ways, parsed step by step in SQL."""
     from checks.queries import NAMES
@@ -360,6 +381,13 @@ ORACLE = {
         max(shipped) as last_shipped from {latest('lines', LINE_KEYS, None)}
         where "Deleted" = 'false' group by all""",
     "extract_diff": _diff(),
+    "validity_intervals": f"""with {TABLES}, spans as (
+            select l_partkey, "ExtractId",
+                   lead("ExtractId") over (partition by l_partkey order by "ExtractId") as "ReplacedIn"
+            from (select distinct l_partkey, "ExtractId" from lines))
+        select l_partkey, l_orderkey, l_linenumber, "ExtractId", "ReplacedIn"
+        from lines join spans using (l_partkey, "ExtractId")""",
+    "diff_of_intervals": _part_diffs(),
     "fk_orphan_rows": f"""with {TABLES} select l_orderkey, l_linenumber, shipped, "ExtractId"
         from lines f where not exists (select 1 from orders
             where o_orderkey = f.l_orderkey and f."ExtractId" >= year(o_orderdate) - 1994)""",
@@ -445,6 +473,12 @@ ORACLE = {
         select practice, l_partkey, {CODES}
         from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}
         where "Deleted" = 'false' and practice in (from newer) group by practice, l_partkey""",
+    "code_counts_standing": f"with {TABLES} " + " union all ".join(
+        f"""select practice, cast(l_suppkey as varchar) as "CodeId", {CODES}, {e} as "AsOfExtract"
+        from {latest('supplier_lines', ['practice', 'l_partkey'], e)}
+        where "Deleted" = 'false' group by practice, l_suppkey"""
+        for e in range(1, 8)
+    ),
     "code_counts_emptied": f"""with {TABLES}
         select practice, l_partkey as "CodeId", {CODES}
         from {latest('supplier_lines', PRACTICE_LINE_KEYS, None)}

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import jobs, standins as s
 from tidemark.functions.names import with_parsed_name
 from tidemark.functions.text import has_trailing_quote, listed, split_rows, without_trailing_quote
-from tidemark.operators import analytics, integrity, results, routing, standing, tenants, versioned
+from tidemark.operators import analytics, code_state, integrity, intervals, results, routing
+from tidemark.operators import standing, tenants, versioned
 from tidemark.operators.constraints import Check, NotNull, Reference, Unique, check_constraints
 from tidemark.operators.report import report_lines
 from tidemark.plans.validate import per_run, plan_runs
@@ -103,6 +104,33 @@ def extract_diff(spark, folder):
     )
 
 
+PART = Table("lines", COMMON, ("l_partkey",), deleted="Deleted", tenant=None)
+
+
+@query
+def validity_intervals(spark, folder):
+    """A part's line items of a year replace those of the years before."""
+    lines = s.lineitem(spark, folder).select("l_partkey", "l_orderkey", "l_linenumber", VERSION)
+    return intervals.with_validity(lines, PART.keys)
+
+
+@query
+def diff_of_intervals(spark, folder):
+    """Neighbouring extracts and the first against the last, all from intervals made once."""
+    lines = s.lineitem(spark, folder).select(
+        "l_partkey", "l_quantity", "l_returnflag", "l_linestatus", "Deleted", VERSION
+    )
+    made = written_once(intervals.with_validity(lines, PART.keys), "intervals")
+    return reduce(DataFrame.unionByName, [
+        intervals.diff_of_intervals(made, PART.keys, a, b, deleted=PART.deleted)
+        .withColumns({"before": F.lit(a), "after": F.lit(b)})
+        for a, b in SPANS
+    ])
+
+
+SPANS = [*((e, e + 1) for e in range(1, 7)), (1, 7)]
+
+
 # Foreign keys
 
 
@@ -337,6 +365,22 @@ def code_counts_incremental(spark, folder):
     return folded.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
 
 
+@query
+def code_counts_standing(spark, folder):
+    """Supplier counts after each of seven extracts; a part's line items of a year replace the earlier ones."""
+    rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
+    table = Table("lines", PRACTICE, ("l_partkey",), deleted="Deleted")
+    state, states = spark.createDataFrame([], code_state.CODE_COUNTS), []
+    for extract in range(1, 8):
+        counts = code_state.code_counts_after(
+            state, rows, table, extract, "l_suppkey", analytics.text_date("shipped")
+        )
+        state = written_once(counts, "code-counts")
+        states.append(state.withColumn("AsOfExtract", F.lit(extract)))
+    counted = reduce(DataFrame.unionByName, states)
+    return counted.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
+
+
 def _starters(spark, folder):
     return s.practices(spark, folder).where("StartExtractId = 2").select(
         F.col("PracticeDBName").alias(TENANT)

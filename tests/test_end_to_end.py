@@ -22,7 +22,9 @@ from tidemark.plans.install import (
     clean_staging,
     configure_practice,
     install_all,
+    install_counts,
     install_extract,
+    install_times,
     save_states,
     stage_extract,
     staged_tables,
@@ -100,6 +102,24 @@ def test_every_row_is_kept_or_reported(spark, installed):
         assert moved + sum(extract.discarded.values()) == expected + doubled
 
 
+def test_counts_and_times_are_kept(spark, installed, rows):
+    root, done = installed
+    kept = install_counts(spark, root)
+    for extract in done:
+        told = {(r.TableName, r.practice): r.Rows for r in extract.counts.collect()}
+        told |= {(t, None): n for t, n in extract.discarded.items()}
+        found = kept.where(F.col("ExtractId") == extract.extract).collect()
+        assert {(r.TableName, r.practice): r.Rows for r in found} == told
+    times = install_times(spark, root)
+    assert times.count() == 3 * len(CARE_RECORDS.tables)
+    assert times.where("Seconds <= 0").isEmpty()
+    by_extract = times.where("TableName = 'CareRecord_Observation' and Rows > 0")
+    _, history = table(spark, root, "CareRecord_Observation")
+    assert rows(by_extract, "ExtractId", "Rows") == rows(
+        history.groupBy("ExtractId").agg(F.count("*").alias("n")), "ExtractId", "n"
+    )
+
+
 def test_text_survives_reading(spark, installed):
     root, _ = installed
     _, history = table(spark, root, "CareRecord_Observation")

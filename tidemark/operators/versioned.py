@@ -142,6 +142,13 @@ def extract_diff(
     )
     old = not_deleted(rows_of_versions(earlier, replaced, keys, version=version), deleted)
     new = not_deleted(rows_of_versions(later, arrived, keys, version=version), deleted)
+    return compared(old, new, keys, payload)
+
+
+def compared(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], payload: Sequence[str]
+) -> DataFrame:
+    """The keys whose rows in two states differ as bags, with the rows they have in each."""
 
     def bag(df: DataFrame, old_side: int, new_side: int) -> DataFrame:
         return df.select(

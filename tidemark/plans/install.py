@@ -190,15 +190,14 @@ def install_extract(
     _check_files({name: rows[name] for name in several})
 
     # Common tables go first: the sharing organisations are then read back from what was written.
+    seconds: dict[str, float] = {}
     for table in registry.select(practice=False):
-        _write(rows[table.name], root, table, extract)
-    _check_rows(
-        {
-            t.name: store.read_extract(spark, root, t, extract, _KEPT)
-            for t in registry.select(practice=False)
-        },
-        several,
-    )
+        seconds[table.name] = _write(rows[table.name], root, table, extract)
+    common = {
+        t.name: store.read_extract(spark, root, t, extract, _KEPT)
+        for t in registry.select(practice=False)
+    }
+    held = _check_rows(common, several)
 
     # Both tenant lists are written as part of this extract and read back: small tables, fixed.
     practices = _practices_for(spark, root, registry, special, extract, previous)
@@ -220,14 +219,18 @@ def install_extract(
             parent = store.read_extract(
                 spark, root, registry.table(table.via.parent), extract, _KEPT
             )
-        _write(
+        seconds[table.name] = _write(
             routing.route_rows(rows[table.name], table, installed, parent), root, table, extract
         )
         routed[table.name] = store.read_extract(spark, root, table, extract, _KEPT)
     # A row routed through a parent sent twice is there twice: those tables are checked as read.
     _check_rows({t.name: rows[t.name] if t.via else routed[t.name] for t in in_order}, several)
 
-    counts = _counts(routed)
+    # Counted once from what was written and kept with the extract, so checks and reports read the counts.
+    store.write_batch(
+        _counts(routed).withColumn(VERSION, F.lit(extract)), root, "InstallCounts", extract
+    )
+    counts = store.read_batch(spark, root, "InstallCounts", extract).drop(VERSION)
     _check_complete({t.name: rows[t.name] for t in in_order if not t.via}, counts)
     left = {
         r.TableName: r.Rows for r in counts.where(F.col(TENANT).isNull()).collect()
@@ -237,6 +240,13 @@ def install_extract(
     if stuck:
         raise ExtractError("rows of no configured, sharing practice: " + "; ".join(stuck))
 
+    held |= {
+        r.TableName: r.n for r in counts.groupBy("TableName").agg(F.sum("Rows").alias("n")).collect()
+    }
+    times = [(extract, name, held.get(name, 0), taken) for name, taken in seconds.items()]
+    store.write_batch(
+        spark.createDataFrame(times, store.CONTROL["InstallTimes"]), root, "InstallTimes", extract
+    )
     if previous is None:
         store.write_snapshot(store.layout_rows(spark, registry), root, "TableLayout", extract)
     if store.claim(spark, root, "Extract", extract, staged.FilenameTemplate) != (
@@ -291,6 +301,24 @@ def install_all(
     return done
 
 
+def install_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows per installed extract, practice table and practice; without a practice: discarded ones."""
+    return _of_installed(spark, root, "InstallCounts")
+
+
+def install_times(spark: SparkSession, root: str) -> DataFrame:
+    """Rows written per installed extract and table, and the seconds that took.
+
+    Reading, repairing and routing happen as part of the write, so the seconds are those of all three.
+    """
+    return _of_installed(spark, root, "InstallTimes")
+
+
+def _of_installed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    log_lines = store.read_control(spark, root, "InstalledExtracts").select(VERSION)
+    return store.read_control(spark, root, name).join(log_lines, VERSION, "left_semi")
+
+
 def _is_installed(spark: SparkSession, root: str, staged: Row) -> bool:
     """Whether the log has an extract of the same name."""
     installed = store.read_control(spark, root, "InstalledExtracts")
@@ -358,18 +386,19 @@ def _check_files(tables: Mapping[str, DataFrame]) -> None:
         raise ExtractError("; ".join(problems))
 
 
-def _check_rows(tables: Mapping[str, DataFrame], several: Collection[str]) -> None:
+def _check_rows(tables: Mapping[str, DataFrame], several: Collection[str]) -> dict[str, int]:
     """Count the rows with each flag; all tables in one job over the flag columns alone.
 
-    Tables of ``several`` files have a closing quote in each; those are counted by file elsewhere.
+    Returns the rows per table. Tables of ``several`` files have a closing quote in each; those are counted by file elsewhere.
     """
     frames = [df.select(F.lit(name).alias("t"), *FLAGS) for name, df in tables.items()]
     counts = reduce(DataFrame.unionByName, frames).groupBy("t").agg(
         F.count("*").alias("n"), *[F.count_if(f).alias(f) for f in FLAGS]
     )
-    problems = []
+    problems, held = [], {}
     for row in counts.orderBy("t").collect():
         log.info("%s: %d row(s)", row.t, row.n)
+        held[row.t] = row.n
         if row[REPEATED]:
             problems.append(f"{row.t}: a header appears among the rows")
         if row[RAGGED]:
@@ -382,6 +411,7 @@ def _check_rows(tables: Mapping[str, DataFrame], several: Collection[str]) -> No
             problems.append(f"{row.t}: more than one row contains a trailing quote")
     if problems:
         raise ExtractError("; ".join(problems))
+    return held
 
 
 def _check_complete(read: Mapping[str, DataFrame], counts: DataFrame) -> None:
@@ -475,7 +505,10 @@ def _staged_rows(
     }, {name for name, path in files.items() if is_folder(spark, path)}
 
 
-def _write(rows: DataFrame, root: str, table: Table, extract: int) -> None:
+def _write(rows: DataFrame, root: str, table: Table, extract: int) -> float:
+    """Write a table; returns the seconds it took."""
     start = time.monotonic()
     store.write_extract(rows.drop(FILE), root, table, extract)
-    log.info("%s: written in %.1fs", table.name, time.monotonic() - start)
+    seconds = time.monotonic() - start
+    log.info("%s: written in %.1fs", table.name, seconds)
+    return seconds

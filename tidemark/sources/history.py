@@ -48,8 +48,17 @@ CONTROL = {
         "ForeignKeyId int, scope string, Value string, Count long, ExtractId int"
     ),
     "CheckedExtracts": "ExtractId int, Collation string",
+    "CodeCounts": (
+        "TableName string, practice string, CodeId string, MostRecentDate timestamp_ntz, CodeCount long"
+    ),
+    "CountedExtracts": "TableName string, ExtractId int",
+    "InstallCounts": "ExtractId int, TableName string, practice string, Rows long",
+    "InstallTimes": "ExtractId int, TableName string, Rows long, Seconds double",
+}
+SMALL = {
+    "StagedExtract", "InstalledExtracts", "TableLayout", "SavedStates", "CheckedExtracts",
+    "CountedExtracts", "InstallTimes",
 }
-SMALL = {"StagedExtract", "InstalledExtracts", "TableLayout", "SavedStates", "CheckedExtracts"}
 _SNAPSHOT = [("AsOfExtract", T.IntegerType()), ("Revision", T.IntegerType())]
 
 
@@ -79,13 +88,13 @@ def append_control(df: DataFrame, root: str, name: str) -> None:
     _conformed(df, name).write.mode("append").parquet(control_path(root, name))
 
 
-def write_batch(df: DataFrame, root: str, name: str, batch: int) -> None:
+def write_batch(df: DataFrame, root: str, name: str, batch: int | str) -> None:
     """Add a batch of rows, replacing what an earlier attempt at the same batch left."""
     path = f"{control_path(root, name)}/Batch={batch}"
     _conformed(df, name).write.mode("overwrite").parquet(path)
 
 
-def read_batch(spark: SparkSession, root: str, name: str, batch: int) -> DataFrame:
+def read_batch(spark: SparkSession, root: str, name: str, batch: int | str) -> DataFrame:
     """The rows of one batch, listed or not."""
     schema = T.StructType.fromDDL(CONTROL[name])
     return _read(spark, f"{control_path(root, name)}/Batch={batch}", schema)
