@@ -10,6 +10,7 @@ in words and spaces; what separates words (all ASCII but letters and digits) doe
 
 from __future__ import annotations
 
+import re
 from string import ascii_lowercase, ascii_uppercase
 from typing import NamedTuple
 
@@ -42,9 +43,12 @@ FAMILIES = {
     "agpl": ("affero", "(?:gnu )?affero general public license", "gnu affero gpl"),
     "mpl-1": ("mozilla", "mozilla public license(?: version| ver| v)? v?1(?: [01])?", "mozilla 1 [01]"),
     "mpl-2": ("mozilla", "mozilla public license(?: version| ver| v)? v?2(?: 0)?", "mozilla 2 0"),
-    "mpl": ("mpl", "mpl(?: version| ver| v)?(?: v?[12](?: [01])?)?", "mpl [12] [01]"),
+    "mpl-1 short": ("mpl", "mpl(?: version| ver| v)? v?1(?: [01])?", "mpl 1 [01]"),
+    "mpl-2 short": ("mpl", "mpl(?: version| ver| v)? v?2(?: 0)?", "mpl 2 0"),
+    "mpl": ("mpl", "mpl", "mpl"),
     "bsd-2": ("bsd", "(?:bsd(?: 2| two) clause|(?:simplified|freebsd) bsd)", "bsd 2 clause"),
     "bsd-3": ("bsd", "(?:bsd(?: 3| three) clause|(?:new|revised|modified) bsd)", "bsd 3 clause"),
+    "bsd-3-clear": ("bsd", "bsd(?: 3| three) clause clear", "bsd 3 clause clear"),
     "bsd-4": ("bsd", "(?:bsd(?: 4| four) clause|original bsd)", "bsd 4 clause"),
     "isc": ("isc", "isc", "isc"),
     "zlib": ("zlib", "zlib(?: libpng)?", "zlib"),
@@ -55,11 +59,19 @@ FAMILIES = {
     "cc-by-nd": ("cc", "cc by nd(?: [1234] [05])?", "cc by nd [1234] [05]"),
     "cc-by-nc-sa": ("cc", "cc by nc sa(?: [1234] [05])?", "cc by nc sa [1234] [05]"),
     "cc-by-nc-nd": ("cc", "cc by nc nd(?: [1234] [05])?", "cc by nc nd [1234] [05]"),
-    "creative-commons": ("commons", "creative commons(?: attribution)?(?: noncommercial| non commercial)?(?: share ?alike)?", "creative commons"),
+    "cc-by-long": ("commons", "creative commons attribution(?: [1234] [05])?(?: international| unported| generic)?", ""),
+    "cc-by-sa-long": ("commons", "creative commons attribution share ?alike(?: [1234] [05])?(?: international| unported| generic)?", ""),
+    "cc-by-nd-long": ("commons", "creative commons attribution no ?deriv(?:ative)?s(?: [1234] [05])?(?: international| unported| generic)?", ""),
+    "cc-by-nc-long": ("commons", "creative commons attribution non ?commercial(?: [1234] [05])?(?: international| unported| generic)?", ""),
+    "cc-by-nc-sa-long": ("commons", "creative commons attribution non ?commercial share ?alike(?: [1234] [05])?(?: international| unported| generic)?", ""),
+    "cc-by-nc-nd-long": ("commons", "creative commons attribution non ?commercial no ?deriv(?:ative)?s(?: [1234] [05])?(?: international| unported| generic)?", ""),
+    "creative-commons": ("commons", "creative commons", "creative commons"),
     "unlicense": ("unlicense", "unlicense", "unlicense"),
     "wtfpl": ("wtfpl", "wtfpl(?: version| ver| v)?(?: v?2)?", "wtfpl"),
     "epl-1": ("eclipse", "eclipse public license(?: version| ver| v)? v?1(?: 0)?", "eclipse 1 0"),
     "epl-2": ("eclipse", "eclipse public license(?: version| ver| v)? v?2(?: 0)?", "eclipse 2 0"),
+    "epl-1 short": ("epl", "epl(?: version| ver| v)? v?1(?: 0)?", "epl 1 0"),
+    "epl-2 short": ("epl", "epl(?: version| ver| v)? v?2(?: 0)?", "epl 2 0"),
     "cddl": ("cddl", "cddl(?: version| ver| v)?(?: v?1 [01])?", "cddl 1 [01]"),
     "eupl": ("eupl", "eupl(?: version| ver| v)?(?: v?1 [0-2])?", "eupl 1 [0-2]"),
     "artistic": ("artistic", "artistic(?: license)?(?: version| ver| v)?(?: v?[12](?: 0)?)?", "artistic [12] 0"),
@@ -98,7 +110,7 @@ UNVERSIONED = {
 }
 
 #: Families whose name alone, without a word like "license" or "under" beside it, says that it is a licence.
-ALONE = ("gpl", "lgpl", "agpl", "mpl-1", "mpl-2", "mpl-long", "epl", "bsd-2", "bsd-3", "bsd-4")
+ALONE = ("gpl", "lgpl", "agpl", "mpl-1", "mpl-2", "mpl-long", "epl", "bsd-2", "bsd-3", "bsd-4", "cc-by", "unlicense")
 NOT_ALONE = ("apache", "bsd", "mpl")
 
 #: Priority and pattern of the ways to name a licence; {name} and {short} are a family's.
@@ -112,6 +124,9 @@ WAYS = (
 )
 BY_NAME = (55, "{name}")
 
+#: A further licence of a list that such a way, or an identifier, begins: "MIT OR Apache-2.0", "under GPL and MIT".
+FURTHER = (88, "(?:or|and) (?:the )?{either}(?: license)?(?<= (?:licensed under|spdx license identifier) [a-z0-9 ]{1,64})")
+
 #: Rules of their own: keyword, label, priority, pattern.
 OTHERS = (
     ("apache", "apache-2", 75, "apache license version 2(?: 0)?(?: january 2004)?"),
@@ -122,6 +137,7 @@ OTHERS = (
     ("foundation", "lgpl-2", 75, "gnu lesser general public license as published by the free software foundation (?:either )?version 2(?: 1)?"),
     ("foundation", "lgpl-3", 75, "gnu lesser general public license as published by the free software foundation (?:either )?version 3"),
     ("foundation", "agpl-3", 75, "gnu affero general public license as published by the free software foundation (?:either )?version 3"),
+    ("apache", "apache-2", 55, "apache 2 0(?! [0-9])"),
     ("cc", "cc-by-nc", 75, "cc by nc"),
     ("cc", "cc-by", 40, "cc by"),
     ("merchantability", "warranty-disclaimer", 50, "without (?:any )?warranty (?:of )?(?:merchantability|fitness)"),
@@ -134,7 +150,7 @@ OTHERS = (
 )
 
 #: Words of the longest match of any rule.
-LONGEST = 18
+LONGEST = 20
 UPPER, LOWER = ascii_uppercase, ascii_lowercase
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -154,8 +170,13 @@ def rules() -> list[Rule]:
         for key, (keyword, name, short) in families.items():
             label = key.removesuffix("-long").split(" ")[0]
             alone = key.startswith(ALONE) and key not in NOT_ALONE
-            for priority, way in (*WAYS, BY_NAME) if alone else WAYS:
-                out.append((priority // halved, label, keyword if "{name}" in way else "spdx", way.format(name=name, short=short)))
+            either = f"(?:{name}|{short})" if re.search(rf"\b{keyword}\b", short) else name
+            for priority, way in (*WAYS, FURTHER, BY_NAME) if alone else (*WAYS, FURTHER):
+                if "{short}" in way and not short:
+                    continue
+                # Not by format(): patterns have braces of their own.
+                pattern = way.replace("{name}", name).replace("{short}", short).replace("{either}", either)
+                out.append((priority // halved, label, "spdx" if "{short}" in way else keyword, pattern))
     out += [(priority, label, keyword, pattern) for keyword, label, priority, pattern in OTHERS]
     return [Rule(i, p, label, keyword, f"(?<= )(?:{pattern})(?= )") for i, (p, label, keyword, pattern) in enumerate(out)]
 
