@@ -155,6 +155,37 @@ def _pivot() -> str:
         from spine s left join errs e on s."ForeignKeyId" = e."ForeignKeyId" group by {FK_COLUMNS}"""
 
 
+def _pivot_text() -> str:
+    def count(run: str) -> str:
+        return f'max(case when e."RunId" = {run}."RunId" then e."Count" end)'
+
+    names = FK_COLUMNS.replace('"', "").replace(", ", "\t")
+    return f"""with {TWO_GROUPS}, cells as (
+            select {FK_COLUMNS}, r2."RunId", {changed(count('r2'), count('r1'))} as cell
+            from spine s join r2 on true join r1 on r1."PracticeDBName" = r2."PracticeDBName"
+            left join errs e on e."ForeignKeyId" = s."ForeignKeyId"
+            group by {FK_COLUMNS}, r2."RunId", r1."RunId"),
+        written as (
+            select 1 as part, {FK_COLUMNS}, concat_ws('\t', {FK_COLUMNS},
+                   string_agg(cell, '\t' order by "RunId")) as line
+            from cells group by {FK_COLUMNS}
+            union all
+            select 0, '', '', '', '', '', '{names}\t' || string_agg('CDB' || "CDB" || '-Ext5', '\t'
+                   order by "RunId") from r2)
+        select cast(row_number() over (order by part, {FK_COLUMNS}) - 1 as int) as "LineId",
+               line as "Line" from written"""
+
+
+def _totals_by_extract() -> str:
+    return f"with {TABLES}, " + ", ".join(
+        f"o{e} as ({orphan_rows(bound=e)})" for e in range(1, 8)
+    ) + " " + " union all ".join(
+        f"""select "ForeignKeyId", scope, count(*) as "Count",
+            count(distinct "Value") as "DistinctCount", {e} as "AsOfExtract" from o{e} group by all"""
+        for e in range(1, 8)
+    )
+
+
 def _report() -> str:
     dashes = "-" * 52
     rows = f"""{TABLES}, {FK_TABLE}, o as ({orphan_rows(5)}), r as ({runs(5, 1, 1)}),
@@ -399,13 +430,8 @@ ORACLE = {
         where not exists (select 1 from labels l where l.doc_id = d.doc_id)""",
     "fk_all": f"""with {TABLES}, o as ({orphan_rows()}) select "ForeignKeyId", scope,
         count(*) as "Count", count(distinct "Value") as "DistinctCount" from o group by all""",
-    "fk_by_extract": f"with {TABLES}, " + ", ".join(
-        f"o{e} as ({orphan_rows(bound=e)})" for e in range(1, 8)
-    ) + " " + " union all ".join(
-        f"""select "ForeignKeyId", scope, count(*) as "Count",
-            count(distinct "Value") as "DistinctCount", {e} as "AsOfExtract" from o{e} group by all"""
-        for e in range(1, 8)
-    ),
+    "fk_by_extract": _totals_by_extract(),
+    "fk_totals_at": _totals_by_extract(),
     "fk_values": f"""with {TABLES}, o as ({orphan_rows()}) select "ForeignKeyId", scope, "Value",
         count(*) as "Count" from o group by all""",
     "fk_samples": f"""with {TABLES}, o as (select distinct * from ({orphan_rows()}))
@@ -431,6 +457,7 @@ ORACLE = {
         from spine s left join errs e on s."ForeignKeyId" = e."ForeignKeyId"
         group by {FK_COLUMNS}""",
     "fk_result_pivot": _pivot(),
+    "fk_result_text": _pivot_text(),
     "fk_result_history": f"""with {TWO_GROUPS} select {FK_COLUMNS},
         cast(coalesce(max(case when e."RunId" in (select "RunId" from r1 where "CDB" = 7)
             then "DistinctCount" end), 0) as varchar) as "NATION_7-Ext3",

@@ -251,9 +251,28 @@ def _runs(spark, folder, extract, first_run, group):
 
 
 def _two_groups(spark, folder):
-    first, errors1, _ = _runs(spark, folder, 3, 1, 1)
-    second, errors2, _ = _runs(spark, folder, 5, 101, 2)
-    return first.unionByName(second), written_once(errors1.unionByName(errors2), "errors")
+    """Two groups of runs, as of extracts 3 and 5, from one check of the history."""
+    values = integrity.orphan_values(s.histories(spark, folder), s.REGISTRY, by_extract=True)
+    totals = written_once(integrity.orphan_totals_at(values, [3, 5]), "totals")
+    about = s.practices(spark, folder)
+    groups = [
+        (extract, plan_runs(about, extract, first, group, NOW)[0])
+        for extract, first, group in ((3, 1, 1), (5, 101, 2))
+    ]
+    errors = reduce(DataFrame.unionByName, [
+        per_run(runs, totals.where(F.col("AsOfExtract") == extract).drop("AsOfExtract"))
+        for extract, runs in groups
+    ])
+    return (
+        reduce(DataFrame.unionByName, [runs for _, runs in groups]), written_once(errors, "errors")
+    )
+
+
+@query
+def fk_totals_at(spark, folder):
+    """The totals as of each of seven extracts from one check of the whole history."""
+    values = integrity.orphan_values(s.histories(spark, folder), s.REGISTRY, by_extract=True)
+    return integrity.orphan_totals_at(values, range(1, 8))
 
 
 @query
@@ -281,6 +300,18 @@ def fk_result_pivot(spark, folder):
     return results.fk_results(errors, s.REGISTRY.foreign_key_frame(spark), selected)
 
 
+@query
+def fk_result_text(spark, folder):
+    """The same report as lines of text, its columns cells of a list."""
+    runs, errors = _two_groups(spark, folder)
+    selected = results.select_runs(
+        runs.drop("PracticeName", "ODSCode"), s.practices(spark, folder),
+        group=2, comparison_group=1,
+    )
+    listed = results.fk_results_listed(errors, s.REGISTRY.foreign_key_frame(spark), selected)
+    return results.report_text(listed, selected)
+
+
 @query
 def fk_result_history(spark, folder):
     """All runs of one practice side by side, distinct counts, headed by name."""

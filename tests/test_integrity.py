@@ -193,3 +193,24 @@ def test_a_popular_missing_code_is_split(spark, small_skew, final_plan):
     assert "skew=true" in plan
     popular = values.where("Value = 'popular'")
     assert popular.count() == 2000 and popular.agg(F.sum("Count")).first()[0] == 40000
+
+
+def test_totals_at_several_extracts_from_one_check(spark):
+    tables = data(3)
+    given = frames(spark, *tables)
+    values = integrity.orphan_values(given, REGISTRY, by_extract=True)
+    got = {
+        tuple(r) for r in integrity.orphan_totals_at(values, [4, 1, 3])
+        .select("AsOfExtract", "ForeignKeyId", "scope", "Count", "DistinctCount").collect()
+    }
+    expected = set()
+    for bound in (4, 1, 3):
+        found = brute(*tables, bound=bound)
+        for key, scope in {(k, s) for k, s, _ in found}:
+            counts = [n for (k, s, _), n in found.items() if (k, s) == (key, scope)]
+            expected.add((bound, key, scope, sum(counts), len(counts)))
+    assert got == expected and len({r[0] for r in got}) > 1
+    with pytest.raises(ValueError):
+        integrity.orphan_values(given, REGISTRY, by_extract=True, in_order=False)
+    with pytest.raises(ValueError):
+        integrity.orphan_totals_at(values, [])

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import results
 from tidemark.registry import COMMON, PRACTICE, ForeignKey, Registry, Table
@@ -85,3 +86,40 @@ def test_nothing_selected(errors, keys, runs, practices):
     assert results.fk_results(errors, keys, selected).count() == 3
     with pytest.raises(ValueError):
         results.select_runs(runs, practices)
+
+
+def test_twenty_thousand_runs(keys, spark):
+    """The plan does not know how many runs there are; every cell is where its run is."""
+    n = 20000
+    selected = spark.range(1, n + 1, 1, 8).select(
+        (F.col("id") + n).cast("int").alias("RunId"),
+        F.when(F.col("id") % 2 == 0, F.col("id")).cast("int").alias("ComparisonRunId"),
+        F.concat(F.lit("run "), F.col("id")).alias("Header"), F.col("id").cast("int").alias("OrderBy"),
+    )
+    errors = spark.range(1, 2 * n + 1, 1, 8).select(
+        F.col("id").cast("int").alias("RunId"), F.explode(F.array(F.lit(1), F.lit(2))).alias("ForeignKeyId"),
+        (F.col("id") % 7).alias("Count"), F.lit(1).alias("DistinctCount"),
+    ).where("ForeignKeyId = 1 or RunId % 5 = 0")
+    listed = results.fk_results_listed(errors, keys, selected)
+    cells = {r.FromColumn: r.Cells for r in listed.collect()}
+
+    def cell(key, i):
+        now, then = ((run % 7 if key == 1 or run % 5 == 0 else 0) for run in (i + n, i))
+        change = now - then
+        return str(now) + (f"  ({change:+d})" if i % 2 == 0 and change else "")
+
+    assert cells == {
+        name: [cell(key, i) for i in range(1, n + 1)] for key, name in ((1, "a"), (2, "b"))
+    }
+    lines = [r.Line.split("\t") for r in results.report_text(listed, selected).orderBy("LineId").collect()]
+    assert [len(line) for line in lines] == [n + 5] * 3
+    assert lines[0][:7] == [*results.FK_COLUMNS, "run 1", "run 2"] and lines[2][5:] == cells["b"]
+
+
+def test_listed_without_errors_or_runs(errors, keys, runs, practices, rows):
+    none = results.select_runs(runs, practices, cdb=99)
+    listed = results.fk_results_listed(errors, keys, none)
+    assert rows(listed, "FromColumn", "Cells") == [("a", []), ("b", []), ("d", [])]
+    assert results.fk_results_listed(errors.limit(0), keys, none).collect() == []
+    [header, *_] = results.report_text(listed, none).orderBy("LineId").collect()
+    assert header.Line.split("\t") == results.FK_COLUMNS

@@ -95,13 +95,18 @@ def orphan_values(
     *,
     bound: int | None = None,
     in_order: bool = True,
+    by_extract: bool = False,
     collation: str | None = None,
 ) -> DataFrame:
     """Every declared foreign key at once: ``ForeignKeyId, scope, Value, Count``.
 
     ``scope`` is the practice of the child rows, or ``'*'`` for common tables. Each table is read
-    twice for all its foreign keys and once for each column that keys point at.
+    twice for all its foreign keys and once for each column that keys point at. ``by_extract`` counts the
+    orphans of every extract apart (``ExtractId``); since a parent that comes later never helps, those up
+    to an extract are the outcome as of it: one check answers every bound, see :func:`orphan_totals_at`.
     """
+    if by_extract and not in_order:
+        raise ValueError("without the order of arrival, an earlier outcome is not part of a later one")
     plan = _KeyPlan.of(registry, tables)
     children = _union(
         _child_values(tables[name], plan.children(name), bound, collation)
@@ -111,7 +116,7 @@ def orphan_values(
         _first_seen(tables[table], column, n, bound, collation)
         for n, (table, column) in enumerate(plan.targets)
     )
-    return _unmet(children, parents, plan, in_order, collation)
+    return _unmet(children, parents, plan, in_order, collation, by_extract)
 
 
 @dataclass(frozen=True)
@@ -139,7 +144,12 @@ class _KeyPlan:
 
 
 def _unmet(
-    children: DataFrame, parents: DataFrame, plan: _KeyPlan, in_order: bool, collation: str | None
+    children: DataFrame,
+    parents: DataFrame,
+    plan: _KeyPlan,
+    in_order: bool,
+    collation: str | None,
+    by_extract: bool = False,
 ) -> DataFrame:
     """The child values (``_fk, scope, Value, ExtractId, _n``) that no parent meets in time.
 
@@ -189,7 +199,8 @@ def _unmet(
         & (F.col("Value") == F.col("_value")),
     ).where(unmet)
     totals = found.groupBy(
-        plan.per_key([fk.id for fk in plan.keys]).alias("ForeignKeyId"), "scope", "Value"
+        plan.per_key([fk.id for fk in plan.keys]).alias("ForeignKeyId"),
+        "scope", "Value", *([VERSION] if by_extract else []),
     ).agg(F.sum("_n").alias("Count"))
     return totals.withColumn("Value", F.collate("Value", "UTF8_BINARY")) if collation else totals
 
@@ -201,6 +212,32 @@ def orphan_totals(values: DataFrame) -> DataFrame:
     )
 
 
+def orphan_totals_at(values: DataFrame, bounds: Sequence[int]) -> DataFrame:
+    """The totals as of each of several extracts, ``AsOfExtract`` telling which, in one pass.
+
+    ``values`` are :func:`orphan_values` counted by extract. A value has one row from here on: its count up
+    to each bound; a value counts as distinct where that is not zero.
+    """
+    if not bounds:
+        raise ValueError("give at least one extract")
+    upto = [
+        F.sum(F.when(F.col(VERSION) <= b, F.col("Count"))).alias(f"_n{i}")
+        for i, b in enumerate(bounds)
+    ]
+    per_value = values.groupBy("ForeignKeyId", "scope", "Value").agg(*upto)
+    totals = per_value.groupBy("ForeignKeyId", "scope").agg(
+        *[
+            F.struct(
+                F.lit(b).alias("AsOfExtract"), F.sum(f"_n{i}").alias("Count"),
+                F.count(f"_n{i}").alias("DistinctCount"),
+            ).alias(f"_t{i}")
+            for i, b in enumerate(bounds)
+        ]
+    )
+    listed = F.array(*[f"_t{i}" for i in range(len(bounds))])
+    return totals.select("ForeignKeyId", "scope", F.inline(listed)).where("DistinctCount > 0")
+
+
 def orphan_values_as_of(
     tables: Mapping[str, DataFrame],
     registry: Registry,

@@ -105,45 +105,105 @@ def select_runs(
     )
 
 
-def fk_results(
-    errors: DataFrame, foreign_keys: DataFrame, selected: DataFrame, *, distinct: bool = False
+def fk_result_cells(
+    errors: DataFrame, selected: DataFrame, *, distinct: bool = False
 ) -> DataFrame:
-    """The report: one row per key that ever failed, one column per selected run, in run order.
+    """``ForeignKeyId, OrderBy, Cell``: what a report shows where a run or the one it is compared with failed.
 
-    The counts of the selected runs and of the runs they are compared with are pivoted once; keys
-    without errors in a run come back from the list of failed keys as ``0``.
+    The report in its long form, without the cells that say ``0``; any number of runs.
     """
-    columns = [
-        (r.Header, r.ComparisonRunId is not None)
-        for r in selected.orderBy("OrderBy").select("Header", "ComparisonRunId").collect()
-    ]
-    rows = failed_keys(errors, foreign_keys)
-    if not columns:
-        return rows.select(*FK_COLUMNS).orderBy(*FK_COLUMNS)
     measure = F.col("DistinctCount" if distinct else "Count").cast("long")
 
     def counts(run: str, now: Column, then: Column) -> DataFrame:
         by_run = errors.select(F.col("RunId").alias(run), "ForeignKeyId", measure.alias("_n"))
-        return selected.select(run, "Header").join(by_run, run).select(
-            "ForeignKeyId", "Header", now.alias("_now"), then.alias("_then")
+        chosen = selected.select(run, "OrderBy", F.col("ComparisonRunId").alias("_compared"))
+        return chosen.join(by_run, run).select(
+            "ForeignKeyId", "OrderBy", F.col("_compared").isNotNull().alias("_compared"),
+            now.alias("_now"), then.alias("_then"),
         )
 
     nothing = F.lit(0).cast("long")
-    cells = counts("RunId", F.col("_n"), nothing).unionByName(
+    both = counts("RunId", F.col("_n"), nothing).unionByName(
         counts("ComparisonRunId", nothing, F.col("_n"))
     )
-    wide = (
-        cells.groupBy("ForeignKeyId")
-        .pivot("Header", [header for header, _ in columns])
-        .agg(F.sum("_now").alias("now"), F.sum("_then").alias("then"))
+    summed = both.groupBy("ForeignKeyId", "OrderBy", "_compared").agg(
+        F.sum("_now").alias("_now"), F.sum("_then").alias("_then")
     )
+    now, then = F.col("_now"), F.col("_then")
+    cell = F.when(F.col("_compared"), with_change(now, then)).otherwise(with_change(now, None))
+    return summed.select("ForeignKeyId", "OrderBy", cell.alias("Cell"))
 
-    def cell(header: str, compared: bool) -> Column:
-        then = F.col(f"`{header}_then`") if compared else None
-        return with_change(F.col(f"`{header}_now`"), then).alias(header)
 
+def fk_results_listed(
+    errors: DataFrame,
+    foreign_keys: DataFrame,
+    selected: DataFrame,
+    *,
+    distinct: bool = False,
+    length: int | None = None,
+) -> DataFrame:
+    """The report with all runs in one column: one row per key that ever failed, ``Cells`` in run order.
+
+    ``length`` is the number of runs, counted if it is not given. The cells of a key are sorted once and
+    the runs between them filled with ``0``: the work grows with the cells, the plan not at all. A row
+    holds one cell per run, as a line of the report does.
+    """
+    length = selected.count() if length is None else length
+    cells = (
+        fk_result_cells(errors, selected, distinct=distinct)
+        .groupBy("ForeignKeyId")
+        .agg(F.array_sort(F.collect_list(F.struct("OrderBy", "Cell"))).alias("_found"))
+    )
+    # One more entry behind the last run closes the row; it is cut off again.
+    end = F.struct(F.lit(length + 1).alias("OrderBy"), F.lit("").alias("Cell"))
+    found = F.concat(F.coalesce("_found", F.array().cast(FOUND)), F.array(end))
+    filled = F.transform(
+        "_closed",
+        lambda entry, i: F.concat(
+            F.array_repeat(
+                F.lit("0"),
+                entry["OrderBy"] - F.when(i > 0, F.get("_closed", i - 1)["OrderBy"]).otherwise(0) - 1,
+            ),
+            F.array(entry["Cell"]),
+        ),
+    )
     return (
-        rows.join(wide, "ForeignKeyId", "left")
-        .select(*FK_COLUMNS, *[cell(*column) for column in columns])
-        .orderBy(*FK_COLUMNS)
+        failed_keys(errors, foreign_keys)
+        .join(cells, "ForeignKeyId", "left")
+        .withColumn("_closed", found)
+        .select(*FK_COLUMNS, F.slice(F.flatten(filled), 1, length).alias("Cells"))
+    )
+
+
+FOUND = "array<struct<OrderBy:int,Cell:string>>"
+
+
+def fk_results(
+    errors: DataFrame, foreign_keys: DataFrame, selected: DataFrame, *, distinct: bool = False
+) -> DataFrame:
+    """The report: one row per key that ever failed, one column per selected run, in run order.
+
+    Columns are made last, from the listed cells; a frame of more than a few thousand columns is slow to
+    plan, whatever is in it. Use :func:`fk_results_listed` or :func:`report_text` there.
+    """
+    headers = [r.Header for r in selected.orderBy("OrderBy").select("Header").collect()]
+    rows = fk_results_listed(
+        errors, foreign_keys, selected, distinct=distinct, length=len(headers)
+    )
+    columns = [F.get("Cells", F.lit(i)).alias(header) for i, header in enumerate(headers)]
+    return rows.select(*FK_COLUMNS, *columns).orderBy(*FK_COLUMNS)
+
+
+def report_text(listed: DataFrame, selected: DataFrame, separator: str = "\t") -> DataFrame:
+    """The report as lines (``LineId, Line``), the headers first: for a file, with any number of runs."""
+    headers = selected.agg(
+        F.array_sort(F.collect_list(F.struct("OrderBy", "Header")))["Header"].alias("Cells")
+    ).select(*[F.lit(c).alias(c) for c in FK_COLUMNS], "Cells", F.lit(0).alias("_part"))
+    lines = headers.unionByName(listed.withColumn("_part", F.lit(1)))
+    # One row per foreign key of the registry.
+    order = Window.orderBy("_part", *FK_COLUMNS)
+    cells = F.concat(F.array(*FK_COLUMNS), F.col("Cells"))
+    return lines.select(
+        (F.row_number().over(order) - 1).alias("LineId"),
+        F.array_join(cells, separator, "").alias("Line"),
     )
