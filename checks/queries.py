@@ -252,20 +252,14 @@ def _runs(spark, folder, extract, first_run, group):
 
 def _two_groups(spark, folder):
     """Two groups of runs, as of extracts 3 and 5, from one check of the history."""
-    values = integrity.orphan_values(s.histories(spark, folder), s.REGISTRY, by_extract=True)
-    totals = written_once(integrity.orphan_totals_at(values, [3, 5]), "totals")
-    about = s.practices(spark, folder)
-    groups = [
-        (extract, plan_runs(about, extract, first, group, NOW)[0])
-        for extract, first, group in ((3, 1, 1), (5, 101, 2))
-    ]
-    errors = reduce(DataFrame.unionByName, [
-        per_run(runs, totals.where(F.col("AsOfExtract") == extract).drop("AsOfExtract"))
-        for extract, runs in groups
-    ])
-    return (
-        reduce(DataFrame.unionByName, [runs for _, runs in groups]), written_once(errors, "errors")
+    values = integrity.orphan_values(
+        s.histories(spark, folder), s.REGISTRY, bound=5, by_extract=True
     )
+    about = s.practices(spark, folder)
+    first, second = plan_runs(about, 3, 1, 1, NOW)[0], plan_runs(about, 5, 101, 2, NOW)[0]
+    runs = first.unionByName(second)
+    errors = per_run(runs, integrity.orphan_totals_at(values, [3, 5]))
+    return runs, written_once(errors, "errors")
 
 
 @query

@@ -64,10 +64,14 @@ def plan_runs(
 
 
 def per_run(runs: DataFrame, by_scope: DataFrame) -> DataFrame:
-    """Outcomes by scope as outcomes by run: each run sees its practice and the common tables."""
+    """Outcomes by scope as outcomes by run: each run sees its practice and the common tables.
+
+    If the outcomes tell their extract (``AsOfExtract``), each run sees those as of its own.
+    """
     both = F.array("PracticeDBName", F.lit(EVERYWHERE))
-    scopes = runs.select("RunId", F.explode(both).alias("scope"))
-    return scopes.join(by_scope, "scope").drop("scope")
+    scopes = runs.select("RunId", F.col(VERSION).alias("AsOfExtract"), F.explode(both).alias("scope"))
+    same = [c for c in ("scope", "AsOfExtract") if c in by_scope.columns]
+    return scopes.select("RunId", *same).join(by_scope, same).drop("scope", "AsOfExtract")
 
 
 def check_new_extracts(
