@@ -39,6 +39,7 @@ CONTROL = {
     ),
     "TableLayout": "TableName string, Position int, ColumnName string",
     "SavedStates": "TableName string, AsOfExtract int",
+    "ClusteredHistories": "TableName string, AsOfExtract int",
     "Run": "RunId int, PracticeDBName string, ExtractId int, RunDate timestamp_ntz, RunGroupId int",
     "RunText": "RunId int, LineId int, Line string",
     "OrphanValues": "ForeignKeyId int, scope string, Value string, Count long",
@@ -57,7 +58,7 @@ CONTROL = {
 }
 SMALL = {
     "StagedExtract", "InstalledExtracts", "TableLayout", "SavedStates", "CheckedExtracts",
-    "CountedExtracts", "InstallTimes",
+    "CountedExtracts", "InstallTimes", "ClusteredHistories",
 }
 _SNAPSHOT = [("AsOfExtract", T.IntegerType()), ("Revision", T.IntegerType())]
 
