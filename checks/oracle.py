@@ -398,6 +398,13 @@ ORACLE = {
         where "Deleted" = 'false'""",
     "current_view": f"""with {TABLES} select {LINE_COLUMNS}
         from {latest('lines', LINE_KEYS, None)} where "Deleted" = 'false'""",
+    "as_of_points": f"""with {TABLES},
+        wanted as (
+            (select o_orderkey from orders order by o_totalprice, o_orderkey limit 1) union
+            (select o_orderkey from orders order by o_totalprice desc, o_orderkey desc limit 1))
+        """ + " union all ".join(
+            f"""select {LINE_COLUMNS}, {n} as "AsOfExtract" from {latest('lines', LINE_KEYS, n)}
+            where "Deleted" = 'false' and l_orderkey in (from wanted)""" for n in (4, 7)),
     "as_of_by_practice": f"""with {TABLES} select {LINE_COLUMNS}, practice
         from {latest('supplier_lines', PRACTICE_LINE_KEYS, 5)} where "Deleted" = 'false'""",
     "as_of_keyless": """select event_id, user_id, event_type, value,
@@ -458,6 +465,11 @@ ORACLE = {
         group by {FK_COLUMNS}""",
     "fk_result_pivot": _pivot(),
     "fk_result_text": _pivot_text(),
+    "fk_distinct_merged": f"with {TABLES}, o3 as ({orphan_rows(bound=3)}), o7 as ({orphan_rows(bound=7)}) "
+        + " union all ".join(
+            f"""select "ForeignKeyId", n_regionkey, count(distinct "Value") as "DistinctCount",
+                {e} as "AsOfExtract" from o{e} left join nation on scope = 'Nation' || n_nationkey
+            group by all""" for e in (3, 7)),
     "fk_result_history": f"""with {TWO_GROUPS} select {FK_COLUMNS},
         cast(coalesce(max(case when e."RunId" in (select "RunId" from r1 where "CDB" = 7)
             then "DistinctCount" end), 0) as varchar) as "NATION_7-Ext3",

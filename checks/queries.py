@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import jobs, standins as s
 from tidemark.functions.names import with_parsed_name
 from tidemark.functions.text import has_trailing_quote, listed, split_rows, without_trailing_quote
-from tidemark.operators import analytics, code_state, integrity, intervals, results, routing
+from tidemark.operators import analytics, bitmaps, code_state, integrity, intervals, results, routing
 from tidemark.operators import standing, tenants, versioned
 from tidemark.operators.constraints import Check, NotNull, Reference, Unique, check_constraints
 from tidemark.operators.report import report_lines
 from tidemark.plans.validate import per_run, plan_runs
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table
 from tidemark.sources import quoted_text
+from tidemark.sources.clustered import read_keys, write_clustered
 from tidemark.sources.history import save_bucketed
 from tidemark.sources.shared import scratch_folder, written_once
 from tidemark.sources.views import register_views
@@ -81,6 +82,23 @@ def as_of_bucketed(spark, folder):
     return versioned.as_of(spark.table(name), s.LINEITEM, 4, in_place=True)
 
 
+@query
+def as_of_points(spark, folder):
+    """The dearest and the cheapest order, as of two extracts, from a copy clustered by key."""
+    price = F.struct("o_totalprice", "o_orderkey")
+    first, last = s.given(spark, folder, "orders").agg(
+        F.min_by("o_orderkey", price), F.max_by("o_orderkey", price)
+    ).first()
+    history, path = s.lineitem(spark, folder), scratch_folder(spark, "clustered")
+    write_clustered(history, s.LINEITEM.keys, path, files=128)
+    wanted = [(key,) for key in (first, last) if key is not None]
+    rows = read_keys(spark, path, history.schema, s.LINEITEM.keys, wanted)
+    return reduce(DataFrame.unionByName, [
+        versioned.as_of(rows, s.LINEITEM, extract).withColumn("AsOfExtract", F.lit(extract))
+        for extract in (4, 7)
+    ])
+
+
 @query
 def as_of_function(spark, folder):
     """The same state through SQL."""
@@ -294,6 +312,27 @@ def fk_result_pivot(spark, folder):
     return results.fk_results(errors, s.REGISTRY.foreign_key_frame(spark), selected)
 
 
+@query
+def fk_distinct_merged(spark, folder):
+    """Distinct orphan values per region as of extracts 3 and 7, merged from bitmaps of practices and extracts."""
+    values = written_once(
+        integrity.orphan_values(s.histories(spark, folder), s.REGISTRY, by_extract=True), "values"
+    )
+    known = spark.createDataFrame([], bitmaps.NUMBERS)
+    numbers = written_once(bitmaps.new_numbers(values, known, 0), "numbers")
+    made = written_once(bitmaps.value_bitmaps(values, numbers), "bitmaps")
+    regions = s.given(spark, folder, "nation").select(
+        s.store_name("n_nationkey").alias("scope"), "n_regionkey"
+    )
+    placed = made.join(regions, "scope", "left")
+    return reduce(DataFrame.unionByName, [
+        bitmaps.distinct_counts(
+            placed.where(F.col(VERSION) <= extract), ["ForeignKeyId", "n_regionkey"]
+        ).withColumn("AsOfExtract", F.lit(extract))
+        for extract in (3, 7)
+    ])
+
+
 @query
 def fk_result_text(spark, folder):
     """The same report as lines of text, its columns cells of a list."""
