@@ -615,6 +615,16 @@ ORACLE = {
             select 1 from part p where p.p_partkey = l.l_partkey and p_size < 48
             and case when p_size > 40 then 3 else 1 end <= l."ExtractId")
         group by practice, l_partkey""",
+    "quoted_text_recovered": """select doc_id,
+        case doc_id % 10 when 9 then null
+            when 3 then coalesce(replace(text, '"', '""'), '') || ' and "," again'
+            else nullif(replace(text, '"', '""'), '') end as text,
+        case when doc_id % 10 <> 9 then nullif(replace(lang, '"', '""'), '') end as lang,
+        case doc_id % 10 when 9 then null
+            when 7 then 'COPY","' || coalesce(replace(source, '"', '""'), '')
+            else nullif(replace(source, '"', '""'), '') end as source,
+        case when doc_id % 10 <> 9 then n_chars end as n_chars,
+        case when doc_id % 10 = 9 then 2 else 1 end as alignments from documents""",
     "quoted_text_damaged": """
         select digit, cast(digit is null as int) as repeated_header,
                cast(coalesce(digit = 3, false) as int) as ragged,

@@ -32,6 +32,7 @@ from tidemark.sources.quoted_text import (
     read_extract_table,
     read_shape,
 )
+from tidemark.sources.recovery import read_aligned_table
 
 log = logging.getLogger(__name__)
 
@@ -500,7 +501,9 @@ def _staged_rows(
     shapes = {name: read_shape(spark, path) for name, path in files.items()}
     registry = _agreed_layout(store.read_layout(spark, root, registry), shapes)
     return registry, {
-        name: read_extract_table(spark, path, registry.table(name), shapes[name])
+        name: (read_aligned_table if registry.table(name).patterns else read_extract_table)(
+            spark, path, registry.table(name), shapes[name]
+        )
         for name, path in files.items()
     }, {name for name, path in files.items() if is_folder(spark, path)}
 

@@ -41,6 +41,9 @@ class Table:
     via: Via | None = None
     columns: tuple[str, ...] = ()
     widths: Mapping[str, int] = field(default_factory=dict)
+    #: What a whole value of a column matches unless it is empty; records of a table that has some are
+    #: recovered if a separator inside a value cut them (see ``sources.recovery``).
+    patterns: Mapping[str, str] = field(default_factory=dict)
 
     def width(self, column: str) -> int:
         """The declared width; ``widths`` may name columns by pattern (``*Description``)."""
@@ -118,7 +121,7 @@ class Registry:
         if not table.columns:
             return
         _reject_repeats(f"column of {table.name}", table.columns)
-        needed = set(table.keys)
+        needed = set(table.keys) | set(table.patterns)
         if table.deleted:
             needed.add(table.deleted)
         if table.kind == PRACTICE:
