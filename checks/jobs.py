@@ -9,6 +9,7 @@ arrive with the third extract, customers in debt never.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,7 +22,7 @@ from tidemark.plans.install import install_extract, save_states, stage_extract
 from tidemark.plans.validate import validate_practices
 from tidemark.registry import COMMON, PRACTICE, TENANT, VERSION, ForeignKey, Registry, Table, Via
 from tidemark.sources import history as store
-from tidemark.sources.shared import scratch_folder
+from tidemark.sources.shared import scratch_folder, written_once
 
 REGISTRY = Registry(
     (
@@ -48,13 +49,15 @@ def _guid(nation: str) -> Column:
     return F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(F.col(nation).cast("string"), 12, "0"))
 
 
-def _extract(spark: SparkSession, folder: str, year: int) -> dict[str, DataFrame]:
-    """The tables of one year's extract, all columns text."""
+def _extract(
+    spark: SparkSession, folder: str, year: int, all_orders: bool = False
+) -> dict[str, DataFrame]:
+    """The tables of one year's extract; ``all_orders`` sends those of nations that do not share too."""
     first, third = year == YEARS[0], year == YEARS[2]
     nations = s.given(spark, folder, "nation")
     sharing = nations if year >= YEARS[2] else nations.where("n_regionkey <> 4")
     homes = s.given(spark, folder, "customer").join(
-        sharing, F.col("c_nationkey") == F.col("n_nationkey")
+        nations if all_orders else sharing, F.col("c_nationkey") == F.col("n_nationkey")
     )
     parts = s.given(spark, folder, "part")
     arriving = parts.where("p_size <= 40") if first else parts.where(F.lit(third) & F.expr("p_size > 40"))
@@ -243,12 +246,59 @@ def code_counts_stored(spark: SparkSession, folder: str) -> DataFrame:
     return both.withColumn("MostRecentDate", s.stamp("MostRecentDate"))
 
 
+def rerun_after_refusal(spark: SparkSession, folder: str) -> DataFrame:
+    """What is seen of a store whose second extract is refused, cleaned away and sent again.
+
+    The refused one has orders of nations that do not share their data, which is found only after all its
+    tables are written; nothing of it is read, and the good one takes its number and its folders.
+    """
+    there, root = installed(spark, folder), scratch_folder(spark, "rerun")
+    bad = scratch_folder(spark, "refused")
+    name = f"1001-2000_%s_{YEARS[1] + 1}0101000000_{AGREEMENT}.csv"
+    for table, rows in _extract(spark, folder, YEARS[1], all_orders=True).items():
+        _write(rows, bad, name % table)
+    marker = f"1-1000_Sales_Order_{YEARS[0] + 1}0101000000_{AGREEMENT}.csv"
+    stage_extract(spark, root, f"{there.incoming}/{YEARS[0]}", marker, REGISTRY, SPECIAL)
+    install_extract(spark, root, REGISTRY, SPECIAL)
+    stage_extract(spark, root, bad, name % "Sales_Order", REGISTRY, SPECIAL)
+    try:
+        install_extract(spark, root, REGISTRY, SPECIAL)
+    except install.ExtractError as refused:
+        if "no configured, sharing practice" not in str(refused):
+            raise
+    seen = [_seen(spark, root, "refused")]
+    install.clean_staging(spark, root)
+    seen.append(_seen(spark, root, "cleaned"))
+    stage_extract(
+        spark, root, f"{there.incoming}/{YEARS[1]}", name % "Sales_Order", REGISTRY, SPECIAL
+    )
+    install_extract(spark, root, REGISTRY, SPECIAL)
+    seen.append(_seen(spark, root, "installed"))
+    return reduce(DataFrame.unionByName, seen)
+
+
+def _seen(spark: SparkSession, root: str, step: str) -> DataFrame:
+    """Rows per table and extract as a reader finds them now, and how many extracts are staged."""
+    registry = store.read_layout(spark, root, REGISTRY)
+    counts = [
+        store.read_history(spark, root, registry.table(name))
+        .groupBy(F.lit(name).alias("TableName"), VERSION).agg(F.count("*").alias("n"))
+        for name in ("Sales_Line", "Sales_Order", "Org_Sharing")
+    ]
+    staged = store.read_control(spark, root, "StagedExtract").select(
+        F.lit("StagedExtract").alias("TableName"), F.lit(None).cast("int").alias(VERSION)
+    ).groupBy("TableName", VERSION).agg(F.count("*").alias("n"))
+    found = reduce(DataFrame.unionByName, [*counts, staged]).withColumn("Step", F.lit(step))
+    # Written, since the next step changes what is counted.
+    return written_once(found, "seen")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         install_all_rows, install_log, install_discarded, installed_practices, validation_errors,
         validation_text, configure_by_hand, as_of_from_state, install_counts, install_times,
-        code_counts_stored,
+        code_counts_stored, rerun_after_refusal,
     )
 }
 
@@ -327,6 +377,16 @@ ORACLE = {
         from line_rows, (values (4), (7)) v(e)
         where practice is not null and x <= e and l_returnflag <> 'R'
         group by practice, l_partkey, e""",
+    "rerun_after_refusal": f"""with {_TABLES},
+        seen as (
+            select 'Sales_Order' as "TableName", cast(x as int) as "ExtractId" from order_rows
+            union all select 'Sales_Line', cast(x as int) from line_rows where practice is not null
+            union all select 'Org_Sharing', cast(i as int) from nation, range(1, 3) t(i)
+            where n_regionkey <> 4)
+        select "TableName", "ExtractId", count(*) as n, step as "Step"
+        from seen, (values ('refused', 1), ('cleaned', 1), ('installed', 2)) v(step, upto)
+        where "ExtractId" between 1 and upto group by all
+        union all select 'StagedExtract', null, 1, 'refused'""",
     "installed_practices": f"""select {_GUID} as "OrganisationGuid", n_name as "PracticeName",
         'N' || n_nationkey as "ODSCode", {_PRACTICE},
         case when n_regionkey = 4 then 3 else 1 end as "StartExtractId" from nation""",
