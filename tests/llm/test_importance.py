@@ -60,6 +60,25 @@ def test_top_by_parts(spark, monkeypatch):
         assert len(found) == len(keys) and {r.doc_id for r in found if r.kept} == {d for d, _ in order[:k]}, k
 
 
+def test_many_equal_keys_are_cut_by_id(spark, monkeypatch):
+    """A third of the rows have the key at the edge: no task orders more than a few of them."""
+    monkeypatch.setattr(importance, "FEW", 20)
+    monkeypatch.setattr(importance, "FINE", 16)
+    ids = [-(2**63), 2**63 - 1, 0, None, None, *range(5, 20000, 23), *range(-(2**62), 2**62, 2**54)]
+    keys = [(d, -1e9) for d in ids] + [(10**6 + i, i / 7) for i in range(2 * len(ids))]
+    df = spark.createDataFrame(keys, "doc_id long, key double").repartition(4)
+    order = sorted(keys, key=lambda r: (-r[1], r[0] is None, r[0]))
+    counted = []
+    narrowed = importance._narrowed
+    monkeypatch.setattr(importance, "_narrowed", lambda *a: counted.append(narrowed(*a)) or counted[-1])
+    for more in (1, 2, 300, len(ids) - 3, len(ids) - 1):
+        k = 2 * len(ids) + more
+        found = with_top(df, k).collect()
+        assert len(found) == len(keys)
+        assert sorted((r.doc_id for r in found if r.kept), key=repr) == sorted((d for d, _ in order[:k]), key=repr)
+        assert counted[-1][3] <= 20, "few rows are ordered"
+
+
 def test_good_documents_are_told_from_junk(spark):
     docs, labels = (spark.read.parquet(f"{GIVEN}/{t}.parquet") for t in ("documents", "labels"))
     found = resampled(docs, labels).join(labels, "doc_id").collect()

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from decimal import Decimal
 from math import ceil
 
 import numpy as np
@@ -94,22 +95,23 @@ def weighed(docs: DataFrame, ratios: np.ndarray | None) -> DataFrame:
     )
 
 
-def with_top(scored: DataFrame, k: int) -> DataFrame:
-    """scored (a stored table) and `kept`: whether a row is among the k largest keys, ties by doc_id.
+def _narrowed(scored: DataFrame, inside: Column, value: Column, left: int, whole: bool) -> tuple[Column, Column, int, int]:
+    """The rows inside whose value is surely among the `left` largest, the rows in question, how many of these go on, how many there are.
 
-    The range that holds the k-th key is cut into FINE parts, and again, until few rows are left in it; only those
-    are ordered. Nothing is sorted as a whole, and FINE counts at most come to the driver at a time.
+    The range that holds the last of them is cut into FINE parts, and again, until few rows or one value are left in
+    it. FINE counts at most come to the driver at a time. `whole` numbers are cut without rounding.
     """
-    low, high, n = scored.agg(F.min("key"), F.max("key"), F.count("*")).first()
-    if not n or k >= n or k <= 0:
-        return scored.withColumn("kept", F.lit(bool(n) and k >= n))
-    inside, left = (F.col("key") >= low) & (F.col("key") <= high), k
     above = F.lit(False)
-    while True:
-        step = (high - low) / FINE
-        if n <= FEW or step <= 0 or low + step == low:
+    low, high, n = scored.where(inside).agg(F.min(value), F.max(value), F.count("*")).first()
+    inside = inside & (value >= low) & (value <= high)
+    while n > FEW and low < high:
+        step = (high - low) // FINE + 1 if whole else (high - low) / FINE
+        if low + step == low:
             break
-        part = F.least(F.floor((F.col("key") - low) / step), F.lit(FINE - 1))
+        if whole:
+            part = F.call_function("div", value - F.lit(low), F.lit(step))
+        else:
+            part = F.least(F.floor((value - low) / step), F.lit(FINE - 1))
         counts = {r["part"]: r["n"] for r in scored.where(inside).groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}
         for at in sorted(counts, reverse=True):
             if counts[at] >= left:
@@ -118,9 +120,25 @@ def with_top(scored: DataFrame, k: int) -> DataFrame:
         above = above | (inside & (part > at))
         inside = inside & (part == at)
         n = counts[at]
-        low, high = scored.where(inside).agg(F.min("key"), F.max("key")).first()
-        if low == high:
-            break
+        low, high = scored.where(inside).agg(F.min(value), F.max(value)).first()
+    return above, inside, left, n
+
+
+def with_top(scored: DataFrame, k: int) -> DataFrame:
+    """scored (a stored table) and `kept`: whether a row is among the k largest keys, ties by doc_id, rows without one last.
+
+    Keys are narrowed down to the range that holds the k-th, and where very many rows have that very key, their ids
+    likewise; only the few rows left are ordered. Nothing is sorted as a whole. Of very many rows with the
+    same key and the same id, or none, which are one as good as the other, one task orders all.
+    """
+    n = scored.count()
+    if k >= n or k <= 0:
+        return scored.withColumn("kept", F.lit(bool(n) and k >= n))
+    above, inside, left, n = _narrowed(scored, F.lit(True), F.col("key"), k, False)
+    if n > FEW:
+        first = F.coalesce(-F.col("doc_id").cast("decimal(21,0)"), F.lit(Decimal(-(2**63))).cast("decimal(21,0)"))
+        by_id, inside, left, n = _narrowed(scored, inside, first, left, True)
+        above = above | by_id
     rank = F.row_number().over(Window.orderBy(F.desc("key"), F.asc_nulls_last("doc_id")))
     edge = scored.where(inside).withColumn("kept", rank <= left)
     return edge.unionByName(scored.where(~inside).withColumn("kept", above))
