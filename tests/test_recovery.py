@@ -125,3 +125,15 @@ def test_an_install_takes_recovered_rows_and_refuses_others(spark, tmp_path):
         assert sorted((r.PatientGuid, r.Surname, r.Deleted) for r in found.collect()) == [
             ("P1", 'Smith"",""Jones', "false"), ("P2", "Name2", "false"),
         ]
+
+
+def test_a_filter_does_not_cut_the_record_again_for_every_place(spark, tmp_path):
+    """A filter over the flag is moved below the cut; the pieces must stay bound there."""
+    path = tmp_path / "t.csv"
+    path.write_text('"' + '","'.join(COLUMNS) + '"\n"1","a","b","ab","x","01"\n', newline="")
+    rows = recovery.read_aligned_table(spark, str(path), TABLE).where(~F.col(q.RAGGED))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(value") <= 10
+    assert [(r.Id, r.Note, r.Code, r.More, r.Day) for r in rows.collect()] == [
+        ("1", 'a","b', "ab", "x", "01")
+    ]

@@ -35,8 +35,13 @@ def _whole(pattern: str | None) -> str | None:
 
 def _fits(value: Column, about: Column) -> Column:
     """An empty value fits every column, any other one its width and its pattern."""
-    matches = about["pattern"].isNull() | F.coalesce(F.rlike(value, about["pattern"]), F.lit(False))
-    return (value == "") | ((F.length(value) <= about["width"]) & matches)
+
+    def fits(v: Column) -> Column:
+        matches = about["pattern"].isNull() | F.coalesce(F.rlike(v, about["pattern"]), F.lit(False))
+        return (v == "") | ((F.length(v) <= about["width"]) & matches)
+
+    # Bound by a list of one: the value is put together once for its three tests.
+    return F.exists(F.array(value), fits)
 
 
 def alignment(pieces: Column, table: Table) -> Column:
@@ -44,8 +49,13 @@ def alignment(pieces: Column, table: Table) -> Column:
 
     One pass over the columns keeps, for every number of pieces, whether they can make up the columns so
     far, so the work is columns x pieces x surplus pieces and does not grow with the number of
-    ways. The expression does not grow with the table.
+    ways. The expression does not grow with the table. The pieces are bound by a list of one: a filter over the
+    outcome is moved below the step that cuts the record, and would cut it again at every place they are used.
     """
+    return F.get(F.transform(F.array(pieces), lambda p: _alignment(p, table)), F.lit(0))
+
+
+def _alignment(pieces: Column, table: Table) -> Column:
     width = len(table.columns)
     columns = F.array(*[
         F.struct(
