@@ -49,10 +49,37 @@ def _guid(nation: str) -> Column:
     return F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(F.col(nation).cast("string"), 12, "0"))
 
 
+def _by_year(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Orders and line items of all years, written by year: an extract reads its own year alone."""
+    def written(name: str, date: str, *columns: str) -> DataFrame:
+        year = F.year(date).alias("_year")
+        rows = s.given(spark, folder, name).select(*columns, date, year)
+        rows = rows.where(F.col("_year").between(YEARS[0], YEARS[-1]))
+        path = scratch_folder(spark, f"{name}-by-year")
+        rows.write.partitionBy("_year").parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return {
+        "orders": written("orders", "o_orderdate", "o_orderkey", "o_custkey"),
+        "lineitem": written(
+            "lineitem", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"
+        ),
+    }
+
+
 def _extract(
-    spark: SparkSession, folder: str, year: int, all_orders: bool = False
+    spark: SparkSession,
+    folder: str,
+    year: int,
+    all_orders: bool = False,
+    dated: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The tables of one year's extract; ``all_orders`` sends those of nations that do not share too."""
+    def of_year(name: str, date: str) -> DataFrame:
+        if dated:
+            return dated[name].where(F.col("_year") == year)
+        return s.given(spark, folder, name).where(F.year(date) == year)
+
     first, third = year == YEARS[0], year == YEARS[2]
     nations = s.given(spark, folder, "nation")
     sharing = nations if year >= YEARS[2] else nations.where("n_regionkey <> 4")
@@ -62,8 +89,7 @@ def _extract(
     parts = s.given(spark, folder, "part")
     arriving = parts.where("p_size <= 40") if first else parts.where(F.lit(third) & F.expr("p_size > 40"))
     customers = s.given(spark, folder, "customer").where(F.lit(first) & F.expr("c_acctbal >= 0"))
-    orders = s.given(spark, folder, "orders").where(F.year("o_orderdate") == year)
-    lines = s.given(spark, folder, "lineitem").where(F.year("l_shipdate") == year)
+    orders, lines = of_year("orders", "o_orderdate"), of_year("lineitem", "l_shipdate")
     return {
         "Org_Customer": customers.select(F.col("c_custkey").alias("CustomerKey")),
         "Org_Nation": nations.where(F.lit(first)).select(
@@ -96,12 +122,13 @@ def _write(df: DataFrame, folder: str, name: str) -> None:
     records end in CR LF, the header first in each."""
     text = df.select([F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
     options = {"header": True, "quoteAll": True, "escape": '"', "lineSep": "\r\n", "emptyValue": ""}
-    text.hint("rebalance").write.options(**options).csv(f"{folder}/{name}")
+    text.write.options(**options).csv(f"{folder}/{name}")
 
 
 def _write_extracts(spark: SparkSession, folder: str, to: str) -> None:
+    dated = _by_year(spark, folder)
     for i, year in enumerate(YEARS):
-        for table, rows in _extract(spark, folder, year).items():
+        for table, rows in _extract(spark, folder, year, dated=dated).items():
             name = f"{1 + 1000 * i}-{1000 * (i + 1)}_{table}_{year + 1}0101000000_{AGREEMENT}.csv"
             _write(rows, f"{to}/{year}", name)
 

@@ -224,15 +224,22 @@ def install_extract(
             routing.route_rows(rows[table.name], table, installed, parent), root, table, extract
         )
         routed[table.name] = store.read_extract(spark, root, table, extract, _KEPT)
+    read = _rows_read({t.name: rows[t.name] for t in in_order})
+    tallies = _tallies(routed)
     # A row routed through a parent sent twice is there twice: those tables are checked as read.
-    _check_rows({t.name: rows[t.name] if t.via else routed[t.name] for t in in_order}, several)
+    doubled = {
+        t.name: rows[t.name]
+        for t in in_order
+        if t.via and t.name in tallies and tallies[t.name].n != read.get(t.name, 0)
+    }
+    _check_tallies(tallies | _tallies(doubled), several)
 
     # Counted once from what was written and kept with the extract, so checks and reports read the counts.
     store.write_batch(
         _counts(routed).withColumn(VERSION, F.lit(extract)), root, "InstallCounts", extract
     )
     counts = store.read_batch(spark, root, "InstallCounts", extract).drop(VERSION)
-    _check_complete({t.name: rows[t.name] for t in in_order if not t.via}, counts)
+    _check_complete({t.name: read.get(t.name, 0) for t in in_order if not t.via}, counts)
     left = {
         r.TableName: r.Rows for r in counts.where(F.col(TENANT).isNull()).collect()
     }
@@ -388,16 +395,33 @@ def _check_files(tables: Mapping[str, DataFrame]) -> None:
 
 
 def _check_rows(tables: Mapping[str, DataFrame], several: Collection[str]) -> dict[str, int]:
-    """Count the rows with each flag; all tables in one job over the flag columns alone.
+    """Count the rows with each flag and refuse what is wrong; returns the rows per table."""
+    return _check_tallies(_tallies(tables), several)
+
 
-    Returns the rows per table. Tables of ``several`` files have a closing quote in each; those are counted by file elsewhere.
+def _tallies(tables: Mapping[str, DataFrame]) -> dict[str, Row]:
+    """Rows and rows with each flag per table that has any; all tables in one job over the flag columns alone.
+
+    Each table is counted by itself before the counts are put together: counting the union of all would put
+    the readers of all tables into one piece of generated code, which is too long to be compiled.
     """
-    frames = [df.select(F.lit(name).alias("t"), *FLAGS) for name, df in tables.items()]
-    counts = reduce(DataFrame.unionByName, frames).groupBy("t").agg(
-        F.count("*").alias("n"), *[F.count_if(f).alias(f) for f in FLAGS]
+    if not tables:
+        return {}
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count("*").alias("n"), *[F.count_if(f).alias(f) for f in FLAGS])
+            .select(F.lit(name).alias("t"), "n", *FLAGS)
+            for name, df in tables.items()
+        ],
     )
+    return {row.t: row for row in counts.where("n > 0").collect()}
+
+
+def _check_tallies(tallies: Mapping[str, Row], several: Collection[str]) -> dict[str, int]:
+    """Tables of ``several`` files have a closing quote in each; those are counted by file elsewhere."""
     problems, held = [], {}
-    for row in counts.orderBy("t").collect():
+    for _, row in sorted(tallies.items()):
         log.info("%s: %d row(s)", row.t, row.n)
         held[row.t] = row.n
         if row[REPEATED]:
@@ -415,21 +439,30 @@ def _check_rows(tables: Mapping[str, DataFrame], several: Collection[str]) -> di
     return held
 
 
-def _check_complete(read: Mapping[str, DataFrame], counts: DataFrame) -> None:
-    """Routing neither doubles nor loses a row: as many were written as the files hold.
+def _rows_read(tables: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Rows per table as the files hold them: reads them again, but cuts no record into fields."""
+    if not tables:
+        return {}
+    counts = reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count("*").alias("n")).select(F.lit(name).alias("t"), "n")
+            for name, df in tables.items()
+        ],
+    )
+    return {row.t: row.n for row in counts.collect()}
 
-    Reads the files again, but cuts no record into fields.
-    """
+
+def _check_complete(read: Mapping[str, int], counts: DataFrame) -> None:
+    """Routing neither doubles nor loses a row: as many were written as the files hold."""
     if not read:
         return
-    parts = [df.select(F.lit(name).alias("TableName")) for name, df in read.items()]
-    held = reduce(DataFrame.unionByName, parts).groupBy("TableName").agg(F.count("*").alias("n"))
     wrote = counts.groupBy("TableName").agg(F.sum("Rows").alias("n"))
     written = {r.TableName: r.n for r in wrote.collect()}
     problems = [
-        f"{r.n} row(s) of {r.TableName} became {written.get(r.TableName, 0)}"
-        for r in held.orderBy("TableName").collect()
-        if r.n != written.get(r.TableName, 0)
+        f"{n} row(s) of {name} became {written.get(name, 0)}"
+        for name, n in sorted(read.items())
+        if n != written.get(name, 0)
     ]
     if problems:
         raise ExtractError("; ".join(problems))
