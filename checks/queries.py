@@ -20,7 +20,7 @@ from tidemark.sources import quoted_text
 from tidemark.sources.clustered import read_keys, write_clustered
 from tidemark.sources.history import save_bucketed
 from tidemark.sources.recovery import read_aligned_table, unaligned_records
-from tidemark.sources.shared import scratch_folder, written_once
+from tidemark.sources.shared import scratch_folder, written_by, written_once
 from tidemark.sources.views import register_views
 
 NOW = datetime(2002, 1, 31, 12, 0)
@@ -433,7 +433,10 @@ def code_counts_incremental(spark, folder):
 @query
 def code_counts_standing(spark, folder):
     """Supplier counts after each of seven extracts; a part's line items of a year replace the earlier ones."""
-    rows = s.lineitem_of_supplier(spark, folder, text_dates=True)
+    lines = s.lineitem_of_supplier(spark, folder, text_dates=True).select(
+        TENANT, "l_partkey", "l_suppkey", "shipped", "Deleted", VERSION
+    )
+    rows = written_by(lines, VERSION, "lines")
     table = Table("lines", PRACTICE, ("l_partkey",), deleted="Deleted")
     state, states = spark.createDataFrame([], code_state.CODE_COUNTS), []
     for extract in range(1, 8):

@@ -33,27 +33,31 @@ def code_counts_after(
     again by the extract replaces all its older rows, a deleted one takes them away; tables without a key only grow.
 
     Only the keys that the extract brings are looked up in the history, by a semi join that needs no
-    shuffle of the history where those keys are few. The changes per code are written once, since both the codes that keep
-    their date and those that look for a new one are taken from them.
+    shuffle of the history where those keys are few; their older versions are found from the key columns alone, the
+    rows picked by them, and dates read of no other row. The changes per code are written once, since both the codes that keep their date and those that
+    look for a new one are taken from them; where no code lost its date, the history is not read again.
     """
     columns = [TENANT, "CodeId", "MostRecentDate", "CodeCount"]
     when = F.col(date) if isinstance(date, str) else date
-    keys = table.scoped_keys(history.columns)
-    needed = [*keys, VERSION, F.col(TENANT).alias("_practice"), F.col(code).cast("string").alias("_code"),
-              when.cast("timestamp_ntz").alias("_date")]
-    if table.deleted:
-        needed.append(F.col(table.deleted).alias("_deleted"))
-    flag = "_deleted" if table.deleted else None
-    rows = up_to(history, extract).select(*needed)
+    # The practice, which starts the keys, goes last: a sort tells rows apart by the first column if it can.
+    keys = table.scoped_keys(history.columns)[::-1]
+    uses = {"_practice": F.col(TENANT), "_code": F.col(code).cast("string")}
+    dates = {"_date": when.cast("timestamp_ntz")}
+    rows = up_to(history, extract)
+
+    def signed_rows(found: DataFrame, sign: int) -> DataFrame:
+        counted = not_deleted(found, table.deleted).withColumns(uses | dates).where("_code is not null")
+        return counted.select("_practice", "_code", "_date", F.lit(sign).alias("_sign"))
 
     came = rows.where(F.col(VERSION) == extract)
-    signed = _signed(came.dropna(subset=keys) if keys else came, flag, 1)
+    signed = signed_rows(came.dropna(subset=keys) if keys else came, 1)
     if keys:
-        earlier = rows.where(F.col(VERSION) < extract).join(
+        earlier = rows.where(F.col(VERSION) < extract)
+        replaced = earlier.select(*keys, VERSION).join(
             came.select(*keys).distinct(), keys, "left_semi"
         )
-        gone = rows_of_versions(earlier, newest_versions(earlier, keys), keys)
-        signed = signed.unionByName(_signed(gone, flag, -1))
+        gone = rows_of_versions(earlier, newest_versions(replaced, keys), keys)
+        signed = signed.unionByName(signed_rows(gone, -1))
     changes = signed.groupBy("_practice", "_code").agg(
         F.sum("_sign").alias("_change"),
         F.max(F.when(F.col("_sign") > 0, F.col("_date"))).alias("_came"),
@@ -74,21 +78,18 @@ def code_counts_after(
     if not keys:
         return updated.select(*columns)
     updated = written_once(updated.where("CodeCount > 0"), "code-counts")
+    if updated.where("_lost").isEmpty():
+        return updated.select(*columns)
     lost = updated.where("_lost").select(
         F.col(TENANT).alias("_practice"), F.col("CodeId").alias("_code")
     )
-    found = _latest_dates(rows, keys, flag, lost)
+    found = _latest_dates(rows.withColumns(uses), keys, table.deleted, lost, dates)
     dated = updated.where("_lost").drop("MostRecentDate").join(found, [TENANT, "CodeId"], "left")
     return updated.where("not _lost").select(*columns).unionByName(dated.select(*columns))
 
 
-def _signed(rows: DataFrame, deleted: str | None, sign: int) -> DataFrame:
-    counted = not_deleted(rows, deleted).where("_code is not null")
-    return counted.select("_practice", "_code", "_date", F.lit(sign).alias("_sign"))
-
-
 def _latest_dates(
-    rows: DataFrame, keys: list[str], deleted: str | None, codes: DataFrame
+    rows: DataFrame, keys: list[str], deleted: str | None, codes: DataFrame, dates: dict[str, Column]
 ) -> DataFrame:
     """The latest date of the given codes among the newest versions.
 
@@ -99,7 +100,7 @@ def _latest_dates(
     versions = newest_versions(
         rows.join(holders.select(*keys).distinct(), keys, "left_semi"), keys
     )
-    newest = not_deleted(rows_of_versions(holders, versions, keys), deleted)
+    newest = not_deleted(rows_of_versions(holders, versions, keys), deleted).withColumns(dates)
     return newest.groupBy(
         F.col("_practice").alias(TENANT), F.col("_code").alias("CodeId")
     ).agg(F.max("_date").alias("MostRecentDate"))

@@ -49,6 +49,14 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def written_by(df: DataFrame, column: str, name: str) -> DataFrame:
+    """The same with a folder per value of a column: a filter on it opens the folders it asks for, no other."""
+    spark = df.sparkSession
+    folder = scratch_folder(spark, name)
+    df.write.partitionBy(column).parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder).select(*df.columns)
+
+
 def delete_at_end(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
