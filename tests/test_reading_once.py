@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
-from tidemark.operators import code_state
+from tidemark.operators import bitmaps, code_state
 from tidemark.operators.code_state import CODE_COUNTS, code_counts_after
 from tidemark.registry import PRACTICE, Table
-from tidemark.sources.shared import written_by
+from tidemark.sources.shared import written_by, written_once
 
 DAY = datetime(2020, 1, 1)
 
@@ -84,3 +84,17 @@ def test_no_lost_date_no_second_look(spark, monkeypatch):
             [(r.practice, r.CodeId, r.MostRecentDate, r.CodeCount) for r in rows], CODE_COUNTS)
         found.append((len(searched), sorted((r.CodeId, r.MostRecentDate, r.CodeCount) for r in rows)))
     assert found == [(0, [("a", DAY, 2)]), (0, [("a", later, 2)]), (1, [("a", DAY, 1), ("b", DAY, 1)])]
+
+
+def test_bitmaps_are_made_where_their_numbers_are(spark, final_plan):
+    """No bitmap goes through a shuffle: every exchange is below both aggregates."""
+    values = spark.range(2000).select(
+        (F.col("id") % 2).cast("int").alias("ForeignKeyId"), F.concat(F.lit("P"), F.col("id") % 3).alias("scope"),
+        F.col("id").cast("string").alias("Value"), (F.col("id") % 5).cast("int").alias("ExtractId"),
+    )
+    numbers = values.select("ForeignKeyId", "Value", F.col("Value").cast("long").alias("Number"))
+    numbers = written_once(numbers, "numbers")
+    made = bitmaps.value_bitmaps(values, numbers)
+    plan = final_plan(made).split("== Initial Plan ==")[0]
+    assert "bitmap_construct_agg" in plan and made.columns == ["ForeignKeyId", "scope", "ExtractId", "Bucket", "Bitmap"]
+    assert plan.rindex("bitmap_construct_agg") < plan.index("Exchange")

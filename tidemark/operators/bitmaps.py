@@ -32,9 +32,9 @@ def new_numbers(values: DataFrame, known: DataFrame, batch: int) -> DataFrame:
         raise ValueError(f"batch is 0 to {BATCHES - 1}")
     found = (
         values.where(F.col("Value").isNotNull())
-        .groupBy("ForeignKeyId", "Value")
+        .groupBy("Value", "ForeignKeyId")
         .agg(F.min("scope").alias("_scope"))
-        .join(known.select("ForeignKeyId", "Value"), ["ForeignKeyId", "Value"], "left_anti")
+        .join(known.select("ForeignKeyId", "Value"), ["Value", "ForeignKeyId"], "left_anti")
     )
     # By range: neighbours share a task, and a practice with very many values is cut by value.
     order = ["ForeignKeyId", "_scope", "Value"]
@@ -50,15 +50,22 @@ def new_numbers(values: DataFrame, known: DataFrame, batch: int) -> DataFrame:
 
 
 def value_bitmaps(values: DataFrame, numbers: DataFrame) -> DataFrame:
-    """The values (``ForeignKeyId, scope, Value, ExtractId``) as ``BITMAPS``; copies change nothing."""
+    """The values (``ForeignKeyId, scope, Value, ExtractId``) as ``BITMAPS``; copies change nothing.
+
+    The numbers of a bitmap are brought together before it is made: a task of the join has a few numbers of very
+    many bitmaps, and would send nearly one of 4 KB for each. A task then has as many numbers per bitmap as
+    there are values in it, 32,768 at most; copies of a value are best counted before, as ``orphan_values`` does.
+    """
     number = F.col("Number")
-    return (
-        values.join(numbers, ["ForeignKeyId", "Value"])
-        .groupBy(
-            "ForeignKeyId", "scope", VERSION, F.bitmap_bucket_number(number).alias("Bucket")
-        )
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("Bitmap"))
+    groups = ["Bucket", "scope", VERSION, "ForeignKeyId"]
+    placed = values.join(numbers, ["Value", "ForeignKeyId"]).select(
+        "ForeignKeyId", "scope", VERSION, F.bitmap_bucket_number(number).alias("Bucket"),
+        F.bitmap_bit_position(number).alias("_position"),
+    )
+    made = placed.repartition(*groups).groupBy(*groups).agg(
+        F.bitmap_construct_agg("_position").alias("Bitmap")
     )
+    return made.select("ForeignKeyId", "scope", VERSION, "Bucket", "Bitmap")
 
 
 def distinct_counts(bitmaps: DataFrame, by: Sequence[str | Column]) -> DataFrame:

@@ -163,17 +163,18 @@ def _unmet(
         "_sought_in",
         F.when(plan.per_key(plan.in_practice), F.col("scope")).otherwise(EVERYWHERE),
     )
+    # The value leads in groups and joins: a sort compares by the first column wherever that tells rows apart.
     sought = children.groupBy(
-        plan.per_key([plan.target(fk) for fk in plan.keys]).alias("_target"), "_sought_in", "Value"
+        "Value", "_sought_in", plan.per_key([plan.target(fk) for fk in plan.keys]).alias("_target")
     ).agg(F.min(VERSION).alias("_earliest"))
-    first = parents.groupBy("_to", "_seen_in", "_key").agg(F.min(VERSION).alias("_first"))
+    first = parents.groupBy("_key", "_seen_in", "_to").agg(F.min(VERSION).alias("_first"))
     # A left join and a filter rather than an anti join: that one would be pushed below the union
     # of the children and so repeated, with all parents, for every table.
     met = sought.join(
         first,
-        (F.col("_target") == F.col("_to"))
+        (F.col("Value") == F.col("_key"))
         & (F.col("_sought_in") == F.col("_seen_in"))
-        & (F.col("Value") == F.col("_key")),
+        & (F.col("_target") == F.col("_to")),
         "left",
     )
     doubtful = F.col("_first").isNull()
@@ -194,9 +195,9 @@ def _unmet(
         unmet |= F.col(VERSION) < F.col("_first")
     found = children.join(
         suspects,
-        (F.col("_fk") == F.col("_for"))
+        (F.col("Value") == F.col("_value"))
         & (F.col("_sought_in") == F.col("_in"))
-        & (F.col("Value") == F.col("_value")),
+        & (F.col("_fk") == F.col("_for")),
     ).where(unmet)
     totals = found.groupBy(
         plan.per_key([fk.id for fk in plan.keys]).alias("ForeignKeyId"),
