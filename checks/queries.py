@@ -135,14 +135,18 @@ def validity_intervals(spark, folder):
 
 @query
 def diff_of_intervals(spark, folder):
-    """Neighbouring extracts and the first against the last, all from intervals made once."""
+    """Neighbouring extracts and the first against the last, all from intervals made once.
+
+    Each difference is written: a union of groups by the same keys is read by key, all its branches by one task.
+    """
     lines = s.lineitem(spark, folder).select(
         "l_partkey", "l_quantity", "l_returnflag", "l_linestatus", "Deleted", VERSION
     )
     made = written_once(intervals.with_validity(lines, PART.keys), "intervals")
     return reduce(DataFrame.unionByName, [
-        intervals.diff_of_intervals(made, PART.keys, a, b, deleted=PART.deleted)
-        .withColumns({"before": F.lit(a), "after": F.lit(b)})
+        written_once(
+            intervals.diff_of_intervals(made, PART.keys, a, b, deleted=PART.deleted), "difference"
+        ).withColumns({"before": F.lit(a), "after": F.lit(b)})
         for a, b in SPANS
     ])
 

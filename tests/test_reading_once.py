@@ -39,6 +39,14 @@ def folder(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_differences_are_not_read_together_by_one_task(spark, folder):
+    found = queries.diff_of_intervals(spark, folder)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.collect()
+    assert {(r.before, r.after) for r in rows} == set(queries.SPANS)
+    assert {(r.status, r.rows_before, r.rows_after) for r in rows} == {("changed", 2, 2)}
+
+
 def test_an_extract_opens_its_own_folder(spark, rows):
     df = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, None, None)], "k int, v string, ExtractId int")
     kept = written_by(df, "ExtractId", "kept")
