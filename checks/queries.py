@@ -198,10 +198,21 @@ def fk_samples(spark, folder):
     return integrity.orphan_samples(values, "Value", by=["ForeignKeyId", "scope"])
 
 
+def _key_columns(name, df):
+    """The columns of a history that a check of its foreign keys and of those that point at it looks at."""
+    keys = s.REGISTRY.foreign_keys
+    used = {k.from_column for k in keys if k.from_table == name}
+    used |= {k.to_column for k in keys if k.to_table == name} | {TENANT, VERSION}
+    return [c for c in df.columns if c in used]
+
+
 @query
 def fk_by_extract(spark, folder):
     """The outcome of ``fk_all`` after each of seven extracts, each of which is read alone."""
-    tables = s.histories(spark, folder)
+    tables = {
+        name: written_by(df.select(*_key_columns(name, df)), VERSION, name)
+        for name, df in s.histories(spark, folder).items()
+    }
     known = spark.createDataFrame([], standing.KEYS)
     orphans = spark.createDataFrame([], standing.ORPHANS)
     totals = []

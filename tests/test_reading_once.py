@@ -57,7 +57,7 @@ def test_an_extract_opens_its_own_folder(spark, rows):
     assert written_by(df.limit(0), "ExtractId", "none").where("ExtractId = 1").collect() == []
 
 
-@pytest.mark.parametrize("name,seen", [("code_counts_standing", "history")])
+@pytest.mark.parametrize("name,seen", [("code_counts_standing", "history"), ("fk_by_extract", "tables")])
 def test_the_operators_get_histories_written_by_extract(spark, folder, monkeypatch, name, seen):
     given = []
     if name == "code_counts_standing":

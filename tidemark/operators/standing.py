@@ -106,10 +106,11 @@ def _name(target: tuple[str, str]) -> str:
 def _same(
     rows: DataFrame, known: DataFrame, target: str, scope: str, collation: str | None
 ) -> Column:
+    # The value first: a sort compares by the first column wherever that tells rows apart.
     return (
-        (rows[target] == known["Target"])
+        (rows["_value"] == comparable(known["Value"], collation))
         & (rows[scope] == known["scope"])
-        & (rows["_value"] == comparable(known["Value"], collation))
+        & (rows[target] == known["Target"])
     )
 
 
